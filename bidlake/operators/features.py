@@ -9,8 +9,13 @@ from bidlake.functions.text import project_id
 from bidlake.operators.repair import first_value
 from bidlake.schema import ROLLUP_KEYS
 
-BIDDER = F.col("is_engineers_estimate") == 0
-ENGINEER = F.col("is_engineers_estimate") == 1
+
+def is_bidder_row() -> Column:
+    return F.col("is_engineers_estimate") == 0
+
+
+def is_engineer_row() -> Column:
+    return F.col("is_engineers_estimate") == 1
 
 
 def with_project_id(df: DataFrame) -> DataFrame:
@@ -29,7 +34,7 @@ def engineer_reference(df: DataFrame) -> DataFrame:
     """Engineer's first price, amount, quantity and unit per project and pay item."""
     named = {"ee_unit_price": "unit_price", "ee_amount": "amount", "ee_quantity": "quantity", "ee_unit": "unit"}
     return (
-        df.filter(ENGINEER)
+        df.filter(is_engineer_row())
         .groupBy("project_id", "pay_item_no")
         .agg(*[first_value(df, F.col(c)).alias(name) for name, c in named.items()])
     )
@@ -37,7 +42,7 @@ def engineer_reference(df: DataFrame) -> DataFrame:
 
 def attach_engineer_ref(df: DataFrame) -> DataFrame:
     """Bidder rows with the engineer's reference values; null keys match nothing."""
-    return df.filter(BIDDER).join(engineer_reference(df), ["project_id", "pay_item_no"], "left")
+    return df.filter(is_bidder_row()).join(engineer_reference(df), ["project_id", "pay_item_no"], "left")
 
 
 def line_item_features(df: DataFrame) -> DataFrame:
@@ -55,13 +60,13 @@ def project_totals(df: DataFrame) -> DataFrame:
 
     Both come from one scan; projects without a bidder row are left out.
     """
-    total = F.coalesce(F.sum(F.when(ENGINEER, F.col("amount"))), F.lit(0.0))
+    total = F.coalesce(F.sum(F.when(is_engineer_row(), F.col("amount"))), F.lit(0.0))
     return (
-        df.filter(BIDDER | ENGINEER)
+        df.filter(is_bidder_row() | is_engineer_row())
         .groupBy("project_id")
         .agg(
-            F.when(F.count_if(ENGINEER) > 0, total).alias("ee_total_amount"),
-            count_distinct_with_null(F.col("contractor"), BIDDER).alias("num_bidders"),
+            F.when(F.count_if(is_engineer_row()) > 0, total).alias("ee_total_amount"),
+            count_distinct_with_null(F.col("contractor"), is_bidder_row()).alias("num_bidders"),
         )
         .filter(F.col("num_bidders") > 0)
     )
@@ -70,7 +75,7 @@ def project_totals(df: DataFrame) -> DataFrame:
 def project_contractor_features(df: DataFrame) -> DataFrame:
     """One row per project and contractor: totals, counts, share of the engineer's total."""
     rollup = (
-        df.filter(BIDDER)
+        df.filter(is_bidder_row())
         .groupBy(*ROLLUP_KEYS)
         .agg(
             F.coalesce(F.sum("amount"), F.lit(0.0)).alias("total_amount"),

@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from bidlake.schema import PARSED_BID_COLUMNS, PARSED_ITEM_COLUMNS
 
 
+# Nulls are bare, empty texts are quoted, and blanks at the ends of a text stay.
+CSV_OPTIONS = dict(
+    header=True, escape='"', emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared folder (`spark.checkpoint.dir`)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -27,7 +33,7 @@ def write_csv(df: DataFrame, path: str, fields: list[str] | None = None) -> None
     """CSV with a header; `fields` fixes the columns, those the frame lacks are blank."""
     if fields is not None:
         df = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in fields])
-    _csv_ready(df).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue='""')
+    _csv_ready(df).write.mode("overwrite").csv(path, **CSV_OPTIONS)
 
 
 def write_dual(df: DataFrame, csv_path: str, parquet_path: str) -> int:
@@ -52,7 +58,7 @@ def write_features(line_items: DataFrame, projects: DataFrame, line_items_path:
 
 def write_missing_fields(report: DataFrame, path: str) -> None:
     """The missing-field report, one CSV folder per field, in one pass."""
-    report.write.mode("overwrite").partitionBy("missing_field").csv(path, header=True, escape='"')
+    report.write.mode("overwrite").partitionBy("missing_field").csv(path, **CSV_OPTIONS)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
