@@ -1,6 +1,7 @@
 """String column functions."""
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +16,11 @@ def any_of(words: list[str]) -> str:
     return "|".join(re.escape(w) for w in words)
 
 
+def holds_any(c: Column, words: list[str]) -> Column:
+    """Does the text hold any of the literal words?"""
+    return reduce(lambda a, b: a | b, [F.contains(c, F.lit(w)) for w in words])
+
+
 def strip_ws(c: Column) -> Column:
     """Drop Unicode whitespace at both ends; an all-blank text becomes empty, not null."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -63,6 +69,11 @@ def money(c: Column) -> Column:
     return to_number(F.translate(c, "$,", ""))
 
 
+def printed_number(c: Column) -> Column:
+    """Money or quantity that a pattern has already found to be digits, commas and a point."""
+    return F.translate(c, "$, \t", "").try_cast("double")
+
+
 def qty(c: Column) -> Column:
     """`3,890` to double, null where it is not a number."""
     return to_number(F.translate(c, ",", ""))

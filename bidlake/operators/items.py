@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bidlake.functions import fixed
 from bidlake.functions.ordered import last_seen
-from bidlake.functions.text import any_of, is_engineer, money, norm_ws, qty
+from bidlake.functions.text import holds_any, is_engineer, money, norm_ws, qty
 from bidlake.operators.pages import contractor_names, item_blocks, money_pair, page_context, qty_unit, with_layout
 from bidlake.operators.repair import null_safe_join
 
@@ -45,25 +45,30 @@ def shortest_names(names: DataFrame) -> DataFrame:
 
 
 def match_names(lines: DataFrame, names: DataFrame, column: str = "line") -> DataFrame:
-    """Lines that start with a name of their document, with that name as `contractor`.
+    """Lines with the name of their document they start with as `contractor`; others go.
 
-    A hash join, not a prefix comparison of all pairs: each line is looked up once per distinct
-    name length of its document.
+    Engineer lines stay, with the engineer as their contractor. A hash join, not a prefix
+    comparison of all pairs: each line is looked up once per distinct name length of its document.
     """
     names = shortest_names(names)
+    line = F.col(column)
+    fitting = F.filter("lengths", lambda n: n <= F.length(line))
+    starts = F.transform(fitting, lambda n: F.substr(line, F.lit(1), n))
+    tried = F.when(F.col("engineer"), F.array(F.lit(fixed.ENGINEER_NAME))).otherwise(starts)
     probes = (
-        lines.join(name_lengths(names), "doc_id")
-        .withColumn("_n", F.explode("lengths"))
-        .filter(F.col("_n") <= F.length(column))
-        .withColumn("contractor", F.substr(F.col(column), F.lit(1), F.col("_n")))
-        .drop("lengths", "_n")
+        lines.withColumn("engineer", is_engineer(line))
+        .join(name_lengths(names), "doc_id", "left")
+        .withColumn("contractor", F.explode_outer(tried))
+        .drop("lengths")
+        .filter(F.col("contractor").isNotNull())
     )
-    return probes.join(names, ["doc_id", "contractor"])
+    matched = probes.join(names.withColumn("_known", F.lit(True)), ["doc_id", "contractor"], "left")
+    return matched.filter(F.col("engineer") | F.col("_known")).drop("_known")
 
 
 def _block_lines(blocks: DataFrame) -> DataFrame:
     kept = [c for c in blocks.columns if c != "body"]
-    return blocks.select(*kept, F.posexplode("body").alias("line_no", "line"))
+    return blocks.select(*kept, F.posexplode_outer("body").alias("line_no", "line")).filter(F.col("line_no").isNotNull())
 
 
 def _finish(rows: DataFrame, contractor: Column, engineer: Column, line: Column, quantity: Column, unit: Column) -> DataFrame:
@@ -79,26 +84,24 @@ def _finish(rows: DataFrame, contractor: Column, engineer: Column, line: Column,
 def line_items_text(pages: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Item rows of the prefix layout: engineer lines, and lines that start with a known name."""
     names = contractor_names(pages) if names is None else names
-    lines = _block_lines(item_blocks(pages))
-    line, block_qty, block_unit = F.col("line"), F.col("quantity"), F.col("unit")
-    engineer = _finish(
-        lines.filter(is_engineer(line)), F.lit(fixed.ENGINEER_NAME), F.lit(True), line, block_qty, block_unit
-    )
-    own_qty, own_unit = qty_unit(line)
-    bidders = _finish(
-        match_names(lines.filter(~is_engineer(line)), names), F.col("contractor"), F.lit(False), line,
-        F.coalesce(own_qty, block_qty), F.coalesce(own_unit, block_unit),
+    rows = match_names(_block_lines(item_blocks(pages)), names)
+    own_qty, own_unit = (F.when(~F.col("engineer"), c) for c in qty_unit(F.col("line")))
+    return _finish(
+        rows, F.col("contractor"), F.col("engineer"), F.col("line"),
+        F.coalesce(own_qty, F.col("quantity")), F.coalesce(own_unit, F.col("unit")),
     )
-    return engineer.unionByName(bidders)
 
 
 # ---- wrapped-name layout -----------------------------------------------------------------
 
 TOKEN = r"\w+|[^\w\s]"
-TAIL_WORDS = any_of(fixed.NAME_TAIL_WORDS)
 SKIPPED_STARTS = r"(?i)^(schedule:|line item|pay item)"
 
 
+def holds_tail(line: Column) -> Column:
+    return holds_any(line, fixed.NAME_TAIL_WORDS)
+
+
 def name_fragments(names: DataFrame) -> DataFrame:
     """Whole names and their phrases of 2 and 3 words: (doc_id, fragment, first token)."""
     words = F.filter(F.transform(F.split("contractor", r"[\s,]+"), lambda w: F.btrim(w, F.lit(" ,"))), lambda w: w != "")
@@ -110,7 +113,7 @@ def name_fragments(names: DataFrame) -> DataFrame:
 
     fragments = F.concat(F.array("contractor"), phrases(2), phrases(3))
     return (
-        names.select("doc_id", F.explode(fragments).alias("fragment"))
+        names.select("doc_id", F.explode_outer(fragments).alias("fragment"))
         .distinct()
         .withColumn("token", F.regexp_extract("fragment", TOKEN, 0))
     )
@@ -123,38 +126,40 @@ def _whole_words(text: Column) -> Column:
 
 
 def known_fragments(lines: DataFrame, names: DataFrame) -> DataFrame:
-    """The fragments each line holds, longest first: keyed by document, page, block and line.
+    """Lines with the fragments they hold, longest first: one row per document, page, block, line.
 
     Candidates meet by their first token, then are checked as whole words.
     """
     keys = ["doc_id", "page_no", "block_no", "line_no"]
     tokens = F.array_distinct(F.regexp_extract_all("line", F.lit(TOKEN), F.lit(0)))
-    candidates = lines.select(*keys, "line", F.explode(tokens).alias("token")).join(name_fragments(names), ["doc_id", "token"])
-    held = candidates.filter(F.regexp_like("line", _whole_words(F.col("fragment"))))
-    longest_first = F.array_sort(F.collect_set(F.struct((-F.length("fragment")).alias("n"), F.col("fragment").alias("f"))))
-    return held.groupBy(*keys).agg(F.transform(longest_first, lambda s: s["f"]).alias("fragments"))
+    candidates = lines.select(*keys, "line", F.explode_outer(tokens).alias("token")).join(
+        name_fragments(names), ["doc_id", "token"], "left"
+    )
+    held = F.contains("line", F.col("fragment")) & F.regexp_like("line", _whole_words(F.col("fragment")))
+    found = F.collect_set(F.when(held, F.struct((-F.length("fragment")).alias("n"), F.col("fragment").alias("f"))))
+    return candidates.groupBy(*keys, "line").agg(F.transform(F.array_sort(found), lambda s: s["f"]).alias("fragments"))
 
 
 def _without(line: Column, fragments: Column) -> Column:
     """The line with fragments and company words taken out."""
     tails = F.array(*[F.lit(w) for w in sorted(fixed.NAME_TAIL_WORDS, key=len, reverse=True)])
-    every = F.concat(F.coalesce(fragments, F.array().cast("array<string>")), tails)
+    every = F.concat(fragments, tails)
     return norm_ws(F.aggregate(every, line, lambda text, f: F.regexp_replace(text, _whole_words(f), F.lit(""))))
 
 
 def _body_with_fragments(blocks: DataFrame, names: DataFrame) -> DataFrame:
     """Blocks whose `body` is lines as structs: line, is_name (may be part of a name), rest.
 
-    Only lines without money are looked up, and only the block key and these lines are shuffled.
+    Only lines without money are looked up. Blocks meet what was found by their own key.
     """
     keys = ["doc_id", "page_no", "block_no"]
     loose = _block_lines(blocks.select(*keys, "body")).filter(
         ~F.contains(F.col("line"), F.lit("$")) & ~is_engineer(F.col("line"))
     )
-    found = loose.join(known_fragments(loose, names), keys + ["line_no"], "left")
+    found = known_fragments(loose, names)
     per_line = F.struct(
         "line_no",
-        (F.col("fragments").isNotNull() | F.col("line").rlike(TAIL_WORDS)).alias("is_name"),
+        ((F.size("fragments") > 0) | holds_tail(F.col("line"))).alias("is_name"),
         _without(F.col("line"), F.col("fragments")).alias("rest"),
     )
     notes = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("line_no", per_line))).alias("_notes"))
@@ -176,7 +181,7 @@ def _marked(body: Column) -> Column:
         return x["line"].rlike(fixed.MONEY) & ~is_engineer(x["line"])
 
     def is_tail(x: Column) -> Column:
-        return ~x["line"].rlike(fixed.MONEY) & x["line"].rlike(TAIL_WORDS)
+        return ~x["line"].rlike(fixed.MONEY) & holds_tail(x["line"])
 
     def mark(x: Column, i: Column) -> Column:
         before, after = F.try_element_at(body, F.when(i > 0, i)), F.try_element_at(body, i + 2)
@@ -224,7 +229,7 @@ def line_items_wrapped(pages: DataFrame, names: DataFrame | None = None) -> Data
         return F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), x["engineer"].alias("engineer"), name.alias("contractor"))
 
     found = F.transform(F.filter("_marked", lambda x: x["engineer"] | x["money"]), row)
-    rows = marked.select(*kept, "description", F.inline(F.filter(found, lambda r: r["contractor"].isNotNull())))
+    rows = marked.select(*kept, "description", F.inline_outer(found)).filter(F.col("contractor").isNotNull())
     own_qty, own_unit = qty_unit(F.col("line"))
     return _finish(
         rows, F.col("contractor"), F.col("engineer"), F.col("line"),

@@ -1,20 +1,27 @@
 """Operators on page text: metadata, lines, context, bidder totals, item blocks.
 
 A page is one row, so everything inside a page is done on arrays within the row. Page text is
-never shuffled; only small extracts (names, amounts, captured fields) are.
+not shuffled; only small extracts (names, amounts, captured fields) are.
+
+Arrays are unnested with the `_outer` generators and a null filter after them: for the plain
+ones the optimizer adds a not-empty filter below, which works the whole array out again.
 """
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidlake.functions import fixed
-from bidlake.functions.text import any_of, capture, is_engineer, money, norm_blanks, norm_ws, to_number
+from bidlake.functions.text import (
+    any_of, capture, holds_any, is_engineer, norm_blanks, norm_ws, printed_number, strip_ws,
+)
 
 # Regular expressions run with Unicode classes; in metadata `.` stops only at a line feed.
 UNICODE = "(?U)"
 METADATA_FLAGS = "(?idU)"
+ANY_BLANKS = r"(?U)[\s&&[^\n\r\x0B\f\x85\u2028\u2029]]+"
+LINE_BREAK = r"(?U)\s*\R\s*"
 QUANTITY_UNIT = rf"(?<!\S)({fixed.QUANTITY})\b\s+({'|'.join(fixed.LINE_UNITS)})(?!\S)"
 
 
@@ -27,21 +34,23 @@ def wrapped_layout() -> Column:
     return F.col("layout") == "wrapped"
 
 
-def clean_line(c: Column) -> Column:
-    """Whitespace rule of the row's layout."""
-    return F.when(wrapped_layout(), norm_ws(c)).otherwise(norm_blanks(c))
-
+def lines_of(text: Column, wrapped: Column | None = None) -> Column:
+    """The lines of a page that are not blank, in order, with whitespace normalised.
 
-def lines_of(text: Column, cleaner=clean_line) -> Column:
-    """The normalised lines of a page that are not blank, in order."""
-    return F.filter(F.transform(F.split(text, r"\R"), cleaner), lambda s: s != "")
+    Blank runs are collapsed over the whole page and the split takes the blanks around a line
+    break with it, so there is no work per line. In the wrapped layout every kind of blank is
+    collapsed, else only blanks and tabs.
+    """
+    every, plain = F.regexp_replace(text, ANY_BLANKS, " "), F.regexp_replace(text, r"[ \t]+", " ")
+    even = F.when(wrapped_layout() if wrapped is None else wrapped, every).otherwise(plain)
+    return F.array_remove(F.split(strip_ws(even), LINE_BREAK), "")
 
 
 def explode_lines(pages: DataFrame) -> DataFrame:
     """One row per line that is not blank: line_no counts from 0 within the page."""
-    lines = lines_of(F.col("text"), norm_ws if "layout" not in pages.columns else clean_line)
+    lines = lines_of(F.col("text"), None if "layout" in pages.columns else F.lit(True))
     kept = [c for c in pages.columns if c != "text"]
-    return pages.select(*kept, F.posexplode(lines).alias("line_no", "line"))
+    return pages.select(*kept, F.posexplode_outer(lines).alias("line_no", "line")).filter(F.col("line_no").isNotNull())
 
 
 def last_capture(lines: Column, pattern: str) -> Column:
@@ -78,9 +87,8 @@ def page_context(pages: DataFrame) -> DataFrame:
 
 def is_summary_page(text: Column) -> Column:
     """Bidder totals are on it and item rows are not."""
-    item = reduce(lambda a, b: a | b, [F.contains(text, F.lit(m)) for m in fixed.ITEM_PAGE_MARKS])
-    total = reduce(lambda a, b: a | b, [F.contains(text, F.lit(m)) for m in fixed.SUMMARY_PAGE_MARKS])
-    return ~item & (total | text.rlike(UNICODE + fixed.SUMMARY_PAGE_OPTION))
+    total = holds_any(text, fixed.SUMMARY_PAGE_MARKS) | text.rlike(UNICODE + fixed.SUMMARY_PAGE_OPTION)
+    return ~holds_any(text, fixed.ITEM_PAGE_MARKS) & total
 
 
 def summary_pages(pages: DataFrame) -> DataFrame:
@@ -96,30 +104,47 @@ def _captures() -> dict[str, list[str]]:
     return patterns
 
 
+def _label(pattern: str) -> str:
+    """The literal text a metadata pattern starts with, in lower case."""
+    return re.match(r"[A-Za-z ]+", pattern).group().rstrip().lower()
+
+
+LABELS = sorted({_label(p) for patterns in _captures().values() for p in patterns})
+
+
 def _capture_all(df: DataFrame) -> DataFrame:
-    """One struct column per metadata pattern with the capture and its place, null if none."""
+    """One column per metadata pattern with what it captures; rows without any capture go.
+
+    Looking for a pattern's literal label first is much cheaper than the pattern.
+    """
+    df = df.withColumn("_lower", F.lower("text")).filter(holds_any(F.col("_lower"), LABELS))
     out = {}
     for field, patterns in _captures().items():
         for i, pattern in enumerate(patterns):
-            value = capture(F.col("text"), METADATA_FLAGS + pattern)
+            value = F.when(F.contains("_lower", F.lit(_label(pattern))), capture(F.col("text"), METADATA_FLAGS + pattern))
             if pattern == fixed.WRAPPED_PROJECT_NAME:
                 value = F.when(wrapped_layout(), value)
             out[f"{field}_{i}"] = value
-    return df.select("doc_id", "source_stem", "layout", "place", *[v.alias(k) for k, v in out.items()])
+    found = df.select("doc_id", "place", *[v.alias(k) for k, v in out.items()])
+    return found.filter(F.coalesce(*out).isNotNull())
 
 
 def _page_breaks(pages: DataFrame, depth: int = 3) -> DataFrame:
-    """Last lines of each page followed by the first lines of the next one.
+    """Last lines of each page that name a label, followed by the first lines of the next page.
 
-    Only these few lines are shuffled, keyed by document and page.
+    A match over a page break starts in the lines before it. Only these few lines are shuffled,
+    keyed by document and page.
     """
     lines = F.split(F.col("text"), r"\R")
     keys = ["doc_id", "page_no"]
-    tails = pages.select(*keys, "source_stem", "layout", F.slice(lines, -F.least(F.size(lines), F.lit(depth)), depth).alias("tail"))
-    heads = pages.select("doc_id", (F.col("page_no") - 1).alias("page_no"), F.slice(lines, 1, depth).alias("head"))
-    text = F.array_join(F.concat("tail", "head"), "\n")
-    place = F.struct("page_no", F.lit(1).alias("part"))
-    return tails.join(heads, keys).select("doc_id", "source_stem", "layout", place.alias("place"), text.alias("text"))
+    tail = F.array_join(F.slice(lines, -F.least(F.size(lines), F.lit(depth)), depth), "\n")
+    tails = pages.select(*keys, "layout", tail.alias("tail")).filter(holds_any(F.lower("tail"), LABELS))
+    head = F.array_join(F.slice(lines, 1, depth), "\n")
+    heads = pages.select("doc_id", (F.col("page_no") - 1).alias("page_no"), head.alias("head"))
+    text = F.concat_ws("\n", "tail", "head")
+    return tails.join(heads, keys).select(
+        "doc_id", "layout", F.struct("page_no", F.lit(1).alias("part")).alias("place"), text.alias("text")
+    )
 
 
 def doc_metadata(pages: DataFrame, across_pages: bool = True) -> DataFrame:
@@ -130,31 +155,28 @@ def doc_metadata(pages: DataFrame, across_pages: bool = True) -> DataFrame:
     """
     pages = with_layout(pages)
     place = F.struct("page_no", F.lit(0).alias("part"))
-    whole = pages.select(
-        "doc_id", "source_stem", "layout", place.alias("place"), F.concat("text", F.lit("\n")).alias("text")
-    )
-    found = _capture_all(whole)
+    found = _capture_all(pages.select("doc_id", "layout", place.alias("place"), F.concat("text", F.lit("\n")).alias("text")))
     if across_pages:
         found = found.unionByName(_capture_all(_page_breaks(pages)))
     first = {}
     for field, patterns in _captures().items():
         hits = [f"{field}_{i}" for i in range(len(patterns))]
-        first[field] = [F.min_by(h, F.when(F.col(h).isNotNull(), F.col("place"))) for h in hits]
-    collapse = F.max(wrapped_layout())
-
-    def cleaned(c: Column) -> Column:
-        return F.when(collapse, norm_ws(c)).otherwise(norm_blanks(c))
-
-    fields = [F.nullif(cleaned(F.coalesce(*hits)), F.lit("")).alias(name) for name, hits in first.items()]
-    stem = F.max("source_stem").alias("source_stem")
-    meta = found.groupBy("doc_id").agg(stem, F.max("layout").alias("layout"), *fields)
+        first[field] = F.coalesce(*[F.min_by(h, F.when(F.col(h).isNotNull(), F.col("place"))) for h in hits])
+    values = found.groupBy("doc_id").agg(*[c.alias(name) for name, c in first.items()])
     heads = (
         pages.filter((F.col("page_no") == 1) & wrapped_layout())
-        .groupBy("doc_id")
-        .agg(F.max(header_project_name(F.col("text"))).alias("_head_name"))
+        .select("doc_id", header_project_name(F.col("text")).alias("_head_name"))
+        .filter(F.col("_head_name").isNotNull())
     )
-    joined = meta.join(heads, "doc_id", "left")
-    return joined.withColumn("project_name", F.coalesce("project_name", "_head_name")).drop("_head_name")
+    documents = pages.select("doc_id", "source_stem", "layout").distinct()
+    joined = documents.join(values, "doc_id", "left").join(heads, "doc_id", "left")
+
+    def cleaned(name: str) -> Column:
+        return F.nullif(F.when(wrapped_layout(), norm_ws(F.col(name))).otherwise(norm_blanks(F.col(name))), F.lit(""))
+
+    fields = {name: cleaned(name) for name in first}
+    fields["project_name"] = F.coalesce(fields["project_name"], "_head_name")
+    return joined.select("doc_id", "source_stem", "layout", *[c.alias(name) for name, c in fields.items()])
 
 
 def header_project_name(text: Column) -> Column:
@@ -186,58 +208,73 @@ def _name_on(line: Column) -> Column:
     lower = F.lower(line)
     before_money = F.btrim(F.substring_index(line, "$", 1), F.lit(" ,"))
     of_money_line = F.when((F.length(before_money) >= 3) & ~F.lower(before_money).startswith("engineer"), before_money)
-    other = reduce(lambda a, b: a | b, [lower.startswith(w) for w in ("engineer", "contract", "report")])
+    other = lower.startswith("engineer") | lower.startswith("contract") | lower.startswith("report")
     plain = (F.length(line) >= 3) & ~other & ~line.rlike(fixed.ADDRESS)
     name = F.when(line.rlike(r"\$\s*[0-9]"), of_money_line).when(plain, F.btrim(line, F.lit(" ,")))
-    return F.when(~name.rlike("Engineer|Estimate") & (name != ""), name)
+    return F.when(~holds_any(name, ["Engineer", "Estimate"]) & (name != ""), name)
 
 
 def contractor_names(pages: DataFrame) -> DataFrame:
     """Distinct company names of each document: (doc_id, contractor)."""
-    companies = any_of(fixed.COMPANY_WORDS)
-    lines = F.filter(lines_of(F.col("text")), lambda s: s.rlike(companies))
-    names = F.array_distinct(F.array_compact(F.transform(lines, _name_on)))
-    return with_layout(pages).select("doc_id", F.explode(names).alias("contractor")).distinct()
+    lines = F.filter(lines_of(F.col("text")), lambda s: holds_any(s, fixed.COMPANY_WORDS))
+    names = F.array_distinct(F.transform(lines, _name_on))
+    holding = with_layout(pages).filter(holds_any(F.col("text"), fixed.COMPANY_WORDS))
+    found = holding.select("doc_id", F.explode_outer(names).alias("contractor"))
+    return found.filter(F.col("contractor").isNotNull()).distinct()
 
 
 # ---- bidder totals -----------------------------------------------------------------------
 
 
-def _line_bids(lines: Column) -> Column:
-    """Name and amount on one line, or a name line followed by a line of only an amount."""
-    pattern = rf"^(.*?)({fixed.BID_AMOUNT})"
+def _amounts_on(lines: Column) -> Column:
+    """Lines with their first amount: empty if there is none after a `$`, null without a `$`."""
+    def look(line: Column) -> Column:
+        amount = F.when(F.contains(line, F.lit("$")), F.regexp_extract(line, fixed.BID_AMOUNT, 0))
+        return F.struct(line.alias("line"), amount.alias("amount"))
+
+    return F.transform(lines, look)
+
 
-    def bid(line: Column, i: Column) -> Column:
-        after = F.try_element_at(lines, i + 2)
-        same = F.contains(line, F.lit("$"))
-        split = ~same & after.rlike(rf"^{fixed.BID_AMOUNT}$")
-        name = F.when(same, F.when(F.trim(F.regexp_extract(line, pattern, 1)) != "", F.regexp_extract(line, pattern, 1)))
-        name = F.when(split, line).otherwise(name)
-        amount = F.when(split, after).otherwise(F.regexp_extract(line, pattern, 2))
-        return F.struct(F.btrim(name, F.lit(" ,")).alias("name"), money(amount).alias("amount"))
+def _bid(name: Column, amount: Column) -> Column:
+    return F.struct(F.btrim(name, F.lit(" ,")).alias("name"), printed_number(amount).alias("amount"))
+
+
+def _line_bids(seen: Column) -> Column:
+    """Name and amount on one line, or a name line followed by a line of only an amount."""
+    def bid(x: Column, i: Column) -> Column:
+        line, amount = x["line"], x["amount"]
+        after = F.try_element_at(seen, i + 2)
+        before = F.call_function("substring_index", line, amount, F.lit(1))
+        same = F.when((amount != "") & (F.trim(before) != ""), _bid(before, amount))
+        split = F.when(amount.isNull() & (after["amount"] == after["line"]), _bid(line, after["amount"]))
+        return F.coalesce(same, split)
 
     def keep(b: Column) -> Column:
-        name = b["name"]
-        return (b["amount"] != 0) & (is_engineer(name) | ((F.length(name) >= 3) & ~name.rlike(r"^\d")))
+        return (b["amount"] != 0) & (is_engineer(b["name"]) | ((F.length(b["name"]) >= 3) & ~b["name"].rlike(r"^\d")))
 
-    return F.filter(F.transform(lines, bid), keep)
+    return F.filter(F.array_compact(F.transform(seen, bid)), keep)
 
 
 def _flat_bids(text: Column) -> Column:
-    """Every `name $amount [suffix]` of the page taken as one line."""
+    """Every `name $amount [suffix]` of the page taken as one line.
+
+    A match can only start where a run of name characters does, or where the last match ended;
+    saying so keeps the search linear.
+    """
     flat = F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(" ")), r"(\$[0-9,]+\.[0-9]{2})([A-Za-z])", "$1 $2")
-    pattern = f"{fixed.FLAT_BID}({any_of(fixed.BID_NAME_SUFFIXES)})?"
-    names, amounts, tails = (F.regexp_extract_all(flat, F.lit(pattern), F.lit(g)) for g in (1, 2, 3))
+    pattern = rf"(?:\G|(?<![A-Za-z'.,& ])){fixed.FLAT_BID}({any_of(fixed.BID_NAME_SUFFIXES)})?"
+    matches = F.regexp_extract_all(flat, F.lit(pattern), F.lit(0))
+    amount = r"(\$[0-9,]+\.[0-9]{2})\s*(.*)"
 
-    def bid(z: Column) -> Column:
-        name = F.concat(z["0"], F.when(z["2"] != "", F.concat(F.lit(" "), z["2"])).otherwise(""))
-        return F.struct(F.btrim(name, F.lit(" ,")).alias("name"), money(z["1"]).alias("amount"))
+    def bid(m: Column) -> Column:
+        suffix = F.nullif(F.regexp_extract(m, amount, 2), F.lit(""))
+        return _bid(F.concat_ws(" ", F.regexp_extract(m, "^[^$\t\r]*", 0), suffix), F.regexp_extract(m, amount, 1))
 
     def keep(b: Column) -> Column:
         name = b["name"]
         return (b["amount"] != 0) & (F.length(name) >= 3) & (is_engineer(name) | ~F.contains(name, F.lit("Estimate")))
 
-    return F.filter(F.transform(F.arrays_zip(names, amounts, tails), bid), keep)
+    return F.filter(F.transform(matches, bid), keep)
 
 
 def bid_rows(pages: DataFrame) -> DataFrame:
@@ -245,13 +282,15 @@ def bid_rows(pages: DataFrame) -> DataFrame:
     found = (
         summary_pages(with_layout(pages))
         .withColumn("_lines", lines_of(F.col("text")))
+        .withColumn("_seen", _amounts_on(F.col("_lines")))
         .select(
             "doc_id",
             F.col("page_no").alias("pdf_page"),
             bid_schedule_of(F.col("_lines")).alias("schedule"),
             option_of(F.col("_lines")).alias("option"),
-            F.explode(F.concat(_line_bids(F.col("_lines")), _flat_bids(F.col("text")))).alias("b"),
+            F.explode_outer(F.concat(_line_bids(F.col("_seen")), _flat_bids(F.col("text")))).alias("b"),
         )
+        .filter(F.col("b").isNotNull())
     )
     engineer = is_engineer(F.col("b.name"))
     return found.select(
@@ -279,13 +318,13 @@ def bid_amounts(pages: DataFrame) -> DataFrame:
 def qty_unit(line: Column) -> tuple[Column, Column]:
     """Quantity and unit: the first number followed by a known unit."""
     number = F.regexp_extract(line, QUANTITY_UNIT, 1)
-    return to_number(F.translate(number, ",", "")), capture(line, QUANTITY_UNIT, 2)
+    return printed_number(number), capture(line, QUANTITY_UNIT, 2)
 
 
 def money_pair(line: Column) -> tuple[Column, Column]:
     """Price and amount: the last two money values; a lone one is the amount."""
     values = F.regexp_extract_all(line, F.lit(fixed.MONEY), F.lit(1))
-    return money(F.try_element_at(values, F.lit(-2))), money(F.try_element_at(values, F.lit(-1)))
+    return printed_number(F.try_element_at(values, F.lit(-2))), printed_number(F.try_element_at(values, F.lit(-1)))
 
 
 def _opens_block(line: Column) -> Column:
@@ -320,8 +359,9 @@ def item_blocks(pages: DataFrame) -> DataFrame:
             *kept, "layout",
             schedule_of(lines).alias("schedule"),
             option_of(lines).alias("option"),
-            F.inline(F.transform(F.col("_starts"), block)),
+            F.inline_outer(F.transform(F.col("_starts"), block)),
         )
+        .filter(F.col("block_no").isNotNull())
     )
     pay_item = capture(F.col("header"), fixed.PAY_ITEM)
     rest = F.substr(F.col("header"), F.instr(F.col("header"), pay_item) + F.length(pay_item))

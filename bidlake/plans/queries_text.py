@@ -6,6 +6,7 @@ The SQL side never parses: it says what was printed.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidlake.functions.text import money
 from bidlake.operators import items, pages
 from bidlake.plans import rendered
 from bidlake.plans.documents import parse_documents
@@ -201,7 +202,7 @@ def clean_cells(spark, sf_dir):
     """Cells without the printed footer; item rows have no contractor."""
     rows = items.item_table_rows(page_cells(spark, sf_dir)).filter("c3 <> ''")
     kind = F.when(F.col("c3") == "Engineer's Estimate", "e").otherwise("b")
-    return rows.select("doc_id", "page_no", "c3", pages.money(F.col("c7")).alias("amount"), kind.alias("n"))
+    return rows.select("doc_id", "page_no", "c3", money(F.col("c7")).alias("amount"), kind.alias("n"))
 
 
 @query(
