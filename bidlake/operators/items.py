@@ -340,19 +340,15 @@ def line_items_cells(cells: DataFrame, pages: DataFrame) -> DataFrame:
     )
 
 
-def merge_qty_unit(items_cells: DataFrame, items_text: DataFrame) -> DataFrame:
-    """Quantity and unit that table rows lack, from the last text row of the same key.
-
-    Text rows of documents that have no table rows are added as they are.
-    """
+def fill_from_text(items_cells: DataFrame, items_text: DataFrame) -> DataFrame:
+    """Quantity and unit that table rows lack, from the last text row of the same key."""
     keys = ["doc_id", "schedule", "line_item_no", "pay_item_no", "contractor"]
     place = F.struct("pdf_page", *ORDER_COLUMNS)
     last = items_text.groupBy(*keys).agg(F.max_by(F.struct("quantity", "unit"), place).alias("_text"))
     joined = null_safe_join(items_cells, last, keys)
-    filled = joined.withColumns({
+    return joined.withColumns({
         "quantity": F.coalesce("quantity", "_text.quantity"), "unit": F.coalesce("unit", "_text.unit"),
     }).drop("_text")
-    return filled.unionByName(text_only(items_cells, items_text))
 
 
 def text_only(items_cells: DataFrame, items_text: DataFrame) -> DataFrame:
@@ -360,10 +356,6 @@ def text_only(items_cells: DataFrame, items_text: DataFrame) -> DataFrame:
     return items_text.join(items_cells.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
-def table_or_text(items_cells: DataFrame, items_text: DataFrame) -> DataFrame:
-    """Table rows, and text rows of the documents without any."""
-    return items_cells.unionByName(text_only(items_cells, items_text))
-
-
-def layout_of(pages: DataFrame) -> DataFrame:
-    return with_layout(pages).groupBy("doc_id").agg(F.max("layout").alias("layout"))
+def merge_qty_unit(items_cells: DataFrame, items_text: DataFrame) -> DataFrame:
+    """Table rows filled from text rows, and the text rows of documents without table rows."""
+    return fill_from_text(items_cells, items_text).unionByName(text_only(items_cells, items_text))

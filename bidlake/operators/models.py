@@ -69,14 +69,12 @@ def spec_of(kind: str, leak_free: bool = False) -> Spec:
 def encode_categories(train: DataFrame, columns: list[str], target: str) -> dict[str, DataFrame]:
     """Per column a table value -> smoothed mean of the target over the training rows."""
     known = train.filter(F.col(target).isNotNull())
-    overall = known.agg(F.avg(target).alias("_overall"))
+    overall = known.agg(F.avg(target)).scalar()
     out = {}
     for c in columns:
         sums = known.filter(F.col(c).isNotNull()).groupBy(c).agg(F.sum(target).alias("_sum"), F.count(F.lit(1)).alias("_n"))
-        # One row joined to all: the overall mean.
-        with_mean = sums.join(F.broadcast(overall), F.lit(True))
-        mean = (F.col("_sum") + SMOOTHING * F.col("_overall")) / (F.col("_n") + SMOOTHING)
-        out[c] = with_mean.select(c, mean.alias(f"{c}_mean"))
+        mean = (F.col("_sum") + SMOOTHING * overall) / (F.col("_n") + SMOOTHING)
+        out[c] = sums.select(c, mean.alias(f"{c}_mean"))
     return out
 
 
