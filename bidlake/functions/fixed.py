@@ -85,5 +85,7 @@ CELL_FOOTERS = [
     r"\[Timezone:.*?\]",
 ]
 
+CELL_FOOTER_MARKS = ["Report Generated on", "Generated by", "[Timezone:"]
+
 # Relative tolerance of the amount checks.
 AMOUNT_TOLERANCE = 0.01

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from bidlake.functions import fixed
@@ -10,6 +10,7 @@ from bidlake.functions.ordered import last_seen
 from bidlake.functions.text import holds_any, is_engineer, money, norm_ws, qty
 from bidlake.operators.pages import contractor_names, item_blocks, money_pair, page_context, qty_unit, with_layout
 from bidlake.operators.repair import null_safe_join
+from bidlake.sources.writers import written
 
 ITEM_COLUMNS = [
     "doc_id", "pdf_page", "schedule", "option", "line_item_no", "pay_item_no", "description",
@@ -18,6 +19,14 @@ ITEM_COLUMNS = [
 ORDER_COLUMNS = ["block_no", "line_no"]
 
 
+def stored_names(pages: DataFrame) -> DataFrame:
+    """Company names per document as a table in the shared folder.
+
+    Names are looked at several times, and finding them reads all page text.
+    """
+    return written(contractor_names(pages), "names")
+
+
 # ---- prefix layout -----------------------------------------------------------------------
 
 
@@ -83,7 +92,7 @@ def _finish(rows: DataFrame, contractor: Column, engineer: Column, line: Column,
 
 def line_items_text(pages: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Item rows of the prefix layout: engineer lines, and lines that start with a known name."""
-    names = contractor_names(pages) if names is None else names
+    names = stored_names(pages) if names is None else names
     rows = match_names(_block_lines(item_blocks(pages)), names)
     own_qty, own_unit = (F.when(~F.col("engineer"), c) for c in qty_unit(F.col("line")))
     return _finish(
@@ -216,7 +225,7 @@ def _wrapped_name(marked: Column, x: Column) -> Column:
 
 def line_items_wrapped(pages: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Item rows of the wrapped layout: names may be broken over lines around the money."""
-    names = contractor_names(pages) if names is None else names
+    names = stored_names(pages) if names is None else names
     blocks = _body_with_fragments(item_blocks(pages), names)
     body = F.col("body")
     rests = F.transform(F.filter(body, lambda x: x["rest"] != ""), lambda x: x["rest"])
@@ -243,7 +252,16 @@ def line_items_wrapped(pages: DataFrame, names: DataFrame | None = None) -> Data
 def clean_cell(c: Column) -> Column:
     """Cell text without printed footers."""
     text = norm_ws(F.coalesce(c, F.lit("")))
-    return norm_ws(reduce(lambda t, p: F.regexp_replace(t, p, ""), fixed.CELL_FOOTERS, text))
+    without = norm_ws(reduce(lambda t, p: F.regexp_replace(t, p, ""), fixed.CELL_FOOTERS, text))
+    return F.when(holds_any(text, fixed.CELL_FOOTER_MARKS), without).otherwise(text)
+
+
+def whole_table() -> WindowSpec:
+    """All rows of a page's table. It has an order so that every window here shares one sort."""
+    return (
+        Window.partitionBy("doc_id", "page_no", "table_no").orderBy("row_no")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
 
 
 def item_table_rows(cells: DataFrame) -> DataFrame:
@@ -252,13 +270,14 @@ def item_table_rows(cells: DataFrame) -> DataFrame:
     A table is an item table if its first row is a header, or if any row starts with a
     line-item and a pay-item number.
     """
-    table = Window.partitionBy("doc_id", "page_no", "table_no")
+    table = whole_table()
 
     def raw(i: int) -> Column:
         return norm_ws(F.coalesce(F.try_element_at("cells", F.lit(i + 1)), F.lit("")))
 
     joined = F.array_join(F.transform("cells", lambda c: norm_ws(F.coalesce(c, F.lit("")))), " ")
-    header = (F.col("row_no") == F.col("_first")) & F.contains(joined, F.lit("Line Item")) & F.contains(joined, F.lit("Pay Item"))
+    titles = F.contains(joined, F.lit("Line Item")) & F.contains(joined, F.lit("Pay Item"))
+    header = F.when(F.col("row_no") == F.col("_first"), titles).otherwise(False)
     signature = raw(0).rlike(rf"^{fixed.LINE_ITEM}$") & raw(1).rlike(rf"^{fixed.PAY_ITEM}$")
     marked = (
         cells.withColumn("_first", F.min("row_no").over(table))
@@ -281,8 +300,8 @@ def carry_cells(rows: DataFrame) -> DataFrame:
     carried as it was. Whether they are known depends on earlier such rows, so the row from
     which each number is known is worked out first.
     """
-    table = Window.partitionBy("doc_id", "page_no", "table_no")
-    earlier = table.orderBy("row_no").rowsBetween(Window.unboundedPreceding, -1)
+    table = whole_table()
+    earlier = table.rowsBetween(Window.unboundedPreceding, -1)
     has = {i: F.col(f"c{i}") != "" for i in (0, 1, 2)}
     moneyless = (F.col("c3") != "") & F.col("unit_price").isNull() & F.col("amount").isNull()
 

@@ -25,7 +25,7 @@ from bidlake.schema import (
     LEAKING_INPUTS, TOTAL_BID_NUMBERS, TOTAL_ID_COLUMNS, UNIT_PRICE_CATEGORIES, UNIT_PRICE_ID_COLUMNS,
     UNIT_PRICE_NUMBERS, WIN_NUMBERS,
 )
-from bidlake.sources.writers import log_run, shared_dir
+from bidlake.sources.writers import log_run, shared_dir, written
 
 MISSING = -1.0  # value a missing number shows to the trees; its flag tells it from a real one
 SMOOTHING = 10.0  # rows' worth of the overall mean added to each category
@@ -152,13 +152,6 @@ def _use_shared_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoints"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder, so that it is worked out once."""
-    folder = shared_dir(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def fit(kind: str, train: DataFrame, trees: int = TREES, leak_free: bool = False) -> BidModel:
     """Fit on all rows of `train` whose target is not null.
 

@@ -46,17 +46,26 @@ GROUP BY project_no, project_name, schedule, option, contractor, is_engineers_es
 """
 
 
-def table_paths(sf_dir: str, names=TABLES) -> dict[str, str]:
-    """SQL references to the Parquet tables of a folder."""
-    return {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in names}
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores where the files give fewer splits than there are cores.
+
+    A large table has more splits than that and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables the bid lines are made of."""
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    return tables | {"lineitem": spread(tables["lineitem"])}
 
 
 def bid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bid-line table."""
-    return spark.sql(BID_LINES_SQL.format(**table_paths(sf_dir)))
+    return spark.sql(BID_LINES_SQL, **star_tables(spark, sf_dir))
 
 
 def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bidder totals with report date, state and county."""
-    inner = BID_LINES_SQL.format(**table_paths(sf_dir))
-    return spark.sql(BIDS_SQL.format(bid_lines=f"({inner})"))
+    return spark.sql(BIDS_SQL, bid_lines=bid_lines(spark, sf_dir))

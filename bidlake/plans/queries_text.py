@@ -14,12 +14,28 @@ from bidlake.plans.registry import query
 from bidlake.sources import readers, writers
 
 
+_stored: dict = {}
+
+
+def stored(spark, sf_dir, name: str, make) -> DataFrame:
+    """A derived table, written to the shared folder once per session and data set.
+
+    Pages are dealt out by document and page, so that summary pages do not end up together.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        folder = writers.shared_dir(spark, name)
+        make(rendered.blocks(spark, sf_dir)).repartition("doc_id", "page_no").write.parquet(folder)
+        _stored[key] = folder
+    return spark.read.parquet(_stored[key])
+
+
 def page_text(spark, sf_dir) -> DataFrame:
-    return rendered.page_text(rendered.blocks(spark, sf_dir))
+    return stored(spark, sf_dir, "pages", rendered.page_text)
 
 
 def page_cells(spark, sf_dir) -> DataFrame:
-    return rendered.page_cells(rendered.blocks(spark, sf_dir))
+    return stored(spark, sf_dir, "cells", rendered.page_cells)
 
 
 def of_layout(df: DataFrame, layout: str) -> DataFrame:
@@ -37,10 +53,10 @@ DATE = "concat(month(orderdate), '/', day(orderdate), '/', year(orderdate))"
     ("blocks",),
 )
 def read_page_text(spark, sf_dir):
-    """Page table written and read back."""
-    folder = writers.shared_dir(spark, "pages")
-    page_text(spark, sf_dir).write.parquet(folder)
-    return readers.read_page_text(spark, folder).filter(F.length("text") > 0).select("doc_id", "source_stem", "page_no", "layout")
+    """The stored page table."""
+    page_text(spark, sf_dir)
+    pages_of = readers.read_page_text(spark, _stored[(spark.sparkContext.applicationId, sf_dir, "pages")])
+    return pages_of.filter(F.length("text") > 0).select("doc_id", "source_stem", "page_no", "layout")
 
 
 META_SQL = f"""SELECT doc_id, concat('Tabulation_', doc_id) AS source_stem, layout, {DATE} AS report_date, concat('JOB ', orderkey) AS project_name,

@@ -9,7 +9,7 @@ wrapped-name layout; every third order also has its pages as tables.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlake.plans.bid_lines import table_paths
+from bidlake.plans.bid_lines import star_tables
 
 # Runs in Spark and DuckDB: one row per item block, with what is printed in it.
 BLOCKS_SQL = """
@@ -33,7 +33,8 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {orders} ON l_orderkey
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(BLOCKS_SQL.format(**table_paths(sf_dir)))
+    tables = star_tables(spark, sf_dir)
+    return spark.sql(BLOCKS_SQL, **{t: tables[t] for t in ("lineitem", "part", "orders")})
 
 
 def _money(c: str) -> F.Column:
