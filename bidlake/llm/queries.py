@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bidlake.llm import mixing, packing, tokens
+from bidlake.llm import cascade, cuckoo, mixing, packing, tokens, topk
 from bidlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,64 @@ def op2_mix(spark, sf_dir):
 def op3_pack(spark, sf_dir):
     """Pieces of windows of 2,048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+OP5_SQL = r"""
+WITH named AS (
+ SELECT doc_id, length(coalesce(text, '')) AS chars,
+  sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256
+ FROM documents),
+ranked AS (
+ SELECT *, first(doc_id) OVER w AS keep_id, first(chars) OVER w AS keep_chars, count(*) OVER (PARTITION BY text_sha256) AS group_size
+ FROM named WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND chars = keep_chars AS kept, text_sha256 FROM ranked
+"""
+
+
+@query(OP5_SQL)
+def op5_exact_dedup(spark, sf_dir):
+    """The row that stays of each group of equal texts."""
+    return cuckoo.exact_groups(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH parts AS (
+ SELECT page_id,
+  coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+ FROM pages),
+rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+ ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+ruled AS (
+ SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+ FROM (SELECT DISTINCT page_id, host, path FROM parts)
+ LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+ GROUP BY page_id, host, path)
+SELECT parts.page_id, parts.host, parts.path, rule,
+ coalesce(verdict, CASE WHEN regexp_matches(parts.host, '(^|[.-])(ad|ads|adult|betting|casino|porn|sex|track|tracker|xxx)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts JOIN ruled ON parts.page_id IS NOT DISTINCT FROM ruled.page_id AND parts.host = ruled.host AND parts.path = ruled.path
+"""
+
+
+@query(OP7_SQL)
+def op7_url_filter(spark, sf_dir):
+    """Rule and verdict of every page's url."""
+    return cascade.judge(table(spark, sf_dir, "pages"))
+
+
+OP10_SQL = """
+WITH fine AS (
+ SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+ SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+ FROM fine q JOIN fine c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+@query(OP10_SQL)
+def op10_top_k(spark, sf_dir):
+    """The five vectors of highest inner product for every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from bidlake.llm.common import SPACES, map_batches, text_key, text_or_empty, words
 from bidlake.sources.writers import written
 
-CHUNK, OVERLAP, WIDER = 16384, 512, 8
+CHUNK, OVERLAP, WIDER = 65536, 1024, 8
 
 
 def open_tokenizer(path: str):
@@ -167,7 +167,8 @@ def count_huge(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataFra
             chunks, _encode_chunks(path, chunk, overlap),
             "a long, b long, n long, edges array<struct<edge:long,away:long,check:long>>", 16,
         )
-        spliced = written(_splice(encoded), "spliced")
+        # Counts and edges are few bytes a chunk; written, they are not encoded once for each use.
+        spliced = written(_splice(written(encoded, "encoded")), "spliced")
         done.append(spliced.filter("ok").select("a", "b", "n_tokens"))
         failed = spliced.filter("NOT ok").select("a", "b")
         if failed.isEmpty():
