@@ -11,8 +11,7 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_TO_BLANK = str.maketrans(SPACES[1:], " " * (len(SPACES) - 1))
-_TO_LOWER = str.maketrans(UPPER, LOWER)
+_LOWER_WORDS = bytes.maketrans((SPACES + UPPER).encode(), (" " * len(SPACES) + LOWER).encode())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,14 +28,9 @@ def text_key(name: str = "text") -> Column:
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
 
 
-def words(text: str) -> list[str]:
-    """The words of a text in order: runs of anything but ASCII white space."""
-    return [w for w in text.translate(_TO_BLANK).split(" ") if w]
-
-
-def lower_words(text: str) -> list[str]:
-    """The same with A-Z lower-cased, and nothing else."""
-    return words(text.translate(_TO_LOWER))
+def lower_words(text: bytes) -> list[bytes]:
+    """The words of a UTF-8 text in order, runs of anything but ASCII white space; A-Z lower-cased and nothing else."""
+    return [w for w in text.translate(_LOWER_WORDS).split(b" ") if w]
 
 
 def map_batches(

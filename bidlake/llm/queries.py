@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlake.llm import cascade, cuckoo, mixing, packing, tokens, topk
+from bidlake.llm import cascade, cuckoo, mixing, oddsketch, packing, tokens, topk
 from bidlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,13 @@ def op3_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query()
+def op4_near_dedup(spark, sf_dir):
+    """Near-duplicate component of every document, on sets of four-word shingles."""
+    rows = oddsketch.near_groups(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 OP5_SQL = r"""
 WITH named AS (
  SELECT doc_id, length(coalesce(text, '')) AS chars,
