@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlake.llm import cascade, cuckoo, mixing, oddsketch, packing, tokens, topk
+from bidlake.llm import cascade, cuckoo, mixing, oddsketch, packing, tokens, topk, toxicity
 from bidlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,13 @@ def op5_exact_dedup(spark, sf_dir):
     return cuckoo.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 OP7_SQL = r"""
 WITH parts AS (
  SELECT page_id,
