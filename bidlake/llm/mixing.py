@@ -19,11 +19,14 @@ SHARE_NUMERATOR, SHARE_DENOMINATOR, MOST = 3, 2, 2
 RANGE_DIGITS = 3
 
 
+def word_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(WORD)).cast("long")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, key) with the words of each text counted."""
-    size = F.expr(f"regexp_count(text, '{WORD.replace(chr(92), chr(92) * 2)}')").cast("long")
     return docs.select("doc_id", "source", text_or_empty().alias("text")).select(
-        "doc_id", "source", size.alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key")
+        "doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key")
     )
 
 
@@ -90,3 +93,20 @@ def mix(docs: DataFrame) -> DataFrame:
     rest = F.col("budget") - passes * F.col("source_size")
     taken = passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "before", "budget", "source")
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of docs in the mix, with all their columns: each as often as the mix takes it.
+
+    A document that the budget ends in is in once more, whole, if at least half of it is taken; texts without
+    words take none of the budget and stay once. Rows of equal id and size are taken as often as one of them says.
+    """
+    mine = docs.columns
+    taken = mix(docs).select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
+        F.when(F.col("size") == 0, 1).otherwise(F.expr("(2 * taken + size) div (2 * size)")).cast("int").alias("__times"),
+    ).groupBy("__id", "__source", "__size").agg(F.max("__times").alias("__times")).filter("__times > 0")
+    rows = docs.withColumn("__words", word_count(text_or_empty())).join(
+        taken, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
+    )
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*mine)

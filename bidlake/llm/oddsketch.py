@@ -5,12 +5,12 @@ cut into bands; classes that share a band meet in a bucket. A pair is verified i
 into parity bitmaps (odd sketches), whose XOR population count estimates the Jaccard similarity, drop pairs that
 are far off; full shingle sets decide the rest.
 
-A bucket is not expanded into all its pairs. First each member meets the bucket's smallest class. What links is
-joined into components, and a bucket whose members lie in one component is done. In the others only pairs of
-different components are compared, by sketches, inside tasks, in blocks that several tasks share, and only the
-pairs that the sketches let through leave the task. So no link between different components is lost, but for the
+A bucket is not expanded into all its pairs. First each class meets the smallest class of its buckets, the one it shares most of them with. What links is
+joined into components, and a bucket whose members lie in one component is done. In the others pairs of
+different components are compared, by sketches, inside tasks, in blocks that several tasks share, and only
+pairs that the sketches let through leave the task: first the nearest two of each class, then, of what is still apart, all. So no link between different components is lost, but for the
 chance that a pair above the threshold shares no band (below 1e-7 at 0.8 with 32 bands of 4) or that its
-estimate is off by more than `MARGIN`, six standard deviations.
+estimate is off by more than `MARGIN`, over four standard deviations.
 """
 
 from collections.abc import Iterator
@@ -27,7 +27,7 @@ from bidlake.sources.writers import written
 
 BANDS, ROWS, SKETCH_BITS, SEED = 32, 4, 1024, 7
 #: How far below the threshold an estimate may be for the pair to be checked in full.
-MARGIN = 0.22
+MARGIN = 0.17
 BLOCK = 1024
 
 
@@ -206,22 +206,27 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(rows.select("v", "u", "shingles"), _confirm(percent), "u long, v long", 256)
 
 
-def _across(most: int):
+def _across(most: int, best: int | None):
     """Pairs of different components in one block, or of two blocks, of a bucket whose sketches are near enough.
 
-    Rows come sorted by (bucket, first, second); `side` is the block of the row.
+    Rows come sorted by (bucket, first, second); `side` is the block of the row. With `best`, each member gives its
+    nearest few only. A pair that shares an earlier band is left to the bucket of that band.
     """
 
-    def compare(left: list, right: list | None) -> tuple[list, list]:
-        a = np.array([x[1] for x in left]).view(np.uint64)
-        b = a if right is None else np.array([x[1] for x in right]).view(np.uint64)
-        right_rows = left if right is None else right
-        roots, ids = np.array([x[2] for x in right_rows]), np.array([x[0] for x in right_rows])
+    def compare(left: list, right: list, same: bool) -> tuple[list, list]:
+        a, b = (np.array([x[1] for x in rows]).view(np.uint64) for rows in (left, right))
+        bands_a, bands_b = (np.array([x[3] for x in rows]) for rows in (left, right))
+        roots, ids = np.array([x[2] for x in right]), np.array([x[0] for x in right])
         u, v = [], []
-        for i, (cid, _, root) in enumerate(left):
+        for i, (cid, _, root, _, band) in enumerate(left):
             at = np.flatnonzero(roots != root)
-            at = at[at > i] if right is None else at
-            at = at[np.bitwise_count(b[at] ^ a[i]).sum(axis=1, dtype=np.int64) <= most]
+            at = at[at > i] if same and best is None else at
+            n = np.bitwise_count(b[at] ^ a[i]).sum(axis=1, dtype=np.int64)
+            at, n = at[n <= most], n[n <= most]
+            if best is None:
+                at = at[~(bands_b[at, :band] == bands_a[i, :band]).any(axis=1)]
+            elif len(at) > best:
+                at = at[np.argpartition(n, best)[:best]]
             u += [cid] * len(at)
             v += ids[at].tolist()
         return u, v
@@ -230,39 +235,39 @@ def _across(most: int):
         key, held = None, {}
 
         def done() -> pa.RecordBatch:
-            first, second = key[1:]
-            u, v = [], []
-            if first == second:
-                u, v = compare(held[first], None)
-            elif len(held) == 2:
-                u, v = compare(held[first], held[second])
+            first, second = (held.get(side, []) for side in key[1:])
+            u, v = compare(first, second, key[1] == key[2]) if first and second else ([], [])
+            if best is not None and key[1] != key[2] and u:
+                more = compare(second, first, False)
+                u, v = u + more[0], v + more[1]
             return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["x", "y"])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "first", "second", "side", "cid", "sketch", "root")]
-            for bucket, first, second, side, cid, sketch, root in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "first", "second", "side", "cid", "sketch", "root", "bands", "band")]
+            for bucket, first, second, side, *row in zip(*columns):
                 if (bucket, first, second) != key:
                     if key is not None:
                         yield done()
                     key, held = (bucket, first, second), {}
-                held.setdefault(side, []).append((cid, sketch, root))
+                held.setdefault(side, []).append(tuple(row))
         if key is not None:
             yield done()
 
     return run
 
 
-def across(met: DataFrame, roots: DataFrame, classes: DataFrame, most: int) -> DataFrame:
-    """Pairs (u, v) that share a bucket of met(bucket, cid, n), lie in different components, and have near sketches."""
-    rows = met.filter("n > 2").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+def across(met: DataFrame, roots: DataFrame, classes: DataFrame, most: int, best: int | None = None) -> DataFrame:
+    """Pairs (u, v) that share a bucket of met(bucket, band, cid, n), lie in different components, and have near sketches."""
+    rows = met.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     open_ = rows.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket")
-    rows = rows.join(open_, "bucket").join(classes.select("cid", "sketch"), "cid")
+    rows = rows.join(open_, "bucket").join(classes.select("cid", "sketch", "bands"), "cid")
     blocks = F.ceil(F.col("n") / BLOCK)
     rows = rows.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("cid"), "blocks"))
     rows = rows.withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumns({"first": F.least("side", "t"), "second": F.greatest("side", "t")})
+    rows = rows.select("bucket", "first", "second", "side", "cid", "sketch", "root", "bands", "band")
     rows = rows.repartition("bucket", "first", "second").sortWithinPartitions("bucket", "first", "second")
-    pairs = map_batches(rows.select("bucket", "first", "second", "side", "cid", "sketch", "root"), _across(most), "x long, y long", 4096)
+    pairs = map_batches(rows, _across(most, best), "x long, y long", 4096)
     return pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
 
 
@@ -282,13 +287,13 @@ def _only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
-    """(doc_id, text_key, n_shingles, component_id, kept) of every row of docs(doc_id, text).
+    """(doc_id, text_key, n_shingles, component_id, component, kept) of every row of docs(doc_id, text).
 
     The shingle set of a text is its distinct runs of `shingle` words, A-Z lower-cased; with fewer words, the whole
     sequence. Sets with 100 * intersection >= percent * union are linked; a text without words, or null, has an
     empty set, no link, and itself as component. component_id is the smallest doc_id reachable (null only if all
     ids there are null); kept is doc_id = component_id. Repeated rows are linked to each other. Other columns are not
-    read; text_key is a 64-bit hash of the text.
+    read; text_key is a 64-bit hash of the text, component numbers components, also those without ids.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     texts = texts.withColumn("text_key", F.xxhash64("text"))
@@ -298,16 +303,17 @@ def near_groups(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFra
         one, F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("least")
     )
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    members = classes.select(F.explode("bands").alias("bucket"), "cid")
+    members = classes.select(F.posexplode("bands").alias("band", "bucket"), "cid")
     buckets = members.groupBy("bucket").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     met = written(members.join(buckets, "bucket"), "buckets")
 
     near = most_differing(percent / 100)
     sketch = lambda c, s: classes.select(F.col("cid").alias(c), F.col("sketch").alias(s))
     differing = F.expr("aggregate(zip_with(a, b, (x, y) -> bit_count(x ^ y)), 0, (s, n) -> s + n)")
-    pairs = met.filter("cid <> hub").select(F.col("cid").alias("u"), F.col("hub").alias("v")).distinct()
-    pairs = pairs.join(sketch("u", "a"), "u").join(sketch("v", "b"), "v").select("u", "v", differing.alias("d"))
-    pairs = written(pairs.filter(F.col("d") <= near), "pairs")
+    # Each class first meets the hub with which it shares most buckets.
+    shared = met.filter("cid <> hub").groupBy("cid", "hub").agg((-F.count("*")).alias("n"))
+    pairs = shared.groupBy(F.col("cid").alias("u")).agg(F.min(F.struct("n", "hub")).alias("m")).select("u", F.col("m.hub").alias("v"))
+    pairs = pairs.join(sketch("u", "a"), "u").join(sketch("v", "b"), "v").filter(differing <= near).select("u", "v")
 
     wanted = met.select("cid").distinct().join(classes, "cid").select("cid", "one.doc_id", "one.text_key")
     wanted = written(wanted, "wanted")
@@ -316,22 +322,37 @@ def near_groups(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFra
     sets = map_batches(found.select("cid", "text"), _sets(shingle), "cid long, shingles array<bigint>")
     sets = written(sets.dropDuplicates(["cid"]), "sets")
 
-    # Each class first meets the hub nearest to it; what that joins need not be compared again.
-    best = pairs.groupBy("u").agg(F.min(F.struct("d", "v")).alias("best")).select("u", "best.v")
-    edges = written(confirmed(best, sets, percent), "edges")
+    # What a step joins need not be compared by the next: the hub, the nearest few, then all that is left.
+    edges = written(confirmed(pairs, sets, percent), "edges")
+    for best in (2, None):
+        roots = written(components(edges), "roots")
+        edges = written(edges.union(confirmed(across(met, roots, classes, near, best), sets, percent)), "edges")
     roots = written(components(edges), "roots")
-    root = lambda c: roots.select(F.col("cid").alias(c), F.col("root").alias(f"root_{c}"))
-    rest = pairs.select("u", "v").union(across(met, roots, classes, near)).distinct()
-    rest = rest.join(root("u"), "u", "left").join(root("v"), "v", "left").filter(
-        F.coalesce("root_u", "u") != F.coalesce("root_v", "v")
-    ).select("u", "v")
-    roots = written(components(edges.union(confirmed(rest, sets, percent))), "roots")
 
     labelled = classes.join(roots, "cid", "left").select("class", F.coalesce("root", "cid").alias("root"), "least")
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = labelled.join(least, "root").select("class", "component_id")
+    labels = labelled.join(least, "root").select("class", "component_id", F.col("root").alias("component"))
     rows = signed.join(labels, "class", "left").withColumn(
         "component_id", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     )
+    # Texts without shingles are components of their own, by id and text.
+    alone = F.when(F.col("class").isNull(), F.xxhash64("doc_id", "text_key")).otherwise(F.col("component"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
-    return rows.select("doc_id", "text_key", "n_shingles", "component_id", kept.alias("kept"))
+    return rows.select("doc_id", "text_key", "n_shingles", "component_id", alone.alias("component"), kept.alias("kept"))
+
+
+def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that stay, with all their columns: of each component the one of smallest doc_id.
+
+    Where several rows share that id, or no row of a component has an id, the one of smallest text key stays.
+    """
+    mine = docs.columns
+    verdicts = written(near_groups(docs, shingle, percent), "verdicts")
+    # Rows without shingles are alone; the others of a component compete.
+    stay = verdicts.groupBy("component_id", "component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))).alias("one")
+    ).select(F.col("one.id").alias("__id"), F.col("one.key").alias("__key")).distinct()
+    rows = docs.withColumn("__text", F.xxhash64(text_or_empty())).join(
+        stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key"))
+    )
+    return rows.dropDuplicates(["__id", "__key"]).select(*mine)
