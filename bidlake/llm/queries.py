@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlake.llm import cascade, cuckoo, lbl, mixing, oddsketch, packing, tokens, topk, toxicity
+from bidlake.llm import cascade, cuckoo, lbl, mixing, oddsketch, packing, suffixes, tokens, topk, toxicity
 from bidlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,12 @@ def op7_url_filter(spark, sf_dir):
     return cascade.judge(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op8_repeated_passages(spark, sf_dir):
+    """What is left of each text without passages of 400 bytes that occur elsewhere too."""
+    return suffixes.strike_repeats(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_lm_scores(spark, sf_dir):
     """Log probabilities of every text by unigrams and by the log-bilinear model."""
