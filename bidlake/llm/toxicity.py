@@ -26,7 +26,7 @@ from xxhash import xxh64_intdigest
 from bidlake.llm.common import LOWER, SPACES, UPPER, map_batches, text_or_empty
 from bidlake.llm.oddsketch import min_hashes
 
-SAMPLE, LANDMARKS, LONGEST, COVER = 3000, 32, 24, 4
+SAMPLE, LANDMARKS, LONGEST, COVER = 2000, 32, 24, 4
 DECAY, FLOOR, CUTOFF = 0.6, 0.4, 0.7
 
 _LOWER = bytes.maketrans((SPACES + UPPER).encode(), (" " * len(SPACES) + LOWER).encode())
@@ -131,9 +131,13 @@ class Model:
         return out
 
     def features(self, texts: list[bytes]) -> list[list[np.ndarray]]:
-        pieces = [words_of(t) for t in texts]
-        self.learn_words(set().union(*pieces))
-        return [self.sentences(t) if not p.isdisjoint(self.near_words) else [] for t, p in zip(texts, pieces)]
+        out = []
+        for i in range(0, len(texts), 256):
+            part = texts[i : i + 256]
+            pieces = [words_of(t) for t in part]
+            self.learn_words(set().union(*pieces))
+            out += [self.sentences(t) if not p.isdisjoint(self.near_words) else [] for t, p in zip(part, pieces)]
+        return out
 
     def margins(self, texts: list[bytes]) -> np.ndarray:
         return np.array([max([self.bias, *(self.bias + float(self.weights @ s) for s in x)]) for x in self.features(texts)])
@@ -156,48 +160,58 @@ def words_of(text: bytes) -> set[bytes]:
     return words
 
 
-def starts_of(text: bytes) -> set[bytes]:
+def starts_of(text: bytes) -> Iterator[bytes]:
     """The beginnings, of four to nine letters, of the words of a text."""
-    return {s[:n] for w in words_of(text) for s in spellings(w)[:1] for n in range(5, min(len(s), 10) + 1)}
+    return (s[:n] for w in words_of(text) for s in spellings(w)[:1] for n in range(5, min(len(s), 10) + 1))
+
+
+def hashed_starts(text: bytes) -> np.ndarray:
+    """Distinct hashes of them; the strings themselves would fill the driver."""
+    return np.unique(np.array([xxh64_intdigest(s) for s in starts_of(text)], dtype=np.uint64))
 
 
-def one_of_each(sets: list[set[bytes]]) -> list[int]:
+def one_of_each(hashes: list[np.ndarray]) -> list[int]:
     """The first text of each family of near copies, which would else pass for many witnesses."""
     seen: set[tuple[int, bytes]] = set()
     first = []
-    for i, s in enumerate(sets):
-        m = min_hashes(np.array([xxh64_intdigest(x) for x in s], dtype=np.uint64))
-        bands = {(k, m[k : k + 6].tobytes()) for k in range(0, len(m) - 5, 6)} if s else set()
+    for i, h in enumerate(hashes):
+        m = min_hashes(h)
+        bands = {(k, m[k : k + 6].tobytes()) for k in range(0, len(m) - 5, 6)} if len(h) else set()
         if bands.isdisjoint(seen):
             first.append(i)
         seen |= bands
     return first
 
 
-def mine_landmarks(sets: list[set[bytes]], toxic: np.ndarray) -> list[bytes]:
+def likelihood_ratio(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Twice the log likelihood ratio of a of n1 against b of n0."""
+    fit = lambda k, n, p: k * np.log(np.maximum(p, 1e-300)) + (n - k) * np.log(np.maximum(1 - p, 1e-300))
+    p = (a + b) / (n1 + n0)
+    return 2 * (fit(a, n1, a / n1) + fit(b, n0, b / n0) - fit(a, n1, p) - fit(b, n0, p))
+
+
+def mine_landmarks(texts: list[bytes], hashes: list[np.ndarray], toxic: np.ndarray) -> list[bytes]:
     """Word beginnings of toxic documents, each the best for those that hold few of the earlier ones.
 
     A beginning must be so much commoner among toxic documents that chance would not show one such among all that
     are tried (likelihood ratio).
     """
+    n1, n0 = int(toxic.sum()), int(len(toxic) - toxic.sum())
+    seen, a = np.unique(np.concatenate([h for h, t in zip(hashes, toxic) if t]), return_counts=True)
+    seen, a = seen[a >= 3], a[a >= 3]
+    b = np.zeros(len(seen), dtype=np.int64)
+    for h, t in zip(hashes, toxic):
+        if not t:
+            b += np.isin(seen, h, assume_unique=True)
+    good = (a * n0 > 4 * b * n1) & (likelihood_ratio(a, b, n1, n0) > 2 * np.log(20 * max(1, len(seen))))
+    wanted = dict(zip(seen[good].tolist(), b[good].tolist()))
     held: dict[bytes, set[int]] = {}
+    clean: dict[bytes, int] = {}
     for i in np.flatnonzero(toxic):
-        for s in sets[i]:
-            held.setdefault(s, set()).add(int(i))
-    n1, n0 = int(toxic.sum()), int(len(toxic) - toxic.sum())
-    held = {s: d for s, d in held.items() if len(d) >= 3}
-    clean = Counter()
-    for i in np.flatnonzero(~toxic):
-        clean.update(sets[i] & held.keys())
-
-    def ratio(a: int, b: int) -> float:
-        """Twice the log likelihood ratio of a of n1 against b of n0."""
-        fit = lambda k, n, p: k * np.log(max(p, 1e-300)) + (n - k) * np.log(max(1 - p, 1e-300))
-        p = (a + b) / (n1 + n0)
-        return 2 * (fit(a, n1, a / n1) + fit(b, n0, b / n0) - fit(a, n1, p) - fit(b, n0, p))
-
-    least = 2 * np.log(20 * max(1, len(held)))
-    held = {s: d for s, d in held.items() if len(d) * n0 > 4 * clean[s] * n1 and ratio(len(d), clean[s]) > least}
+        for s in set(starts_of(texts[i])):
+            if (h := xxh64_intdigest(s)) in wanted:
+                held.setdefault(s, set()).add(int(i))
+                clean[s] = wanted[h]
     # A document stays open until `COVER` landmarks occur in it; longer forms of a landmark add nothing.
     marks, times, open_ = [], Counter(), set(np.flatnonzero(toxic).tolist())
     while held and len(marks) < LANDMARKS:
@@ -249,12 +263,12 @@ def train(texts: list[bytes], toxic: np.ndarray) -> Model:
     flat = Model([], np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
     if not len(toxic) or toxic.all() or not toxic.any():
         return flat
-    sets = [starts_of(t) for t in texts]
-    first = one_of_each(sets)
-    texts, toxic, sets = [texts[i] for i in first], toxic[first], [sets[i] for i in first]
+    hashes = [hashed_starts(t) for t in texts]
+    first = one_of_each(hashes)
+    texts, toxic, hashes = [texts[i] for i in first], toxic[first], [hashes[i] for i in first]
     if toxic.all() or not toxic.any():
         return flat
-    marks = mine_landmarks(sets, toxic)
+    marks = mine_landmarks(texts, hashes, toxic)
     if not marks:
         return flat
     model = Model(marks, np.ones(len(marks)), 0.0, 1.0, 0.0)
