@@ -115,7 +115,7 @@ def _pack(path: str, size: int, most_open: int):
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
 
         for batch in batches:
-            texts = encoder.encode(batch.column("text").to_pylist())
+            texts = encoder.encode(batch.column("text").cast(pa.binary()).to_pylist())
             out = [r for doc, ids in zip(batch.column("doc_id").to_pylist(), texts) for r in rows(packer.add(doc, ids + end))]
             if out:
                 yield as_batch(out)

@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import SPACES, map_batches, text_key, text_or_empty, words
+from bidlake.llm.common import LOWER, SPACES, UPPER, map_batches, text_key, text_or_empty
 from bidlake.sources.writers import written
 
-CHUNK, OVERLAP, WIDER = 65536, 1024, 8
+CHUNK, OVERLAP, WIDER = 16384, 512, 8
 
 
 def open_tokenizer(path: str):
@@ -38,13 +38,20 @@ def open_tokenizer(path: str):
 
 
 class WordEncoder:
-    """Ids of a text, joined from the ids of its words; remembers up to `memory` short words."""
+    """Ids of a text, joined from the ids of its words.
+
+    Remembers the words of late: two generations of up to `memory` short words. The tokenizer lower-cases
+    anyway, so A-Z are lower-cased first, unless the text may hold a special token, whose case counts.
+    """
 
     _open: dict[str, "WordEncoder"] = {}
+    _blank = bytes.maketrans(SPACES.encode(), b" " * len(SPACES))
+    _lower = bytes.maketrans((SPACES + UPPER).encode(), (" " * len(SPACES) + LOWER).encode())
 
-    def __init__(self, path: str, memory: int = 150_000, longest: int = 64):
+    def __init__(self, path: str, memory: int = 400_000, longest: int = 64):
         self.tokenizer, self.memory, self.longest = open_tokenizer(path), memory, longest
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
+        self.before: dict[bytes, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> "WordEncoder":
@@ -53,22 +60,24 @@ class WordEncoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        pieces = [words(t) for t in texts]
-        new = list(set().union(*pieces).difference(self.known)) if pieces else []
-        if len(self.known) + len(new) > self.memory:
-            self.known = {}
-            new = list(set().union(*pieces))
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each UTF-8 text."""
+        pieces = [t.translate(self._blank if b"<|" in t else self._lower).split(b" ") for t in texts]
+        wanted = set().union(*pieces)
+        if len(self.known) > self.memory:
+            self.known, self.before = {b"": b""}, self.known
+        new = wanted.difference(self.known)
+        old = {w for w in new if w in self.before}
+        self.known.update((w, self.before[w]) for w in old)
+        new = list(new - old)
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
                 self.known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
         out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
-        if new and max(map(len, new)) > self.longest:
-            for w in new:
-                if len(w) > self.longest:
-                    del self.known[w]
+        for w in new:
+            if len(w) > self.longest:
+                del self.known[w]
         return out
 
 
@@ -147,7 +156,7 @@ def _count_small(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.at(path)
         for batch in batches:
-            ids = encoder.encode(batch.column("text").to_pylist())
+            ids = encoder.encode(batch.column("text").cast(pa.binary()).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array([len(x) // 4 for x in ids], pa.int64())],
                 names=["doc_id", "n_bytes", "n_tokens"],
@@ -167,8 +176,7 @@ def count_huge(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataFra
             chunks, _encode_chunks(path, chunk, overlap),
             "a long, b long, n long, edges array<struct<edge:long,away:long,check:long>>", 16,
         )
-        # Counts and edges are few bytes a chunk; written, they are not encoded once for each use.
-        spliced = written(_splice(written(encoded, "encoded")), "spliced")
+        spliced = written(_splice(encoded), "spliced")
         done.append(spliced.filter("ok").select("a", "b", "n_tokens"))
         failed = spliced.filter("NOT ok").select("a", "b")
         if failed.isEmpty():
