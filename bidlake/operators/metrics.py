@@ -56,9 +56,14 @@ def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
     return sums.select("mae", F.sqrt("mse").alias("rmse"), r2.alias("r2"), "rows")
 
 
+def scored_pairs(df: DataFrame, y: str, p: str) -> DataFrame:
+    """The rows with a label and a score; null and NaN scores say nothing about a label."""
+    return df.filter(F.col(y).isNotNull() & F.col(p).isNotNull() & ~F.isnan(F.col(p).cast("double")))
+
+
 def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
     """Distinct scores with positives, all rows, their running totals and overall totals."""
-    scores = df.groupBy(F.col(p).alias("score")).agg(
+    scores = scored_pairs(df, y, p).groupBy(F.col(p).alias("score")).agg(
         F.sum(F.col(y).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("all")
     )
     return running_totals(scores, double_digits(F.col("score")), ["pos", "all"])
@@ -92,7 +97,7 @@ def average_precision(df: DataFrame, y: str, p: str) -> DataFrame:
 def log_loss(df: DataFrame, y: str, p: str) -> DataFrame:
     """One row: mean negative log of the probability given to the true class."""
     q = F.greatest(F.lit(EPSILON), F.least(F.lit(1.0 - EPSILON), F.col(p)))
-    return df.agg(F.avg(-F.ln(F.when(F.col(y) == 1, q).otherwise(1 - q))).alias("log_loss"), F.count(F.lit(1)).alias("rows"))
+    return scored_pairs(df, y, p).agg(F.avg(-F.ln(F.when(F.col(y) == 1, q).otherwise(1 - q))).alias("log_loss"), F.count(F.lit(1)).alias("rows"))
 
 
 def classification_metrics(df: DataFrame, y: str, p: str) -> DataFrame:

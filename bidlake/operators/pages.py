@@ -109,74 +109,38 @@ def _label(pattern: str) -> str:
     return re.match(r"[A-Za-z ]+", pattern).group().rstrip().lower()
 
 
-LABELS = sorted({_label(p) for patterns in _captures().values() for p in patterns})
+def joined_documents(pages: DataFrame) -> DataFrame:
+    """One row per document: the text of its pages in order, a line break between two, and its first page's text."""
+    in_order = F.array_sort(F.collect_list(F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))))
+    first = F.max(F.when(F.col("page_no") == 1, F.col("text"))).alias("first_page")
+    whole = F.array_join(F.transform(in_order, lambda p: p["text"]), "\n")
+    return with_layout(pages).groupBy("doc_id", "source_stem", "layout").agg(whole.alias("text"), first)
 
 
-def _capture_all(df: DataFrame) -> DataFrame:
-    """One column per metadata pattern with what it captures; rows without any capture go.
+def doc_metadata(pages: DataFrame) -> DataFrame:
+    """One row per document: seven fields, each from the first pattern that hits anywhere in the joined pages.
 
-    Looking for a pattern's literal label first is much cheaper than the pattern.
+    A match may run over any number of pages. The project name falls back to the head of page 1 in the
+    wrapped layout. Looking for a pattern's literal label first is much cheaper than the pattern.
     """
-    df = df.withColumn("_lower", F.lower("text")).filter(holds_any(F.col("_lower"), LABELS))
-    out = {}
-    for field, patterns in _captures().items():
-        for i, pattern in enumerate(patterns):
-            value = F.when(F.contains("_lower", F.lit(_label(pattern))), capture(F.col("text"), METADATA_FLAGS + pattern))
-            if pattern == fixed.WRAPPED_PROJECT_NAME:
-                value = F.when(wrapped_layout(), value)
-            out[f"{field}_{i}"] = value
-    found = df.select("doc_id", "place", *[v.alias(k) for k, v in out.items()])
-    return found.filter(F.coalesce(*out).isNotNull())
-
-
-def _page_breaks(pages: DataFrame, depth: int = 3) -> DataFrame:
-    """Last lines of each page that name a label, followed by the first lines of the next page.
-
-    A match over a page break starts in the lines before it. Only these few lines are shuffled,
-    keyed by document and page.
-    """
-    lines = F.split(F.col("text"), r"\R")
-    keys = ["doc_id", "page_no"]
-    tail = F.array_join(F.slice(lines, -F.least(F.size(lines), F.lit(depth)), depth), "\n")
-    tails = pages.select(*keys, "layout", tail.alias("tail")).filter(holds_any(F.lower("tail"), LABELS))
-    head = F.array_join(F.slice(lines, 1, depth), "\n")
-    heads = pages.select("doc_id", (F.col("page_no") - 1).alias("page_no"), head.alias("head"))
-    text = F.concat_ws("\n", "tail", "head")
-    return tails.join(heads, keys).select(
-        "doc_id", "layout", F.struct("page_no", F.lit(1).alias("part")).alias("place"), text.alias("text")
-    )
+    documents = joined_documents(pages).withColumn("_lower", F.lower("text"))
 
+    def hit(pattern: str) -> Column:
+        here = F.contains("_lower", F.lit(_label(pattern)))
+        here = here & wrapped_layout() if pattern == fixed.WRAPPED_PROJECT_NAME else here
+        return F.when(here, capture(F.col("text"), METADATA_FLAGS + pattern))
 
-def doc_metadata(pages: DataFrame, across_pages: bool = True) -> DataFrame:
-    """One row per document: seven fields, each from the first pattern that hits anywhere.
-
-    A match lies within a page, or (`across_pages`) in the few lines around a page break. The
-    project name falls back to the head of page 1 in the wrapped layout.
-    """
-    pages = with_layout(pages)
-    place = F.struct("page_no", F.lit(0).alias("part"))
-    found = _capture_all(pages.select("doc_id", "layout", place.alias("place"), F.concat("text", F.lit("\n")).alias("text")))
-    if across_pages:
-        found = found.unionByName(_capture_all(_page_breaks(pages)))
-    first = {}
-    for field, patterns in _captures().items():
-        hits = [f"{field}_{i}" for i in range(len(patterns))]
-        first[field] = F.coalesce(*[F.min_by(h, F.when(F.col(h).isNotNull(), F.col("place"))) for h in hits])
-    values = found.groupBy("doc_id").agg(*[c.alias(name) for name, c in first.items()])
-    heads = (
-        pages.filter((F.col("page_no") == 1) & wrapped_layout())
-        .select("doc_id", header_project_name(F.col("text")).alias("_head_name"))
-        .filter(F.col("_head_name").isNotNull())
+    found = documents.select(
+        "doc_id", "source_stem", "layout", "first_page", *[F.coalesce(*map(hit, ps)).alias(field) for field, ps in _captures().items()]
     )
-    documents = pages.select("doc_id", "source_stem", "layout").distinct()
-    joined = documents.join(values, "doc_id", "left").join(heads, "doc_id", "left")
 
     def cleaned(name: str) -> Column:
         return F.nullif(F.when(wrapped_layout(), norm_ws(F.col(name))).otherwise(norm_blanks(F.col(name))), F.lit(""))
 
-    fields = {name: cleaned(name) for name in first}
-    fields["project_name"] = F.coalesce(fields["project_name"], "_head_name")
-    return joined.select("doc_id", "source_stem", "layout", *[c.alias(name) for name, c in fields.items()])
+    fields = {name: cleaned(name) for name in _captures()}
+    head = F.when(wrapped_layout(), header_project_name(F.col("first_page")))
+    fields["project_name"] = F.coalesce(fields["project_name"], head)
+    return found.select("doc_id", "source_stem", "layout", *[c.alias(name) for name, c in fields.items()])
 
 
 def header_project_name(text: Column) -> Column:

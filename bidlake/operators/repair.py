@@ -100,6 +100,8 @@ def merge_metadata(items: DataFrame, bids: DataFrame, dedupe: bool = False) -> D
     filled = [c for c in ("report_date", "state", "county") if c in bids.columns]
     keyed = bids.withColumns({k: v for k, v in blank_keys.items() if k in bids.columns})
     keys = [k for k in PROJECT_KEYS if k in bids.columns]
+    if not keys or any(k not in items.columns for k in keys):
+        raise ValueError(f"items and bids share too few of the keys {', '.join(PROJECT_KEYS)}")
     meta = keyed.select(*keys, *[F.col(c).alias(f"_bids_{c}") for c in filled])
     if dedupe and filled:
         found = F.min(F.struct(*[f"_bids_{c}" for c in filled])).alias("_m")

@@ -43,7 +43,7 @@ def read_line_items(spark, sf_dir):
     is_f = F.col("option").isNull()
     writers.write_csv(rows.filter(is_f).drop("option"), f"{folder}/a")
     writers.write_csv(rows.filter(~is_f).select(*reversed(rows.columns)), f"{folder}/b")
-    parts = [readers.read_line_items(spark, f"{folder}/{x}/*.csv", same_header=True) for x in "ab"]
+    parts = [readers.read_line_items(spark, f"{folder}/{x}/*.csv") for x in "ab"]
     return readers.union_relaxed(parts).select(*BID_COLUMNS, "report_date")
 
 
@@ -138,7 +138,7 @@ def write_dual(spark, sf_dir):
     """What both files hold."""
     folder = writers.shared_dir(spark, "dual")
     writers.write_dual(shape.coerce(bid_lines(spark, sf_dir)), f"{folder}/csv", f"{folder}/parquet")
-    back = readers.read_line_items(spark, f"{folder}/csv/*.csv", same_header=True).select(*BID_COLUMNS)
+    back = readers.read_line_items(spark, f"{folder}/csv/*.csv").select(*BID_COLUMNS)
     return back.unionByName(spark.read.parquet(f"{folder}/parquet").select(*BID_COLUMNS))
 
 

@@ -1,6 +1,5 @@
 """Writers: tables, metrics and the run log."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,12 +15,20 @@ CSV_OPTIONS = dict(
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under the cluster's shared folder (`spark.checkpoint.dir`)."""
+    """A new folder name under the cluster's shared folder (`spark.checkpoint.dir`); gone when the session ends.
+
+    A local master shares its disk with itself, so there the warehouse folder will do; elsewhere the setting is needed.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="bidlake-")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -32,8 +39,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def _csv_ready(df: DataFrame) -> DataFrame:
-    nested = ("struct", "array", "map")
-    return df.select(*[f.name for f in df.schema.fields if not f.dataType.simpleString().startswith(nested)])
+    """The frame without its row position; other nested columns have no CSV form."""
+    nested = [f.name for f in df.schema.fields if f.dataType.simpleString().startswith(("struct", "array", "map")) and f.name != "_pos"]
+    if nested:
+        raise ValueError(f"columns with no CSV form: {', '.join(nested)}")
+    return df.drop("_pos")
 
 
 def write_csv(df: DataFrame, path: str, fields: list[str] | None = None) -> None:
