@@ -126,11 +126,10 @@ def coerce(spark, sf_dir):
 
 @query(
     "SELECT page_id, regexp_replace(regexp_replace(regexp_extract(url, '[^/]*$'), '(.)[.][^.]*$', '\\1'), '[^A-Za-z0-9._-]+', '_', 'g') AS stem"
-    " FROM pages WHERE regexp_extract(url, '[^/]*$') <> ''"
+    " FROM pages"
 )
 def safe_stem(spark, sf_dir):
-    named = table(spark, sf_dir, "pages").filter(~F.col("url").endswith("/"))
-    return named.select("page_id", text.safe_stem(F.col("url")).alias("stem"))
+    return table(spark, sf_dir, "pages").select("page_id", text.safe_stem(F.col("url")).alias("stem"))
 
 
 @query(f"SELECT {ITEM_COLS} FROM bid_lines UNION ALL SELECT {ITEM_COLS} FROM bid_lines", ("bid_lines",))

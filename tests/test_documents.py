@@ -8,11 +8,11 @@ from bidlake.plans.documents import parse_documents
 
 SUMMARY = """Schedule: A
 Contractor Responsive? Bid Amount
-North Ridge Construction Corp. $587,750.00
-Engineer's Estimate $345,000.00"""
-ITEMS = """A0200 15101-0000 MOBILIZATION
-North Ridge Construction Corp. Lump Sum $100,000.00
-Engineer's Estimate 500 CUYD $100.00 $50,000.00"""
+Birch Hollow Construction Inc. $92,410.50
+Engineer's Estimate $88,020.00"""
+ITEMS = """A1130 62201-0250 CULVERT PIPE
+Birch Hollow Construction Inc. Lump Sum $41,205.75
+Engineer's Estimate 310 LNFT $65.00 $20,150.00"""
 CELLS = "doc_id string, page_no int, table_no int, row_no int, cells array<string>"
 
 
@@ -28,9 +28,9 @@ def got(df, *columns):
 def test_bid_summary(spark):
     rows = got(P.bid_amounts(pages_of(spark, SUMMARY)), "schedule", "contractor", "bid_amount", "is_engineers_estimate")
     assert rows == sorted([
-        ("A", "North Ridge Construction Corp.", 587750.0, 0),
-        ("A", "Engineer's Estimate", 345000.0, 1),
-        ("A", "Bid Amount North Ridge Construction Corp.", 587750.0, 0),
+        ("A", "Birch Hollow Construction Inc.", 92410.5, 0),
+        ("A", "Engineer's Estimate", 88020.0, 1),
+        ("A", "Bid Amount Birch Hollow Construction Inc.", 92410.5, 0),
     ], key=str)
 
 
@@ -57,13 +57,13 @@ def test_last_context_of_page_wins(spark):
 def test_prefix_items(spark):
     pages = pages_of(spark, SUMMARY, ITEMS)
     assert {r[0] for r in got(P.contractor_names(pages), "contractor")} == {
-        "North Ridge Construction Corp.", "North Ridge Construction Corp. Lump Sum",
+        "Birch Hollow Construction Inc.", "Birch Hollow Construction Inc. Lump Sum",
     }
     rows = got(I.line_items_text(pages), *I.ITEM_COLUMNS[1:])
-    head = (2, None, None, "A0200", "15101-0000", "MOBILIZATION", 500.0, "CUYD")
+    head = (2, None, None, "A1130", "62201-0250", "CULVERT PIPE", 310.0, "LNFT")
     assert rows == sorted([
-        head + ("North Ridge Construction Corp.", None, 100000.0, 0),
-        head + ("Engineer's Estimate", 100.0, 50000.0, 1),
+        head + ("Birch Hollow Construction Inc.", None, 41205.75, 0),
+        head + ("Engineer's Estimate", 65.0, 20150.0, 1),
     ], key=str)
 
 
@@ -75,23 +75,23 @@ def test_shortest_name_is_taken(spark):
 def test_wrapped_names(spark):
     page = "\n".join([
         "A0100 15102-0000 CLEARING AND",
-        "North Ridge Construction",
+        "Birch Hollow Construction",
         "GRUBBING",
         "$10.00 $1,000.00",
-        "Corp.",
+        "Inc.",
         "West Fork, LLC $9.00 $900.00",
         "Engineer's Estimate 100 SQYD $8.00 $800.00",
         "West Fork,",
         "Engineer's Estimate $1.00",
         "$7.00",
-        "A0200 15103-0000 SEEDING",
+        "A1130 15103-0000 SEEDING",
         "$5.00",
     ])
-    summary = "Contractor Responsive?\nNorth Ridge Construction Corp. $1.00\nWest Fork, LLC $2.00"
+    summary = "Contractor Responsive?\nBirch Hollow Construction Inc. $1.00\nWest Fork, LLC $2.00"
     rows = got(I.line_items_wrapped(pages_of(spark, summary, page, layout="wrapped")), "description", "quantity", "unit", "contractor", "unit_price", "amount")
     head = ("CLEARING AND GRUBBING ,", 100.0, "SQYD")
     assert rows == sorted([
-        head + ("North Ridge Construction Corp.", 10.0, 1000.0),
+        head + ("Birch Hollow Construction Inc.", 10.0, 1000.0),
         head + ("West Fork, LLC", 9.0, 900.0),
         head + ("Engineer's Estimate", 8.0, 800.0),
         head + ("Engineer's Estimate", None, 1.0),
@@ -106,7 +106,7 @@ def cells_of(spark, rows, page=1, table=0):
 def test_cells_with_header_and_carry(spark):
     cells = cells_of(spark, [
         ["Line Item No.", "Pay Item No.", "Description", "Contractor", "Qty", "Unit", "Price", "Amount"],
-        ["A0010", "15101-0000", "MOBILIZATION", "", "", "", "", ""],
+        ["A0010", "62201-0250", "CULVERT PIPE", "", "", "", "", ""],
         ["", "", "", "West Fork, LLC", "1,000", "LNFT", "$2.00", "$2,000.00"],
         ["A0099", "15199-0000", "NOT CARRIED", "No Money Co.", "", "", "", ""],
         ["", "", None, "Engineer's  Estimate", "1,000", "LNFT", "$3.00", "$3,000.00 Generated by : someone"],
@@ -115,14 +115,14 @@ def test_cells_with_header_and_carry(spark):
     ])
     rows = got(I.line_items_cells(cells, pages_of(spark, "Schedule: C\nOption: X")), *I.ITEM_COLUMNS[1:])
     assert rows == sorted([
-        (1, "C", "X", "A0010", "15101-0000", "MOBILIZATION", 1000.0, "LNFT", "West Fork, LLC", 2.0, 2000.0, 0),
-        (1, "C", "X", "A0010", "15101-0000", "MOBILIZATION", 1000.0, "LNFT", "Engineer's Estimate", 3.0, 3000.0, 1),
+        (1, "C", "X", "A0010", "62201-0250", "CULVERT PIPE", 1000.0, "LNFT", "West Fork, LLC", 2.0, 2000.0, 0),
+        (1, "C", "X", "A0010", "62201-0250", "CULVERT PIPE", 1000.0, "LNFT", "Engineer's Estimate", 3.0, 3000.0, 1),
         (1, "C", "X", "A0020", "15102-0000", "CLEARING", 5.0, None, "Short Row", 1.0, None, 0),
     ], key=str)
 
 
 def test_cells_without_header_need_signature(spark):
-    signed = cells_of(spark, [["x"], ["A0010", "15101-0000", "D", "Acme", "1", "EA", "$1.00", "$1.00"]])
+    signed = cells_of(spark, [["x"], ["A0010", "62201-0250", "D", "Acme", "1", "EA", "$1.00", "$1.00"]])
     plain = cells_of(spark, [["Name", "Amount"], ["Acme", "$1.00", "D", "Acme", "1", "EA", "$1.00", "$1.00"]], table=1)
     rows = got(I.line_items_cells(signed.union(plain), pages_of(spark, "no context")), "line_item_no", "schedule", "contractor")
     assert rows == [("A0010", "A", "Acme")]
@@ -164,10 +164,10 @@ def test_schedule_is_carried_over_pages(spark):
 
 def test_table_rows_take_quantity_from_text(spark):
     pages = pages_of(spark, "Schedule: A\n" + SUMMARY, "Schedule: A\n" + ITEMS)
-    cells = cells_of(spark, [["A0200", "15101-0000", "MOBILIZATION", "North Ridge Construction Corp.", "", "", "", "$100,000.00"]], page=2)
+    cells = cells_of(spark, [["A1130", "62201-0250", "CULVERT PIPE", "Birch Hollow Construction Inc.", "", "", "", "$41,205.75"]], page=2)
     tables = parse_documents(pages, cells)
     assert got(tables["items"], "contractor", "quantity", "unit", "amount") == [
-        ("North Ridge Construction Corp.", 500.0, "CUYD", 100000.0)
+        ("Birch Hollow Construction Inc.", 310.0, "LNFT", 41205.75)
     ]
     other = pages_of(spark, SUMMARY, ITEMS, doc="e")
     assert parse_documents(pages.union(other), cells)["items"].count() == 3
