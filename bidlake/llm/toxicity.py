@@ -8,7 +8,8 @@ mapped by the inverse root of the landmarks' own kernel matrix. A linear machine
 toxic document gives the sentences the current machine finds worst, the others give sentences that are all clean.
 The worst sentence of a document is its margin, which a logistic fit turns into a score.
 
-Training takes at most `SAMPLE` labelled documents of each class, those of smallest hash. Scoring reads whole texts:
+Training takes at most `SAMPLE` labelled documents of each class, those of smallest hash, if not over `SAMPLE_CHARS`
+characters long. Scoring reads whole texts:
 each task remembers the words it has met, so a word is compared with the landmarks once.
 """
 
@@ -26,7 +27,7 @@ from xxhash import xxh64_intdigest
 from bidlake.llm.common import LOWER, SPACES, UPPER, map_batches, text_or_empty
 from bidlake.llm.oddsketch import min_hashes
 
-SAMPLE, LANDMARKS, LONGEST, COVER = 2000, 32, 24, 4
+SAMPLE, SAMPLE_CHARS, LANDMARKS, LONGEST, COVER = 2000, 20_000, 32, 24, 4
 DECAY, FLOOR, CUTOFF = 0.6, 0.4, 0.7
 
 _LOWER = bytes.maketrans((SPACES + UPPER).encode(), (" " * len(SPACES) + LOWER).encode())
@@ -306,13 +307,14 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of docs(doc_id, text) and labels(doc_id, toxic), from rows that are not held out.
 
-    At most `sample` documents of each class, of smallest hash of their id; of several labels the highest holds.
+    At most `sample` documents of each class, of smallest hash of their id, less those over `SAMPLE_CHARS`; of several
+    labels the highest holds.
     """
     own = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     own = own.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     drawn = [own.filter(c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in ("toxic", "NOT toxic")]
     chosen = F.broadcast(drawn[0].union(drawn[1]))  # at most twice `sample` rows
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(chosen, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    rows = docs.select("doc_id", text_or_empty().alias("text")).filter(F.char_length("text") <= SAMPLE_CHARS).join(chosen, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
     rows = rows.limit(2 * sample).toArrow()
     return train(rows.column("text").cast(pa.binary()).to_pylist(), np.array(rows.column("toxic").to_pylist(), dtype=bool))
 
