@@ -12,6 +12,7 @@ Anchors with more than `MOST` different surroundings are not sorted in one task:
 by one, by a hash of the whole string.
 """
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,34 +94,35 @@ def anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tuple[np.nd
 # ---- suffix sorting ------------------------------------------------------------------------------
 
 
-def _direct(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes `at` in the order of their first `depth` bytes, eight bytes a round, only ties going on."""
-    padded = np.append(text, np.zeros(depth + 8, dtype=np.uint8))
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+def _eights(text: np.ndarray, depth: int) -> np.ndarray:
+    """Bytes i to i + 7 as one number whose order is theirs, for each i; zeros stand behind the text."""
+    padded = np.append(text, np.zeros(depth + 15, dtype=np.uint8)).astype(np.uint64)
+    out = padded[:-7].copy()
+    for k in range(1, 8):
+        out = (out << np.uint64(8)) | padded[k : len(padded) - 7 + k]
+    return out
 
-    def key(places: np.ndarray) -> np.ndarray:
-        return np.ascontiguousarray(words[np.minimum(places, len(text))]).view(">u8").ravel().astype(np.uint64)
 
-    order = at[np.argsort(key(at), kind="stable")]
-    k = key(order)
-    group = np.cumsum(np.append(0, (k[1:] != k[:-1]).astype(np.int64)))
+def _direct(eights: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes `at` in the order of their first `depth` bytes, eight bytes a round, only ties going on."""
+    if not len(at):
+        return at
+    order = at[np.argsort(eights[at], kind="stable")]
+    k = eights[order]
+    first = np.append(True, k[1:] != k[:-1])  # where a group of ties begins
     for step in range(8, depth, 8):
-        size = np.bincount(group)
-        tied = np.flatnonzero(size[group] > 1)
+        tied = np.flatnonzero(~(first & np.append(first[1:], True)))
         if not len(tied):
             break
-        k = key(order[tied] + step)
-        sub = np.lexsort((k, group[tied]))
-        order[tied] = order[tied][sub]
-        k, g = k[sub], group[tied]
-        new = np.append(0, ((k[1:] != k[:-1]) & (g[1:] == g[:-1])).astype(np.int64))
-        bump = np.zeros(len(order), dtype=np.int64)
-        bump[tied] = new
-        group = group + np.cumsum(bump)
+        group = np.cumsum(first[tied])
+        k = eights[np.minimum(order[tied] + step, len(eights) - 1)]
+        sub = np.lexsort((k, group))
+        order[tied], k = order[tied][sub], k[sub]
+        first[tied[1:]] |= (k[1:] != k[:-1]) & (group[1:] == group[:-1])
     return order
 
 
-def suffix_order(text: np.ndarray, depth: int = SPAN) -> np.ndarray:
+def suffix_order(text: np.ndarray, depth: int = SPAN, eights: np.ndarray | None = None) -> np.ndarray:
     """The suffixes of a byte text, in the order of their first `depth` bytes at least; two stages.
 
     Suffixes smaller than their successor are sorted directly. All others are induced: a scan of the buckets of first
@@ -134,7 +136,7 @@ def suffix_order(text: np.ndarray, depth: int = SPAN) -> np.ndarray:
     change = np.append(text[1:].astype(np.int16) - text[:-1], np.int16(-1))
     run_end = np.flatnonzero(change != 0)
     small = change[run_end[np.searchsorted(run_end, np.arange(n))]] > 0
-    direct = _direct(text, np.flatnonzero(small), depth)
+    direct = _direct(_eights(text, depth) if eights is None else eights, np.flatnonzero(small), depth)
     first = text[direct]
     own = np.split(direct, np.searchsorted(first, np.arange(1, 256)))
     larger: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -168,15 +170,12 @@ def suffix_order(text: np.ndarray, depth: int = SPAN) -> np.ndarray:
     return np.concatenate(out)
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """Whether each suffix of the order shares its first `depth` bytes with the one before it."""
-    padded = np.append(text, np.zeros(depth + 8, dtype=np.uint8))
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    a, b = order[1:], order[:-1]
-    alike = np.flatnonzero(np.maximum(a, b) + depth <= len(text))
+def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int, eights: np.ndarray | None = None) -> np.ndarray:
+    """Whether each suffix of the order shares its first `depth` bytes, eight or more, with the one before it."""
+    eights = _eights(text, depth) if eights is None else eights
+    alike = np.flatnonzero(np.maximum(order[1:], order[:-1]) + depth <= len(text))
     for step in [*range(0, depth - 8, 8), depth - 8]:
-        x, y = (np.ascontiguousarray(words[p[alike] + step]).view(np.uint64).ravel() for p in (a, b))
-        alike = alike[x == y]
+        alike = alike[eights[order[alike + 1] + step] == eights[order[alike] + step]]
     out = np.zeros(len(order), dtype=bool)
     out[alike + 1] = True
     return out
@@ -192,9 +191,10 @@ def repeated_starts(parts: list[tuple[bytes, int]], span: int = SPAN) -> list[np
     is_start = np.zeros(len(text), dtype=bool)
     for o, (_, n) in zip(offsets, parts):
         is_start[o : o + n] = True
-    order = suffix_order(text, span)
+    eights = _eights(text, span)
+    order = suffix_order(text, span, eights)
     # Only starts matter; between two of them with a common prefix all suffixes share it.
-    alike = common_prefixes(text, order, span)
+    alike = common_prefixes(text, order, span, eights)
     run = np.cumsum(~alike)
     starts = is_start[order]
     many = np.bincount(run, weights=starts)[run] > 1
@@ -214,20 +214,20 @@ def spans_of(found: np.ndarray, first: int, span: int) -> list[tuple[int, int]]:
 
 # ---- the job ------------------------------------------------------------------------------------
 
-ANCHOR = "k1 long, k2 long, hash long, kind binary, first int, last int"
+ANCHOR = "k1 long, k2 long, hash long, kind binary, place int, first int, last int"
 
 
 def _anchors(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
+            columns: list[list] = [[] for _ in range(7)]
             for k1, k2, text in zip(*(c.to_pylist() for c in batch.select(["k1", "k2"]).columns), batch.column("text").cast(pa.binary()).to_pylist()):
-                _, hashes, firsts, lasts = anchors(np.frombuffer(text, dtype=np.uint8), span)
+                places, hashes, firsts, lasts = anchors(np.frombuffer(text, dtype=np.uint8), span)
                 kinds = [xxh3_128_digest(text[a : b + span]) for a, b in zip(firsts.tolist(), lasts.tolist())]
-                for c, x in zip(columns, ([k1] * len(kinds), [k2] * len(kinds), hashes.view(np.int64).tolist() if len(kinds) else [], kinds, firsts.tolist(), lasts.tolist())):
+                for c, x in zip(columns, ([k1] * len(kinds), [k2] * len(kinds), hashes.view(np.int64).tolist() if len(kinds) else [], kinds, places.tolist(), firsts.tolist(), lasts.tolist())):
                     c.extend(x)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["k1", "k2", "hash", "kind", "first", "last"])
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["k1", "k2", "hash", "kind", "place", "first", "last"])
 
     return run
 
@@ -240,10 +240,11 @@ def _cut_out(span: int):
             out = []
             for text, wanted in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("wanted").to_pylist()):
                 for w in wanted:
-                    out.append((w["hash"], w["kind"], w["hot"], text[w["first"] : w["last"] + span]))
-            h, k, hot, data = zip(*out) if out else ((), (), (), ())
+                    out.append((w["hash"], w["kind"], w["hot"], w["place"] - w["first"], text[w["first"] : w["last"] + span]))
+            h, k, hot, place, data = zip(*out) if out else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h, pa.int64()), pa.array(k, pa.binary()), pa.array(hot, pa.bool_()), pa.array(data, pa.binary())], names=["hash", "kind", "hot", "data"]
+                [pa.array(h, pa.int64()), pa.array(k, pa.binary()), pa.array(hot, pa.bool_()), pa.array(place, pa.int32()), pa.array(data, pa.binary())],
+                names=["hash", "kind", "hot", "place", "data"],
             )
 
     return run
@@ -253,14 +254,30 @@ RANGES = "array<struct<a:int,b:int>>"
 _RANGES = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
-def _sort_block(span: int, most_bytes: int = 4_000_000):
+def _with_company(group: list[tuple], span: int, gram: int) -> list[tuple]:
+    """Those of an anchor's surroundings (hash, kind, place, data) that can hold a repeat.
+
+    A string around the anchor's gram also holds half of what is left of `span`, on one side of it. So a repeat shares the
+    bytes on that side with other surroundings.
+    """
+    half = (span - gram) // 2
+    sides = [
+        (d[p - half : p] if p >= half else None, d[p + gram : p + gram + half] if len(d) >= p + gram + half else None) for _, _, p, d in group
+    ]
+    left, right = (Counter(x for x in side if x is not None) for side in zip(*sides))
+    return [g for g, (a, b) in zip(group, sides) if left[a] > 1 or right[b] > 1]
+
+
+def _sort_block(span: int, gram: int = GRAM, most_bytes: int = 2_000_000):
     """Surroundings sorted by hash to the ranges repeated in each; whole hashes are sorted together up to `most_bytes`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, bytes, bytes]] = []
+        held: list[tuple[int, bytes, int, bytes]] = []
+        size = 0
+        group: list[tuple[int, bytes, int, bytes]] = []
 
         def done() -> pa.RecordBatch:
-            found = repeated_starts([(d, len(d) - span + 1) for _, _, d in held], span)
+            found = repeated_starts([(d, len(d) - span + 1) for *_, d in held], span)
             ranges = [[dict(zip("ab", r)) for r in spans_of(f, 0, span)] for f in found]
             keep = [i for i, r in enumerate(ranges) if r]
             out = pa.RecordBatch.from_arrays(
@@ -270,14 +287,19 @@ def _sort_block(span: int, most_bytes: int = 4_000_000):
             held.clear()
             return out
 
-        size, last = 0, None
         for batch in batches:
-            for h, kind, data in zip(*(batch.column(c).to_pylist() for c in ("hash", "kind", "data"))):
-                if h != last and size >= most_bytes:
-                    yield done()
-                    size = 0
-                held.append((h, kind, data))
-                size, last = size + len(data), h
+            for row in zip(*(batch.column(c).to_pylist() for c in ("hash", "kind", "place", "data"))):
+                if group and row[0] != group[0][0]:
+                    kept = _with_company(group, span, gram)
+                    held.extend(kept)
+                    size += sum(len(d) for *_, d in kept)
+                    group.clear()
+                    if size >= most_bytes:
+                        yield done()
+                        size = 0
+                group.append(row)
+        if group:
+            held.extend(_with_company(group, span, gram))
         if held:
             yield done()
 
@@ -337,16 +359,16 @@ def strike_repeats(docs: DataFrame, span: int = SPAN, most: int = MOST) -> DataF
     long_ = texts.filter(F.octet_length("text") >= span)
     # Rows with one text have the same anchors; counted apart, each of a repeated text occurs more than once.
     all_ = written(map_batches(long_.select("k1", "k2", "text"), _anchors(span), ANCHOR, 64), "anchors")
-    kinds = all_.groupBy("hash", "kind").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "first", "last")).alias("one"))
+    kinds = all_.groupBy("hash", "kind").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "place", "first", "last")).alias("one"))
     by_hash = kinds.groupBy("hash").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).filter("total > 1")
     kinds = written(kinds.join(by_hash, "hash"), "kinds")
     whole = kinds.filter("n > 1").select("hash", "kind", F.lit(None).cast(RANGES).alias("ranges"))
 
     mixed = kinds.filter("kinds > 1").select("one.*", "hash", "kind", (F.col("kinds") > most).alias("hot"))
-    wanted = mixed.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(F.collect_list(F.struct("hash", "kind", "hot", "first", "last")).alias("wanted"))
+    wanted = mixed.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(F.collect_list(F.struct("hash", "kind", "hot", "place", "first", "last")).alias("wanted"))
     found = long_.join(wanted, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))).dropDuplicates(["k1", "k2"])
-    around = written(map_batches(found.select("text", "wanted"), _cut_out(span), "hash long, kind binary, hot boolean, data binary", 16), "around")
-    cool = around.filter("NOT hot").select("hash", "kind", "data").repartition("hash").sortWithinPartitions("hash")
+    around = written(map_batches(found.select("text", "wanted"), _cut_out(span), "hash long, kind binary, hot boolean, place int, data binary", 64), "around")
+    cool = around.filter("NOT hot").select("hash", "kind", "place", "data").repartition("hash").sortWithinPartitions("hash")
     ranges = map_batches(cool, _sort_block(span), f"hash long, kind binary, ranges {RANGES}", 512)
     starts = map_batches(around.filter("hot").select("hash", "kind", "data"), _starts(span), "hash long, kind binary, at int, string binary", 64)
     twice = starts.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
