@@ -186,8 +186,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     rows = docs.withColumns({"__digest": F.unhex(text_digest(text)), "__chars": F.char_length(text).cast("long")})
     digests = written(rows.select("doc_id", F.col("__chars").alias("chars"), F.col("__digest").alias("digest")), "digests")
     stay = keepers(digests).select(
-        F.col("digest").alias("__digest"), F.col("keep_chars").alias("__chars"), F.col("keep_id").alias("__keep")
+        F.col("digest").alias("__digest"), F.col("keep_chars").alias("__most"), F.col("keep_id").alias("__keep")
     )
-    rows = rows.join(stay, ["__digest", "__chars"]).filter(F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")))
-    # Repeated rows, equal in id and text, are still all there.
+    is_kept = (F.col("__chars") == F.col("__most")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__keep"))
+    rows = rows.join(stay, "__digest").filter(is_kept)
+    # Repeated rows, equal in id and text, are still all there; they lie together already.
     return rows.dropDuplicates(["__digest"]).select(*mine)

@@ -352,7 +352,6 @@ def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     stay = verdicts.groupBy("component_id", "component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))).alias("one")
     ).select(F.col("one.id").alias("__id"), F.col("one.key").alias("__key")).distinct()
-    rows = docs.withColumn("__text", F.xxhash64(text_or_empty())).join(
-        stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key"))
-    )
+    rows = docs.withColumn("__key", F.xxhash64(text_or_empty())).join(stay, "__key")
+    rows = rows.filter(F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
     return rows.dropDuplicates(["__id", "__key"]).select(*mine)
