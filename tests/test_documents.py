@@ -216,3 +216,13 @@ def test_lines_and_quantity(spark):
     df = spark.createDataFrame([("x 1,200.500 SY 3 EA",), ("5 XX 7, LF 8 LF",), ("none",)], "line string")
     q, u = P.qty_unit(F.col("line"))
     assert [tuple(r) for r in df.select(q, u).collect()] == [(1200.5, "SY"), (8.0, "LF"), (None, None)]
+
+
+def test_metadata_runs_over_any_number_of_lines_and_pages(spark):
+    long_name = pages_of(spark, "x\nProject Name: LEVEE\nB\nC\nD\nE", "F\nG", "H\nContractor Responsive?", layout="wrapped")
+    assert P.doc_metadata(long_name).first().project_name == "LEVEE B C D E F G H"
+    gap = pages_of(spark, "Project Name: SLUICE", "gone", "Division: W").filter("page_no <> 2")
+    assert P.doc_metadata(gap).first().project_name == "SLUICE"
+    # A county is closed by the end of its line; the document's last line has none.
+    assert P.doc_metadata(pages_of(spark, "a\nCounty: Lake")).first().county is None
+    assert P.doc_metadata(pages_of(spark, "a\nCounty: Lake", "b")).first().county == "Lake"

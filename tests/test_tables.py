@@ -183,3 +183,27 @@ def test_writers(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/fixed", header=True).columns == ["pdf_page", "unit"]
     writers.write_missing_fields(repair.missing_fields(df), f"{tmp_path}/missing")
     assert spark.read.csv(f"{tmp_path}/missing/missing_field=unit", header=True).count() == 1
+
+
+def test_csv_fields_with_line_breaks_and_reordered_headers(spark, tmp_path):
+    for name, text in (("a", 'amount,quantity,description\n1,2,"x\ny"\n'), ("b", "quantity,amount\n3,4\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    rows = readers.read_line_items(spark, f"{tmp_path}/*.csv").select("amount", "quantity", "description").collect()
+    assert sorted((r.amount, r.quantity, r.description) for r in rows) == [(1.0, 2.0, "x\ny"), (4.0, 3.0, None)]
+
+
+def test_union_of_a_number_and_a_text(spark):
+    a, b = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([("one",)], "x string")
+    assert sorted(r.x for r in readers.union_relaxed([a, b]).collect()) == ["1", "one"]
+
+
+def test_null_and_nan_scores_are_left_out(spark):
+    rows = [(1, 0.9), (0, 0.2), (1, None), (0, float("nan")), (None, 0.4)]
+    df, good = (spark.createDataFrame(r, "y int, p double") for r in (rows, rows[:2]))
+    for f in (metrics.roc_auc, metrics.average_precision, metrics.log_loss):
+        assert f(df, "y", "p").first() == f(good, "y", "p").first()
+
+
+def test_csv_refuses_nested_columns(spark, tmp_path):
+    with pytest.raises(ValueError, match="no CSV form"):
+        writers.write_csv(spark.sql("SELECT 1 AS a, array(1) AS b"), str(tmp_path / "x"))
