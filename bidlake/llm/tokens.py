@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from bidlake.llm.common import LOWER, SPACES, UPPER, map_batches, text_key, text_or_empty
 from bidlake.sources.writers import written
 
-CHUNK, OVERLAP, WIDER = 16384, 512, 8
+CHUNK, OVERLAP, WIDER = 65536, 1024, 8
 
 
 def open_tokenizer(path: str):
@@ -169,14 +169,15 @@ def count_huge(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataFra
     """(a, b, n_tokens) of the distinct texts of texts(a, b, text), by overlapping chunks."""
     done = []
     while True:
-        chunks = map_batches(texts, _cut(chunk, overlap), "a long, b long, k long, chunks long, text string", 16)
+        chunks = map_batches(texts, _cut(chunk, overlap), "a long, b long, k long, chunks long, text string", 64)
         # Equal texts are encoded once, and the chunks of one text by different tasks.
         chunks = chunks.dropDuplicates(["a", "b", "k"])
         encoded = map_batches(
             chunks, _encode_chunks(path, chunk, overlap),
-            "a long, b long, n long, edges array<struct<edge:long,away:long,check:long>>", 16,
+            "a long, b long, n long, edges array<struct<edge:long,away:long,check:long>>", 64,
         )
-        spliced = written(_splice(encoded), "spliced")
+        # Counts and edges are few bytes a chunk; written, they are not encoded once for each use.
+        spliced = written(_splice(written(encoded, "encoded")), "spliced")
         done.append(spliced.filter("ok").select("a", "b", "n_tokens"))
         failed = spliced.filter("NOT ok").select("a", "b")
         if failed.isEmpty():
