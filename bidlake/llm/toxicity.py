@@ -125,8 +125,8 @@ class Model:
     def sentences(self, text: bytes) -> list[np.ndarray]:
         """The pooled values of the sentences that have a word near a landmark."""
         out = []
-        for part in _SENTENCE.split(text):
-            hits = words_of(part).intersection(self.near_words)
+        for words in sentence_words(text):
+            hits = words.intersection(self.near_words)
             if hits:
                 out.append(np.max([self.near[w] for w in hits], axis=0))
         return out
@@ -135,7 +135,8 @@ class Model:
         out = []
         for i in range(0, len(texts), 256):
             part = texts[i : i + 256]
-            pieces = [words_of(t) for t in part]
+            # What is learned must be what `sentences` looks up: a mark that ends a sentence belongs to no word.
+            pieces = [set().union(*sentence_words(t)) for t in part]
             self.learn_words(set().union(*pieces))
             out += [self.sentences(t) if not p.isdisjoint(self.near_words) else [] for t, p in zip(part, pieces)]
         return out
@@ -161,6 +162,11 @@ def words_of(text: bytes) -> set[bytes]:
     return words
 
 
+def sentence_words(text: bytes) -> Iterator[set[bytes]]:
+    """The words of each sentence."""
+    return map(words_of, _SENTENCE.split(text))
+
+
 def starts_of(text: bytes) -> Iterator[bytes]:
     """The beginnings, of four to nine letters, of the words of a text."""
     return (s[:n] for w in words_of(text) for s in spellings(w)[:1] for n in range(5, min(len(s), 10) + 1))

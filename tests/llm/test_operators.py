@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -271,6 +272,14 @@ def test_toxicity_on_held_out_labels(spark, docs, empty):
     assert left.columns == docs.columns and left.count() == sum(not r.predicted for r in got)
 
 
+@pytest.mark.parametrize("text", [b"what an idiiot. Good day", b"Good day\nyou idiiot!\n", b"a\ni d i o t again"])
+def test_toxic_word_at_a_sentence_edge_by_a_fresh_model(text):
+    model = toxicity.Model([b"^idiot"], np.ones(1), -0.8, 4.0, 0.0)
+    fresh, used = pickle.loads(pickle.dumps(model)), pickle.loads(pickle.dumps(model))
+    used.margins([b"idiiot idiot"])
+    assert fresh.margins([text])[0] == used.margins([text])[0] > model.bias
+
+
 def test_subsequence_kernel():
     def plain(s, t, decay=0.6):
         from itertools import combinations
