@@ -12,6 +12,7 @@ remembers the words it has met.
 """
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -40,13 +41,15 @@ def open_tokenizer(path: str):
 class WordEncoder:
     """Ids of a text, joined from the ids of its words.
 
-    Remembers the words of late: two generations of up to `memory` short words. The tokenizer lower-cases
-    anyway, so A-Z are lower-cased first, unless the text may hold a special token, whose case counts.
+    Remembers the words of late: two generations of up to `memory` short words. The tokenizer composes letters
+    (NFC), then lower-cases, so A-Z are lower-cased first, except before a character that is not ASCII, with which one
+    may compose, and unless the text may hold a special token, whose case counts.
     """
 
     _open: dict[str, "WordEncoder"] = {}
     _blank = bytes.maketrans(SPACES.encode(), b" " * len(SPACES))
     _lower = bytes.maketrans((SPACES + UPPER).encode(), (" " * len(SPACES) + LOWER).encode())
+    _composing = re.compile(rb"[A-Z](?=[\x80-\xff])")
 
     def __init__(self, path: str, memory: int = 400_000, longest: int = 64):
         self.tokenizer, self.memory, self.longest = open_tokenizer(path), memory, longest
@@ -60,9 +63,21 @@ class WordEncoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
+    def words(self, text: bytes) -> list[bytes]:
+        """The words of a text, lower-cased where that changes no id."""
+        if b"<|" in text:
+            return text.translate(self._blank).split(b" ")
+        lowered = text.translate(self._lower)
+        if not text.isascii() and (kept := [m.start() for m in self._composing.finditer(text)]):
+            lowered = bytearray(lowered)
+            for i in kept:
+                lowered[i] = text[i]
+            lowered = bytes(lowered)
+        return lowered.split(b" ")
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
-        pieces = [t.translate(self._blank if b"<|" in t else self._lower).split(b" ") for t in texts]
+        pieces = [self.words(t) for t in texts]
         wanted = set().union(*pieces)
         if len(self.known) > self.memory:
             self.known, self.before = {b"": b""}, self.known

@@ -75,6 +75,15 @@ def test_word_memory_is_bounded():
     assert len(encoder.known) <= 50 + 201
 
 
+def test_capitals_that_compose():
+    """Letters compose before they are lower-cased; some have no lower-case twin that composes alike."""
+    t = tokens.open_tokenizer(queries.vocabulary())
+    encoder = tokens.WordEncoder(queries.vocabulary())
+    words = ["J\u030c", "T\u0308", "H\u0331", "W\u030a", "Y\u030a"]
+    for text in (*words, " ".join(words), "AJ\u030cB ÉT\u0323\u0308É One Zürich x\u030c", *(w.lower() for w in words)):
+        assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def mixed_targets(sizes):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
