@@ -1,7 +1,5 @@
-"""Registered queries over the models. Models are fitted on all training projects of the tables.
-
-`TREES` is below the models' own default to keep a run short; it is a model setting, and all
-rows are trained on, scored and explained.
+"""Registered queries over the models. Models are fitted on all training projects of the tables, with the
+models' own number of trees; all rows are trained on, scored and explained.
 """
 
 from functools import reduce
@@ -15,7 +13,6 @@ from bidlake.plans.registry import query
 from bidlake.schema import TOTAL_ID_COLUMNS, UNIT_PRICE_CATEGORIES, UNIT_PRICE_ID_COLUMNS
 from bidlake.sources import writers
 
-TREES = 20
 KINDS = ("unit_price", "total_bid", "win")
 _trained: dict = {}
 
@@ -30,7 +27,7 @@ def trained(spark, sf_dir, kind: str):
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _trained:
         table = models.written(feature_table(spark, sf_dir, kind), f"features-{kind}")
-        _trained[key] = (*models.train(kind, table, trees=TREES), table)
+        _trained[key] = (*models.train(kind, table), table)
     return _trained[key]
 
 

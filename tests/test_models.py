@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bidlake.operators import attribution, features, models
+from bidlake.plans import queries_models
 from bidlake.plans.bid_lines import bid_lines
 
 TREES = 4
@@ -45,6 +46,17 @@ def test_train_predict_save_explain(spark, tables, tmp_path, kind):
     assert max(r["mean_abs"] for r in summary) > 0
 
 
+@pytest.mark.parametrize("kind", queries_models.KINDS)
+def test_registered_queries_train_all_trees(spark, monkeypatch, kind):
+    asked = []
+    monkeypatch.setattr(queries_models, "_trained", {})
+    monkeypatch.setattr(queries_models, "feature_table", lambda *a: None)
+    monkeypatch.setattr(models, "written", lambda df, name: df)
+    monkeypatch.setattr(models, "train", lambda kind, table, trees=models.TREES: (asked.append(trees), None))
+    queries_models.trained(spark, "", kind)
+    assert asked == [300]
+
+
 def expected_value(node_of, at, x, kept):
     """Tree value when only the inputs in `kept` are known."""
     node = node_of[at]
