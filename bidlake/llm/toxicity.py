@@ -310,17 +310,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = SAMPLE_CHARS) -> Model:
     """The model of docs(doc_id, text) and labels(doc_id, toxic), from rows that are not held out.
 
-    At most `sample` documents of each class, of smallest hash of their id, less those over `SAMPLE_CHARS`; of several
-    labels the highest holds.
+    At most `sample` documents of each class, of smallest hash of their id, less those over `longest` characters; of
+    several labels the highest holds.
     """
     own = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     own = own.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     drawn = [own.filter(c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in ("toxic", "NOT toxic")]
     chosen = F.broadcast(drawn[0].union(drawn[1]))  # at most twice `sample` rows
-    rows = docs.select("doc_id", text_or_empty().alias("text")).filter(F.char_length("text") <= SAMPLE_CHARS).join(chosen, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    rows = docs.select("doc_id", text_or_empty().alias("text")).filter(F.char_length("text") <= longest).join(chosen, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
     rows = rows.limit(2 * sample).toArrow()
     return train(rows.column("text").cast(pa.binary()).to_pylist(), np.array(rows.column("toxic").to_pylist(), dtype=bool))
 

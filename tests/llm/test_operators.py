@@ -289,6 +289,15 @@ def test_toxic_word_at_a_sentence_edge_by_a_fresh_model(text):
     assert fresh.margins([text])[0] == used.margins([text])[0] > model.bias
 
 
+def test_longest_training_text_is_a_parameter(spark, monkeypatch):
+    sizes = {7: 20_000, 8: 20_001, 9: 9, 10: 10, 11: 30_000}  # no held-out ids
+    rows = spark.createDataFrame([(d, "x" * n) for d, n in sizes.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, d % 2) for d in sizes], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic: sorted(map(len, texts)))
+    assert toxicity.learn(rows, labels) == [9, 10, 20_000]
+    assert toxicity.learn(rows, labels, longest=30_000) == [9, 10, 20_000, 20_001, 30_000]
+
+
 def test_subsequence_kernel():
     def plain(s, t, decay=0.6):
         from itertools import combinations
