@@ -1,11 +1,11 @@
-"""The registered queries op1 to op10 and their SQL."""
+"""The registered queries op1 to op13 and their SQL."""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlake.llm import cascade, cuckoo, lbl, mixing, oddsketch, packing, suffixes, tokens, topk, toxicity
+from bidlake.llm import cascade, cuckoo, fim, fingerprints, lbl, mixing, oddsketch, packing, runs, suffixes, tokens, topk, toxicity
 from bidlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,52 @@ FROM scored QUALIFY rank <= 5
 def op10_top_k(spark, sf_dir):
     """The five vectors of highest inner product for every fiftieth vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP11_SQL = r"""
+WITH unit AS (
+ SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS d,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+ FROM documents),
+drawn AS (
+ SELECT *, len(u)::BIGINT AS n, ('0x' || d[1:8])::BIGINT AS h1, ('0x' || d[9:16])::BIGINT AS h2,
+  ('0x' || d[17:24])::BIGINT AS h3, ('0x' || d[25:32])::BIGINT AS h4
+ FROM unit),
+cut AS (
+ SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+   WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+ FROM drawn),
+pieces AS (
+ SELECT *, array_to_string(u[1:lo], '') AS prefix, array_to_string(u[lo + 1:hi], '') AS middle, array_to_string(u[hi + 1:n], '') AS suffix FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+ sha256(text) AS restored_sha256
+FROM pieces
+"""
+
+
+@query(OP11_SQL)
+def op11_fill_in_middle(spark, sf_dir):
+    """Form, cuts and digests of every text made ready for filling in, and of the text rebuilt from that."""
+    rows = fim.restore(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query()
+def op12_fingerprints(spark, sf_dir):
+    """Fingerprints of every text and its edited text, and their likeness to each other and to the next document."""
+    rows = fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query()
+def op13_periodic_runs(spark, sf_dir):
+    """Periodic runs of words of every text, every tenth text made periodic first."""
+    rows = runs.periodic_runs(table(spark, sf_dir, "documents"), repeat=True)
+    longest = [F.col(f"longest.{c}").alias(c) for c in ("start", "length", "period", "exponent_milli")]
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *longest, "runs_sha256", F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
