@@ -6,9 +6,11 @@ into parity bitmaps (odd sketches), whose XOR population count estimates the Jac
 are far off; full shingle sets decide the rest.
 
 A bucket is not expanded into all its pairs. First each class meets the smallest class of its buckets, the one it shares most of them with. What links is
-joined into components, and a bucket whose members lie in one component is done. In the others pairs of
-different components are compared, by sketches, inside tasks, in blocks that several tasks share, and only
-pairs that the sketches let through leave the task: first the nearest two of each class, then, of what is still apart, all. So no link between different components is lost, but for the
+joined into components, and a bucket whose members lie in one component is done. In the others, members of
+different components are compared by sketches inside tasks, in blocks that several tasks share: first each class meets the nearest two.
+What is still apart then is decided in the blocks: the full sets of the members that are near one of another component are brought to the
+task, each near pair of components that are still apart is checked there, and only links that joined something leave it. So no list of
+pairs is ever written or shuffled, and no link between different components is lost, but for the
 chance that a pair above the threshold shares no band (below 1e-7 at 0.8 with 32 bands of 4) or that its
 estimate is off by more than `MARGIN`, over four standard deviations.
 """
@@ -22,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidlake.llm.cascade import BITS_PER_KEY, MOST_BITS, bloom, holds
-from bidlake.llm.common import lower_words, map_batches, text_or_empty
+from bidlake.llm.common import lower_words, map_slices, text_or_empty
 from bidlake.sources.writers import written
 
 BANDS, ROWS, SKETCH_BITS, SEED = 32, 4, 1024, 7
 #: How far below the threshold an estimate may be for the pair to be checked in full.
 MARGIN = 0.17
-BLOCK = 1024
+#: Most members, and most shingles, of a block.
+BLOCK, SHINGLES = 1024, 2_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -171,6 +174,15 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.select(F.col("u").alias("cid"), "root").union(roots.select("root", "root")).distinct()
 
 
+def further(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(cid, root) when links(u, v) join what roots has already."""
+    at = lambda c: links.join(roots.toDF(c, f"r{c}"), c, "left").withColumn(f"r{c}", F.coalesce(f"r{c}", c))
+    seen = written(at("u").join(roots.toDF("v", "rv"), "v", "left").select("u", "v", "ru", F.coalesce("rv", "v").alias("rv")), "links")
+    merged = components(seen.select(F.greatest("ru", "rv").alias("u"), F.least("ru", "rv").alias("v"))).toDF("root", "to")
+    new = seen.select("u", "ru").union(seen.select("v", "rv")).toDF("cid", "root")
+    return roots.union(new).distinct().join(merged, "root", "left").select("cid", F.coalesce("to", "root").alias("root"))
+
+
 def _confirm(percent: int):
     """Rows sorted by (v, part, u), the hub v's own set first, to the pairs whose full sets are similar enough."""
 
@@ -203,74 +215,173 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = pairs.select("v", "part", "u").join(sets.withColumnRenamed("cid", "u"), "u")
     rows = members.select("v", "part", "u", "shingles").unionByName(hubs.withColumn("u", F.lit(None).cast("long")))
     rows = rows.repartition("v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
-    return map_batches(rows.select("v", "u", "shingles"), _confirm(percent), "u long, v long", 256)
+    return map_slices(rows.select("v", "u", "shingles"), _confirm(percent), "u long, v long", 256)
 
 
-def _across(most: int, best: int | None):
-    """Pairs of different components in one block, or of two blocks, of a bucket whose sketches are near enough.
+def _across(most: int, best: int):
+    """For each member of a group the nearest few members of other components whose sketches are near enough."""
 
-    Rows come sorted by (bucket, first, second); `side` is the block of the row. With `best`, each member gives its
-    nearest few only. A pair that shares an earlier band is left to the bucket of that band.
-    """
-
-    def compare(left: list, right: list, same: bool) -> tuple[list, list]:
+    def compare(left: list, right: list) -> tuple[list, list]:
         a, b = (np.array([x[1] for x in rows]).view(np.uint64) for rows in (left, right))
-        bands_a, bands_b = (np.array([x[3] for x in rows]) for rows in (left, right))
         roots, ids = np.array([x[2] for x in right]), np.array([x[0] for x in right])
         u, v = [], []
-        for i, (cid, _, root, _, band) in enumerate(left):
+        for i, (cid, _, root) in enumerate(left):
             at = np.flatnonzero(roots != root)
-            at = at[at > i] if same and best is None else at
             n = np.bitwise_count(b[at] ^ a[i]).sum(axis=1, dtype=np.int64)
             at, n = at[n <= most], n[n <= most]
-            if best is None:
-                at = at[~(bands_b[at, :band] == bands_a[i, :band]).any(axis=1)]
-            elif len(at) > best:
-                at = at[np.argpartition(n, best)[:best]]
+            at = at[np.argpartition(n, best)[:best]] if len(at) > best else at
             u += [cid] * len(at)
             v += ids[at].tolist()
         return u, v
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, {}
-
-        def done() -> pa.RecordBatch:
-            first, second = (held.get(side, []) for side in key[1:])
-            u, v = compare(first, second, key[1] == key[2]) if first and second else ([], [])
-            if best is not None and key[1] != key[2] and u:
-                more = compare(second, first, False)
+        for block in _groups(batches, ("cid", "sketch", "root")):
+            left, right = block.sides()
+            u, v = compare(left, right) if left and right else ([], [])
+            if block.key[1] != block.key[2] and left and right:
+                more = compare(right, left)
                 u, v = u + more[0], v + more[1]
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["x", "y"])
-
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "first", "second", "side", "cid", "sketch", "root", "bands", "band")]
-            for bucket, first, second, side, *row in zip(*columns):
-                if (bucket, first, second) != key:
-                    if key is not None:
-                        yield done()
-                    key, held = (bucket, first, second), {}
-                held.setdefault(side, []).append(tuple(row))
-        if key is not None:
-            yield done()
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["x", "y"])
 
     return run
 
 
-def across(met: DataFrame, roots: DataFrame, classes: DataFrame, most: int, best: int | None = None) -> DataFrame:
-    """Pairs (u, v) that share a bucket of met(bucket, band, cid, n), lie in different components, and have near sketches."""
+def _blocks(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets of met(bucket, band, cid, n, weight) that lie in several components, dealt out in blocks.
+
+    A bucket of more than `BLOCK` members, or of more than `SHINGLES` shingles, is several blocks; each pair of blocks is one group
+    (bucket, first, second), and `side` is the block of the row.
+    """
     rows = met.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     open_ = rows.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("bucket")
-    rows = rows.join(open_, "bucket").join(classes.select("cid", "sketch", "bands"), "cid")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    rows = rows.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("cid"), "blocks"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("weight") / SHINGLES))
+    rows = rows.join(open_, "bucket").withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("cid"), "blocks"))
     rows = rows.withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumns({"first": F.least("side", "t"), "second": F.greatest("side", "t")})
-    rows = rows.select("bucket", "first", "second", "side", "cid", "sketch", "root", "bands", "band")
-    rows = rows.repartition("bucket", "first", "second").sortWithinPartitions("bucket", "first", "second")
-    pairs = map_batches(rows, _across(most, best), "x long, y long", 4096)
+    return rows.select("bucket", "first", "second", "side", "cid", "root", "band")
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "first", "second").sortWithinPartitions("bucket", "first", "second")
+
+
+def across(met: DataFrame, roots: DataFrame, classes: DataFrame, most: int, best: int) -> DataFrame:
+    """Pairs (u, v) of each class and the `best` nearest ones of other components in its buckets, if their sketches are near."""
+    rows = _blocks(met, roots).join(classes.select("cid", "sketch"), "cid")
+    rows = _by_group(rows.select("bucket", "first", "second", "side", "cid", "sketch", "root"))
+    pairs = map_slices(rows, _across(most, best), "x long, y long", 4096)
     return pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
 
 
+class Block:
+    """The members of one group (bucket, first, second), by side."""
+
+    def __init__(self, key: tuple):
+        self.key, self.held = key, {}
+
+    def sides(self) -> tuple[list, list]:
+        return self.held.get(self.key[1], []), self.held.get(self.key[2], [])
+
+
+def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[Block]:
+    """The groups of rows that come sorted by (bucket, first, second)."""
+    block = None
+    for batch in batches:
+        for bucket, first, second, side, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "first", "second", "side", *columns))):
+            if block is None or block.key != (bucket, first, second):
+                if block is not None:
+                    yield block
+                block = Block((bucket, first, second))
+            block.held.setdefault(side, []).append(tuple(row))
+    if block is not None:
+        yield block
+
+
+def _near(left: list, right: list, same: bool, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, [j], distances) for each row of left: the rows of right with near sketches that share no earlier band with it.
+
+    Rows are (cid, root, sketch, bands, band, ...). With `same`, the two lists are one and each pair comes once.
+    """
+    a, b = (np.array([x[2] for x in rows]).view(np.uint64) for rows in (left, right))
+    bands_a, bands_b = (np.array([x[3] for x in rows]) for rows in (left, right))
+    for i, row in enumerate(left):
+        at = np.arange(i + 1 if same else 0, len(right))
+        n = np.bitwise_count(b[at] ^ a[i]).sum(axis=1, dtype=np.int64)
+        at, n = at[n <= most], n[n <= most]
+        fresh = ~(bands_b[at, : row[4]] == bands_a[i, : row[4]]).any(axis=1)
+        yield i, at[fresh], n[fresh]
+
+
+def _candidates(most: int):
+    """The members of each group that some member of another component comes near, by their sketches: a row each, no pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _groups(batches, ("cid", "root", "sketch", "bands", "band")):
+            left, right = block.sides()
+            same, wanted = block.key[1] == block.key[2], [set(), set()]
+            roots = np.array([x[1] for x in right])
+            for i, at, _ in _near(left, right, same, most) if left and right else ():
+                at = at[roots[at] != left[i][1]]
+                if len(at):
+                    wanted[0].add(i)
+                    wanted[1].update(at.tolist())
+            if same:
+                wanted = [wanted[0] | wanted[1], set()]
+            cids = [rows[i][0] for rows, own in zip((left, right), wanted) for i in sorted(own)]
+            sides = [side for side, own in zip(block.key[1:], wanted) for _ in own]
+            fixed = [pa.array([x] * len(cids), pa.int64()) for x in block.key]
+            yield pa.RecordBatch.from_arrays([*fixed, pa.array(sides, pa.int64()), pa.array(cids, pa.int64())], names=["bucket", "first", "second", "side", "cid"])
+
+    return run
+
+
+def _join_up(most: int, percent: int):
+    """Links of full sets in each group, only those that join two components that the group has not joined yet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _groups(batches, ("cid", "root", "sketch", "bands", "band", "shingles")):
+            left, right = block.sides()
+            if not left or not right:
+                continue
+            same = block.key[1] == block.key[2]
+            sets = [np.array(x[5]).view(np.uint64) for x in right]
+            roots = [np.array([x[1] for x in rows]) for rows in (left, right)]
+            u, v = [], []
+            for i, at, n in _near(left, right, same, most):
+                own = np.array(left[i][5]).view(np.uint64)
+                at = at[np.argsort(n, kind="stable")]
+                # The nearest few first; what they join need not be compared any more.
+                while len(at := at[roots[1][at] != roots[0][i]]):
+                    some, at = at[:64], at[64:]
+                    size = np.array([len(sets[j]) for j in some])
+                    flat = np.concatenate([sets[j] for j in some])
+                    found = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+                    common = np.add.reduceat(found, np.cumsum(size) - size, dtype=np.int64)
+                    for j in some[100 * common >= percent * (len(own) + size - common)].tolist():
+                        old, new = roots[1][j], roots[0][i]
+                        if old != new:
+                            u.append(left[i][0]), v.append(right[j][0])
+                            for labels in roots:
+                                labels[labels == old] = new
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return run
+
+
+def joined(met: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame, most: int, percent: int) -> DataFrame:
+    """Links (u, v) that join components which share a bucket of met; between any two components with a link, some path of them.
+
+    Pairs never leave a task: a first pass names the members with somebody near, a second one has their full sets in the task
+    of their block, where a label per component says which pairs still matter. So fewer rows come out than members went in.
+    """
+    near = classes.select("cid", "sketch", "bands")
+    groups = written(_blocks(met, roots), "blocks")
+    members = _by_group(groups.join(near, "cid"))
+    wanted = map_slices(members, _candidates(most), "bucket long, first long, second long, side long, cid long", 4096)
+    rows = written(wanted, "candidates").join(groups, ["bucket", "first", "second", "side", "cid"]).join(near, "cid").join(sets, "cid")
+    return map_slices(_by_group(rows), _join_up(most, percent), "u long, v long", 256).distinct()
+
+
 def _only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """texts, less most of those that are not in wanted(text_key, doc_id), by a Bloom filter of bounded size."""
     keys = wanted.select(F.col("text_key").alias("a"), F.coalesce("doc_id", F.lit(0)).alias("b"))
@@ -297,15 +408,16 @@ def near_groups(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFra
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     texts = texts.withColumn("text_key", F.xxhash64("text"))
-    signed = written(map_batches(texts, _sign(shingle), SIGNED), "signed")
+    signed = written(map_slices(texts, _sign(shingle), SIGNED), "signed")
     one = F.min(F.struct("doc_id", "text_key")).alias("one")
     classes = signed.filter("class IS NOT NULL").groupBy("class").agg(
-        one, F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("least")
+        one, F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("least"),
+        F.first("n_shingles").alias("n_shingles"),
     )
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    members = classes.select(F.posexplode("bands").alias("band", "bucket"), "cid")
-    buckets = members.groupBy("bucket").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    met = written(members.join(buckets, "bucket"), "buckets")
+    members = classes.select(F.posexplode("bands").alias("band", "bucket"), "cid", F.col("n_shingles").alias("size"))
+    buckets = members.groupBy("bucket").agg(F.min("cid").alias("hub"), F.count("*").alias("n"), F.sum("size").alias("weight")).filter("n > 1")
+    met = written(members.drop("size").join(buckets, "bucket"), "buckets")
 
     near = most_differing(percent / 100)
     sketch = lambda c, s: classes.select(F.col("cid").alias(c), F.col("sketch").alias(s))
@@ -319,15 +431,16 @@ def near_groups(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFra
     wanted = written(wanted, "wanted")
     w = wanted.select("cid", F.col("doc_id").alias("i"), F.col("text_key").alias("t"))
     found = _only(texts, wanted).join(w, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("i")))
-    sets = map_batches(found.select("cid", "text"), _sets(shingle), "cid long, shingles array<bigint>")
+    sets = map_slices(found.select("cid", "text"), _sets(shingle), "cid long, shingles array<bigint>")
     sets = written(sets.dropDuplicates(["cid"]), "sets")
 
     # What a step joins need not be compared by the next: the hub, the nearest few, then all that is left.
     edges = written(confirmed(pairs, sets, percent), "edges")
-    for best in (2, None):
-        roots = written(components(edges), "roots")
-        edges = written(edges.union(confirmed(across(met, roots, classes, near, best), sets, percent)), "edges")
     roots = written(components(edges), "roots")
+    edges = written(edges.union(confirmed(across(met, roots, classes, near, 2), sets, percent)), "edges")
+    roots = written(components(edges), "roots")
+    last = joined(met, roots, classes, sets, near, percent)
+    roots = written(further(roots, last), "roots")
 
     labelled = classes.join(roots, "cid", "left").select("class", F.coalesce("root", "cid").alias("root"), "least")
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -203,6 +203,53 @@ def test_near_groups(spark, docs, empty):
     assert left.columns == docs.columns and left.filter("doc_id = 8").count() == 1 and left.filter("doc_id = 11").count() == 0
 
 
+def test_links_inside_blocks(spark, monkeypatch):
+    """All links of one bucket of variants, most of them below the threshold, over several blocks and bands."""
+    base = prose(1, 120).split(" ")
+    rng = random.Random(3)
+    texts_ = []
+    for k in range(90):
+        words = list(base)
+        for at in rng.sample(range(len(base)), rng.randint(1, 8)):
+            words[at] = f"w{rng.randrange(40)}" if k % 2 else f"only{k}x{at}"
+        texts_.append(" ".join(words).encode())
+    shingler = oddsketch.Shingler(4)
+    sets = [shingler(t) for t in texts_]
+    alike = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+    parent = list(range(90))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(90):
+        for j in range(i):
+            if alike(sets[i], sets[j]):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    want = [root(i) for i in range(90)]
+    assert 10 < len(set(want)) < 90
+    samples = [oddsketch.min_hashes(s) for s in sets]
+    classes = spark.createDataFrame(
+        [(i, oddsketch.bands_of(m).tolist(), oddsketch.sketch_of(m).tolist()) for i, m in enumerate(samples)], "cid long, bands array<long>, sketch array<long>"
+    )
+    members = classes.select("cid", F.posexplode("bands").alias("band", "bucket"))
+    buckets = members.groupBy("bucket").agg(F.count("*").alias("n"), (F.count("*") * 117).alias("weight")).filter("n > 1")
+    met = members.join(buckets, "bucket")
+    table_ = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)], "cid long, shingles array<long>")
+    near = oddsketch.most_differing(0.8)
+    for block, some in ((1024, 0), (20, 0), (20, 30)):  # `some` classes are in their components already
+        monkeypatch.setattr(oddsketch, "BLOCK", block)
+        roots = spark.createDataFrame([(i, want[i]) for i in range(some)], "cid long, root long")
+        links = oddsketch.joined(met, roots, classes, table_, near, 80)
+        assert links.count() < 90 * 12 and all(alike(sets[r.u], sets[r.v]) for r in links.collect())
+        found = {r.cid: r.root for r in oddsketch.further(roots, links).collect()}
+        groups = defaultdict(set)
+        for i in range(90):
+            groups[found.get(i, i)].add(want[i])
+        assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want))
+
+
 def test_a_large_group_of_near_copies(spark, monkeypatch):
     """Chains of edits, many of them not linked with the group's first member; buckets are split into blocks."""
     monkeypatch.setattr(oddsketch, "BLOCK", 16)
