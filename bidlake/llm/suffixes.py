@@ -21,13 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from bidlake.llm.common import map_batches, text_or_empty
+from bidlake.llm.common import map_slices, text_or_empty
 from bidlake.sources.writers import written
 
 SPAN, GRAM, MOST = 400, 160, 4000
 _RNG = np.random.default_rng(3)
 _BYTES = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a key that hold a place in a text, of up to a gigabyte.
+_PLACE = np.uint64((1 << 30) - 1)
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -56,39 +58,26 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hash, first start, last start) of each anchor: the leftmost smallest gram of those starts' strings."""
+    """(place, hash, first start, last start) of each anchor: the gram of smallest hash of those starts' strings.
+
+    Grams are compared by the high bits of their hashes, then by place, so that the leftmost of equal ones is taken; either
+    depends on the string alone.
+    """
     n = len(data) - span + 1
     if n <= 0:
         return (np.empty(0, dtype=np.int64),) * 4
     h, window = gram_hashes(data, gram), span - gram + 1
-    # Smallest value of each window: of the tail of one block and the head of the next.
+    # Smallest key of each window: of the tail of one block and the head of the next.
     blocks = -(-len(h) // window)
     padded = np.full(blocks * window, np.iinfo(np.uint64).max, dtype=np.uint64)
-    padded[: len(h)] = h
+    padded[: len(h)] = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
     grid = padded.reshape(blocks, window)
     head = np.minimum.accumulate(grid, axis=1).ravel()
     tail = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(tail[:n], head[window - 1 : window - 1 + n])
-    # The first place at or after a start that holds its window's smallest value.
-    order = np.lexsort((np.arange(len(h)), h))
-    key = h[order]
-    at = np.empty(n, dtype=np.int64)
-    change = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    ends = np.append(change[1:], n)
-    lo, hi = np.searchsorted(key, least[change], "left"), np.searchsorted(key, least[change], "right")
-    places, hashes, firsts, lasts = [], [], [], []
-    for a, b, i, j in zip(change.tolist(), ends.tolist(), lo.tolist(), hi.tolist()):
-        own = order[i:j]
-        if j - i == 1:
-            places.append(int(own[0])), hashes.append(key[i]), firsts.append(a), lasts.append(b - 1)
-            continue
-        while a < b:  # equal grams in one text: each start belongs to the first of them that it reaches
-            p = int(own[np.searchsorted(own, a)])
-            last = min(b - 1, p)
-            places.append(p), hashes.append(key[i]), firsts.append(a), lasts.append(last)
-            a = last + 1
-    del at
-    return np.array(places), np.array(hashes, dtype=np.uint64), np.array(firsts), np.array(lasts)
+    firsts = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    places = (least[firsts] & _PLACE).astype(np.int64)
+    return places, h[places], firsts, np.append(firsts[1:], n) - 1
 
 
 # ---- suffix sorting ------------------------------------------------------------------------------
@@ -104,21 +93,34 @@ def _eights(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _direct(eights: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes `at` in the order of their first `depth` bytes, eight bytes a round, only ties going on."""
+    """Suffixes `at` in the order of their first `depth` bytes, eight bytes a round, only ties going on.
+
+    Of the ties, only groups in which some member has other eight bytes than the first one are sorted in a round.
+    """
     if not len(at):
         return at
     order = at[np.argsort(eights[at], kind="stable")]
     k = eights[order]
     first = np.append(True, k[1:] != k[:-1])  # where a group of ties begins
+    tied = np.flatnonzero(~(first & np.append(first[1:], True)))
     for step in range(8, depth, 8):
-        tied = np.flatnonzero(~(first & np.append(first[1:], True)))
         if not len(tied):
             break
-        group = np.cumsum(first[tied])
         k = eights[np.minimum(order[tied] + step, len(eights) - 1)]
+        begins = first[tied]
+        group = np.cumsum(begins) - 1
+        other = k != k[begins][group]
+        if not other.any():
+            continue
+        split = np.zeros(group[-1] + 1, dtype=bool)
+        split[group[other]] = True
+        some = split[group]
+        slots, group, k = tied[some], group[some], k[some]
         sub = np.lexsort((k, group))
-        order[tied], k = order[tied][sub], k[sub]
-        first[tied[1:]] |= (k[1:] != k[:-1]) & (group[1:] == group[:-1])
+        order[slots], k = order[slots][sub], k[sub]
+        first[slots[1:]] |= (k[1:] != k[:-1]) & (group[1:] == group[:-1])
+        ends = np.append(first[1:], True)
+        tied = tied[~(first[tied] & ends[tied])]
     return order
 
 
@@ -358,7 +360,7 @@ def strike_repeats(docs: DataFrame, span: int = SPAN, most: int = MOST) -> DataF
     texts = texts.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), "text")})
     long_ = texts.filter(F.octet_length("text") >= span)
     # Rows with one text have the same anchors; counted apart, each of a repeated text occurs more than once.
-    all_ = written(map_batches(long_.select("k1", "k2", "text"), _anchors(span), ANCHOR, 64), "anchors")
+    all_ = written(map_slices(long_.select("k1", "k2", "text"), _anchors(span), ANCHOR, 64), "anchors")
     kinds = all_.groupBy("hash", "kind").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "place", "first", "last")).alias("one"))
     by_hash = kinds.groupBy("hash").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).filter("total > 1")
     kinds = written(kinds.join(by_hash, "hash"), "kinds")
@@ -367,10 +369,10 @@ def strike_repeats(docs: DataFrame, span: int = SPAN, most: int = MOST) -> DataF
     mixed = kinds.filter("kinds > 1").select("one.*", "hash", "kind", (F.col("kinds") > most).alias("hot"))
     wanted = mixed.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(F.collect_list(F.struct("hash", "kind", "hot", "place", "first", "last")).alias("wanted"))
     found = long_.join(wanted, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))).dropDuplicates(["k1", "k2"])
-    around = written(map_batches(found.select("text", "wanted"), _cut_out(span), "hash long, kind binary, hot boolean, place int, data binary", 64), "around")
+    around = written(map_slices(found.select("text", "wanted"), _cut_out(span), "hash long, kind binary, hot boolean, place int, data binary", 64), "around")
     cool = around.filter("NOT hot").select("hash", "kind", "place", "data").repartition("hash").sortWithinPartitions("hash")
-    ranges = map_batches(cool, _sort_block(span), f"hash long, kind binary, ranges {RANGES}", 512)
-    starts = map_batches(around.filter("hot").select("hash", "kind", "data"), _starts(span), "hash long, kind binary, at int, string binary", 64)
+    ranges = map_slices(cool, _sort_block(span), f"hash long, kind binary, ranges {RANGES}", 512)
+    starts = map_slices(around.filter("hot").select("hash", "kind", "data"), _starts(span), "hash long, kind binary, at int, string binary", 64)
     twice = starts.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
     hot = starts.join(twice, "string").groupBy("hash", "kind").agg(
         F.collect_list(F.struct(F.col("at").alias("a"), (F.col("at") + span).alias("b"))).alias("ranges")
@@ -385,4 +387,4 @@ def strike_repeats(docs: DataFrame, span: int = SPAN, most: int = MOST) -> DataF
     # One text's ranges, of however many rows; at most a few per anchor.
     per_text = hits.distinct().groupBy("k1", "k2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     rows = texts.join(per_text, ["k1", "k2"], "left").select("doc_id", "text", "ranges")
-    return map_batches(rows, _strike, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", 64)
+    return map_slices(rows, _strike, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", 64)
