@@ -19,7 +19,8 @@ from pyspark.sql.window import Window
 from bidlake.llm.common import LOWER, SPACES, UPPER, text_or_empty
 
 #: 256 bins of four bits: 1,024 bits, 256 hex digits; a standard error of 0.033 at a similarity of 0.6.
-BINS, BITS, SHINGLE = 256, 4, 5
+BINS, BITS, SHINGLE, GROUP = 256, 4, 5, 16
+_SHIFT = 64 - BINS.bit_length() + 1
 _PACKED = 64 // BITS
 _LOW = (1 << BITS) - 1
 
@@ -31,8 +32,8 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text, runs of anything but ASCII white space, A-Z lower-cased; an empty array without any."""
-    trimmed = F.btrim(F.translate(text, UPPER, LOWER), F.lit(SPACES))
-    return F.when(F.length(trimmed) > 0, F.split(trimmed, "[\\x20\\x09-\\x0D]+")).otherwise(F.array().cast("array<string>"))
+    blank = F.translate(text, UPPER + SPACES, LOWER + " " * len(SPACES))
+    return F.filter(F.split(blank, " "), lambda w: w != "")
 
 
 def shingle_hashes(text: Column, size: int = SHINGLE) -> Column:
@@ -48,34 +49,48 @@ def shingle_hashes(text: Column, size: int = SHINGLE) -> Column:
 
 def _bin(value: Column) -> Column:
     """0 to BINS - 1, rising with the value."""
-    return F.shiftright(value, 64 - BINS.bit_length() + 1) + BINS // 2
+    return F.shiftright(value, _SHIFT) + BINS // 2
 
 
 def bin_values(hashes: Column) -> Column:
     """The low bits of every bin, borrowed where a bin is empty; an empty array for no hashes.
 
-    A bin and its low bits travel as one number, bin * 2^BITS + bits.
+    A bin travels as one number: its place, a flag if it is empty, its low bits. The order in which an empty bin looks at
+    the others goes by groups of `GROUP` neighbours, groups in an order of its own and bins of a group in one too.
     """
+    flag, place = 1 << BITS, BITS + 1
+    low = lambda x: x.bitwiseAND(F.lit(_LOW))
     # Signed order, so the smallest of a bin come first in it.
-    least = lambda a: F.filter(a, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(a, i - 1))))
-    code = lambda x: (_bin(x) * (1 << BITS) + x.bitwiseAND(F.lit(_LOW).cast("long"))).cast("int")
-
-    def filled(present: Column) -> Column:
-        def borrow(empty: Column) -> Column:
-            # The rank of each bin in this one's order, with what it holds below.
-            ranks = F.transform(
-                present,
-                lambda c: F.shiftleft(F.shiftright(F.xxhash64(empty, F.shiftright(c, BITS)), 24), 16).bitwiseOR(c.cast("long")),
+    least = lambda a: F.filter(a, lambda x, i: (i == 0) | (F.shiftright(x.bitwiseXOR(F.get(a, i - 1)), _SHIFT) != 0))
+    code = lambda x: (_bin(x) * (1 << place) + x.bitwiseAND(F.lit(_LOW).cast("long"))).cast("int")
+    is_full = lambda c: c.bitwiseAND(F.lit(flag)) == 0
+
+    def first(items: Column, rank: Callable[[Column], Column]) -> Column:
+        """The item of least rank, ties to the least item; items are below 2^16."""
+        high = F.lit(-(1 << 16)).cast("long")
+        return F.array_min(F.transform(items, lambda x: rank(x).bitwiseAND(high).bitwiseOR(x.cast("long")))).bitwiseAND(F.lit(0xFFFF).cast("long")).cast("int")
+
+    def filled(every: Column) -> Column:
+        def borrowed(groups: Column, live: Column, bin_: Column) -> Column:
+            group = first(live, lambda g: F.xxhash64(bin_, g))
+            return first(F.get(groups, group), lambda c: F.xxhash64(F.shiftright(c, place), bin_))
+
+        def fill(groups: Column) -> Column:
+            numbers = F.sequence(F.lit(0), F.lit(BINS // GROUP - 1))
+            return _let(
+                F.filter(numbers, lambda g: F.size(F.get(groups, g)) > 0),
+                lambda live: F.transform(every, lambda c: F.when(is_full(c), low(c)).otherwise(low(borrowed(groups, live, F.shiftright(c, place))))),
             )
-            return (empty * (1 << BITS) + F.array_min(ranks).bitwiseAND(F.lit(_LOW).cast("long"))).cast("int")
 
-        taken = F.transform(present, lambda c: F.shiftright(c, BITS))
-        empty = F.array_except(F.sequence(F.lit(0), F.lit(BINS - 1)), taken)
-        return F.when(F.size(present) == BINS, present).otherwise(F.sort_array(F.concat(present, F.transform(empty, borrow))))
+        groups = F.transform(F.sequence(F.lit(0), F.lit(BINS // GROUP - 1)), lambda g: F.filter(F.slice(every, g * GROUP + 1, F.lit(GROUP)), is_full))
+        return F.when(F.exists(every, lambda c: ~is_full(c)), _let(groups, fill)).otherwise(F.transform(every, low))
+
+    def complete(present: Column) -> Column:
+        empty = F.array_except(F.sequence(F.lit(0), F.lit(BINS - 1)), F.transform(present, lambda c: F.shiftright(c, place)))
+        return F.sort_array(F.concat(present, F.transform(empty, lambda b: b * (1 << place) + flag)))
 
-    bits = lambda codes: F.transform(codes, lambda c: c.bitwiseAND(F.lit(_LOW)))
     present = _let(F.sort_array(hashes), lambda a: F.transform(least(a), code))
-    return F.when(F.size(hashes) > 0, bits(_let(present, filled))).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(hashes) > 0, _let(_let(present, complete), filled)).otherwise(F.array().cast("array<int>"))
 
 
 def pack(bits: Column) -> Column:

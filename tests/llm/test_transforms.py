@@ -111,7 +111,8 @@ def brute_print(text):
     out = []
     for b in range(256):
         if b not in least:
-            ranked = min(least, key=lambda c: (spark_hash((b, 4), (c, 4)) >> 24, c))
+            group = min({c // 16 for c in least}, key=lambda g: (spark_hash((b, 4), (g, 4)) >> 16, g))
+            ranked = min((c for c in least if c // 16 == group), key=lambda c: (spark_hash((c, 4), (b, 4)) >> 16, c))
             out.append(least[ranked] & 15)
         else:
             out.append(least[b] & 15)
