@@ -24,10 +24,3 @@ def finite_or_null(x: Column) -> Column:
     d = x.cast("double")
     return F.when(~F.isnan(d) & (F.abs(d) < INF), d)
 
-
-def sortable_bits(x: Column) -> Column:
-    """Bigint whose order is the order of the doubles (-0.0 counts as 0.0)."""
-    plain = x.cast("double") + F.lit(0.0)
-    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), plain).cast("bigint")
-    # Negative doubles sort backwards by their bits: flip all but the sign.
-    return F.when(bits < 0, bits.bitwiseXOR(F.lit(0x7FFFFFFFFFFFFFFF))).otherwise(bits)

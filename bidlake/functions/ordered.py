@@ -1,73 +1,67 @@
 """Exact global running totals and order statistics without one task seeing all rows.
 
-A value is cut into digits of 16 bits. Totals are kept per prefix of digits, and each window
-runs over the next digit under one prefix, so no window partition holds more than 65,536 rows
-whatever the data look like.
+Rows are stored once and dealt out to ranges of their order, whose bounds Spark samples, so that a range holds about as many rows as
+another whatever the values look like. A total per range gives each its offset; windows run inside a range.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidlake.functions.numeric import sortable_bits
+from bidlake.sources.writers import written
 
+RANGE_ROWS = 65_536
 
-def double_digits(c: Column) -> list[Column]:
-    """Four order-preserving digits of a double, most significant first."""
-    bits = sortable_bits(c)
-    low = [F.shiftright(bits, s).bitwiseAND(F.lit(0xFFFF)).cast("int") for s in (32, 16, 0)]
-    return [F.shiftright(bits, 48).cast("int")] + low
 
+def _ranges(df: DataFrame, order: list[str], rows: int) -> DataFrame:
+    """The frame as a stored table with `_range`: all of a range come before the next by `order`, about `rows` in each."""
+    stored = written(df, "values")
+    parts = max(1, -(-stored.count() // rows))
+    return written(stored.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranges")
 
-def text_digits(c: Column) -> list[Column]:
-    """Digits that order texts by their MD5: two of 16 bits, then the whole of it.
 
-    Texts that share 32 bits of it are few: one in four thousand million.
-    """
-    h = F.md5(c)
-    return [F.substring(h, 1, 4), F.substring(h, 5, 4), h]
+def _offsets(ranged: DataFrame, weights: list[str]) -> DataFrame:
+    """One row per range: `_before_<w>`, the weights of all ranges before it, and `<w>_total` of all."""
+    sums = ranged.groupBy("_range").agg(*[F.sum(w).alias(w) for w in weights])
+    before, whole = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    return sums.select(
+        "_range", *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"_before_{w}") for w in weights],
+        *[F.sum(w).over(whole).alias(f"{w}_total") for w in weights],
+    )
+
+
+def _upto(ranged: DataFrame, offsets: DataFrame, order: list[str], weights: list[str]) -> DataFrame:
+    """Rows of the ranges that `offsets` has, with `<w>_upto`."""
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged.join(offsets, "_range")
+    return rows.withColumns({f"{w}_upto": F.col(f"_before_{w}") + F.sum(w).over(inside) for w in weights}).drop("_range", *[f"_before_{w}" for w in weights])
 
 
-def running_totals(df: DataFrame, digits: list[Column], weights: list[str]) -> DataFrame:
-    """Add `<w>_upto` (inclusive, in digit order) and `<w>_total` for each weight column.
+def running_totals(df: DataFrame, order: list[str], weights: list[str], rows: int = RANGE_ROWS) -> DataFrame:
+    """Add `<w>_upto` (inclusive, by `order`) and `<w>_total` for each weight column.
 
     `df` has one row per distinct ordering value.
     """
-    names = [f"_d{i}" for i in range(len(digits))]
-    rows = df.withColumns(dict(zip(names, digits)))
-    out = rows
-    for depth in range(1, len(names) + 1):
-        prefix, digit = names[: depth - 1], names[depth - 1]
-        w = Window.partitionBy(*prefix).orderBy(digit) if prefix else Window.orderBy(digit)
-        if depth == len(names):
-            level, frame = out, w.rowsBetween(Window.unboundedPreceding, 0)
-        else:
-            level = rows.groupBy(*names[:depth]).agg(*[F.sum(x).alias(x) for x in weights])
-            frame = w.rowsBetween(Window.unboundedPreceding, -1)
-        sums = {f"_s{depth}_{x}": F.coalesce(F.sum(x).over(frame), F.lit(0)) for x in weights}
-        if depth == 1:
-            whole = Window.partitionBy()
-            sums |= {f"{x}_total": F.sum(x).over(whole) for x in weights}
-        level = level.withColumns(sums)
-        out = level if depth == len(names) else out.join(level.drop(*weights), names[:depth])
-    upto = {
-        f"{x}_upto": sum((F.col(f"_s{d}_{x}") for d in range(2, len(names) + 1)), F.col(f"_s1_{x}"))
-        for x in weights
-    }
-    scratch = names + [f"_s{d}_{x}" for d in range(1, len(names) + 1) for x in weights]
-    return out.withColumns(upto).drop(*scratch)
-
-
-def exact_median(df: DataFrame, column: str, name: str = "median") -> DataFrame:
-    """One row: the interpolated median of a double column, null if it has no values."""
+    ranged = _ranges(df, order, rows)
+    return _upto(ranged, _offsets(ranged, weights), order, weights)
+
+
+def exact_median(df: DataFrame, column: str, name: str = "median", rows: int = RANGE_ROWS) -> DataFrame:
+    """One row: the interpolated median of a double column, null if it has no values.
+
+    Distinct values are counted and stored once; of their ranges only those that hold a middle rank are looked into.
+    """
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    ranked = running_totals(counts, double_digits(F.col("v")), ["n"])
-    total = F.col("n_total")
+    ranged = _ranges(counts, ["v"], rows)
+    offsets = _offsets(ranged, ["n"])
+    low, high = F.floor((F.col("n_total") + 1) / 2), F.floor((F.col("n_total") + 2) / 2)
+    ends = ranged.groupBy("_range").agg(F.sum("n").alias("_own"))
+    middle = offsets.join(ends, "_range").filter((F.col("_before_n") < high) & (F.col("_before_n") + F.col("_own") >= low)).drop("_own")
+    ranked = _upto(ranged, middle, ["v"], ["n"])
     below = F.col("n_upto") - F.col("n")
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank > below) & (rank <= F.col("n_upto")), F.col("v")))
 
-    low, high = F.floor((total + 1) / 2), F.floor((total + 2) / 2)
     return ranked.agg(((at(low) + at(high)) / 2).alias(name))
 
 
@@ -93,3 +87,22 @@ def last_seen(df: DataFrame, group: list[str], order: str, value: str, chunk: in
         .withColumn(value, F.coalesce("_here", "_before"))
         .drop("_here", "_before", "_chunk")
     )
+
+
+def following(df: DataFrame, group: list[str], order: str, column: str, ahead: int, chunk: int = 4096) -> DataFrame:
+    """Add `<column>_1` .. `<column>_<ahead>`: the column in the next rows of the group by `order`, null behind the last.
+
+    `order` is a whole number that may have gaps; rows of one number come by the column. Windows run inside chunks of
+    `chunk` consecutive numbers. Only the first and last few rows of each chunk meet those of other chunks.
+    """
+    rows = df.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    inside = Window.partitionBy(*group, "_chunk").orderBy(order, column)
+    backwards = Window.partitionBy(*group, "_chunk").orderBy(F.desc(order), F.desc(column))
+    across = Window.partitionBy(*group).orderBy(order, "_first")
+    names = [f"{column}_{k}" for k in range(1, ahead + 1)]
+    placed = rows.withColumns({"_first": F.row_number().over(inside), "_last": F.row_number().over(backwards)})
+    near = placed.withColumns({n: F.lead(column, k + 1).over(inside) for k, n in enumerate(names)})
+    border = placed.filter((F.col("_first") <= ahead) | (F.col("_last") <= ahead))
+    border = border.withColumns({n: F.lead(column, k + 1).over(across) for k, n in enumerate(names)})
+    out = near.filter(F.col("_last") > ahead).unionByName(border.filter(F.col("_last") <= ahead))
+    return out.drop("_chunk", "_first", "_last")

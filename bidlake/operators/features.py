@@ -4,9 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidlake.functions.numeric import log1p_nullable, ratio
-from bidlake.functions.ordered import running_totals, text_digits
+from bidlake.functions.ordered import running_totals
 from bidlake.functions.text import project_id
-from bidlake.operators.repair import first_value
+from bidlake.operators.repair import first_value, row_order
 from bidlake.schema import ROLLUP_KEYS
 
 
@@ -30,24 +30,24 @@ def count_distinct_with_null(c: Column, where: Column | None = None) -> Column:
     return F.count_distinct(value) + F.max(F.when(kept, 1).otherwise(0)).cast("bigint")
 
 
-def engineer_reference(df: DataFrame) -> DataFrame:
-    """Engineer's first price, amount, quantity and unit per project and pay item."""
+def engineer_reference(df: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Engineer's first price, amount, quantity and unit per project and pay item, each by row order (see `row_order`)."""
     named = {"ee_unit_price": "unit_price", "ee_amount": "amount", "ee_quantity": "quantity", "ee_unit": "unit"}
     return (
         df.filter(is_engineer_row())
         .groupBy("project_id", "pay_item_no")
-        .agg(*[first_value(df, F.col(c)).alias(name) for name, c in named.items()])
+        .agg(*[first_value(df, F.col(c), order=order).alias(name) for name, c in named.items()])
     )
 
 
-def attach_engineer_ref(df: DataFrame) -> DataFrame:
+def attach_engineer_ref(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Bidder rows with the engineer's reference values; null keys match nothing."""
-    return df.filter(is_bidder_row()).join(engineer_reference(df), ["project_id", "pay_item_no"], "left")
+    return df.filter(is_bidder_row()).join(engineer_reference(df, order), ["project_id", "pay_item_no"], "left")
 
 
-def line_item_features(df: DataFrame) -> DataFrame:
+def line_item_features(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Bidder rows with engineer's values, logs and ratios."""
-    return attach_engineer_ref(df).withColumns({
+    return attach_engineer_ref(df, order).withColumns({
         "log_quantity": log1p_nullable(F.col("quantity")),
         "log_amount": log1p_nullable(F.col("amount")),
         "unit_price_vs_ee": ratio(F.col("unit_price"), F.col("ee_unit_price")),
@@ -97,25 +97,26 @@ def with_win_label(df: DataFrame) -> DataFrame:
     return df.join(lowest, "project_id", "left").withColumn("win", won.cast("int")).drop("_lowest")
 
 
-def project_ranks(df: DataFrame) -> DataFrame:
-    """Distinct projects with their rank (`n_upto`) and number (`n_total`).
+def membership_split(df: DataFrame, members: DataFrame, key: str, name: str = "is_member") -> DataFrame:
+    """Add a flag: is the row's key among those of `members`? A null key is a member of nothing; repeats in `members` change nothing."""
+    known = members.filter(F.col(key).isNotNull()).select(key).distinct().withColumn(name, F.lit(True))
+    return df.join(known, key, "left").select(*df.columns, F.coalesce(name, F.lit(False)).alias(name))
 
-    In order of first appearance if rows carry `_pos`, else in MD5 order of the project key.
-    """
+
+def project_ranks(df: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Distinct projects with their rank (`n_upto`) by first appearance in row order (see `row_order`), and number (`n_total`)."""
     known = df.filter(F.col("project_id").isNotNull())
-    if "_pos" in df.columns:
-        projects = known.groupBy("project_id").agg(F.min("_pos").alias("_first"))
-        digits = [F.col("_first.file_path"), F.col("_first.block_start"), F.col("_first.seq"), F.col("project_id")]
-    else:
-        projects, digits = known.select("project_id").distinct(), text_digits(F.col("project_id"))
-    return running_totals(projects.withColumn("n", F.lit(1)), digits, ["n"]).drop("_first", "n")
+    projects = known.groupBy("project_id").agg(F.min(row_order(df, order)).alias("_first"))
+    fields = [f"_k{i}" for i in range(len(projects.schema["_first"].dataType.fields))]
+    keys = [F.col(f"_first.{f.name}").alias(k) for k, f in zip(fields, projects.schema["_first"].dataType.fields)]
+    ranked = running_totals(projects.select("project_id", *keys, F.lit(1).alias("n")), [*fields, "project_id"], ["n"])
+    return ranked.drop("n", *fields)
 
 
-def project_split(df: DataFrame, frac: float = 0.8) -> DataFrame:
+def project_split(df: DataFrame, frac: float = 0.8, order: list[str] | None = None) -> DataFrame:
     """Add `is_train`: true for rows of the first `int(frac * n)` projects.
 
     Rows without a project are test rows.
     """
     cutoff = F.floor(F.col("n_total") * F.lit(frac))
-    train = project_ranks(df).filter(F.col("n_upto") <= cutoff).select("project_id", F.lit(True).alias("is_train"))
-    return df.join(train, "project_id", "left").withColumn("is_train", F.coalesce("is_train", F.lit(False)))
+    return membership_split(df, project_ranks(df, order).filter(F.col("n_upto") <= cutoff), "project_id", "is_train")

@@ -1,5 +1,6 @@
 """Item rows out of page text (two layouts) and out of page tables."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -7,8 +8,8 @@ from pyspark.sql import functions as F
 
 from bidlake.functions import fixed
 from bidlake.functions.ordered import last_seen
-from bidlake.functions.text import holds_any, is_engineer, money, norm_ws, qty
-from bidlake.operators.pages import contractor_names, item_blocks, money_pair, page_context, qty_unit, with_layout
+from bidlake.functions.text import holds_any, is_engineer, money, norm_blanks, norm_ws, qty
+from bidlake.operators.pages import contractor_names, item_blocks, money_pair, page_context, qty_unit, with_layout, wrapped_layout
 from bidlake.operators.repair import null_safe_join
 from bidlake.sources.writers import written
 
@@ -92,8 +93,12 @@ def _finish(rows: DataFrame, contractor: Column, engineer: Column, line: Column,
 
 def line_items_text(pages: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Item rows of the prefix layout: engineer lines, and lines that start with a known name."""
-    names = stored_names(pages) if names is None else names
-    rows = match_names(_block_lines(item_blocks(pages)), names)
+    return items_of_blocks(item_blocks(pages), stored_names(pages) if names is None else names)
+
+
+def items_of_blocks(blocks: DataFrame, names: DataFrame) -> DataFrame:
+    """`line_items_text` of blocks."""
+    rows = match_names(_block_lines(blocks), names)
     own_qty, own_unit = (F.when(~F.col("engineer"), c) for c in qty_unit(F.col("line")))
     return _finish(
         rows, F.col("contractor"), F.col("engineer"), F.col("line"),
@@ -103,16 +108,22 @@ def line_items_text(pages: DataFrame, names: DataFrame | None = None) -> DataFra
 
 # ---- wrapped-name layout -----------------------------------------------------------------
 
-TOKEN = r"\w+|[^\w\s]"
+#: A token with the blank before it: all of them in a row are the line.
+PIECE = r"\s?(?:\w+|[^\w\s])"
 SKIPPED_STARTS = r"(?i)^(schedule:|line item|pay item)"
+BLOCK_KEY = ["doc_id", "page_no", "block_no"]
 
 
 def holds_tail(line: Column) -> Column:
     return holds_any(line, fixed.NAME_TAIL_WORDS)
 
 
+def pieces_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
+
+
 def name_fragments(names: DataFrame) -> DataFrame:
-    """Whole names and their phrases of 2 and 3 words: (doc_id, fragment, first token)."""
+    """Whole names and their phrases of 2 and 3 words: (doc_id, fragment, n), n being its number of tokens."""
     words = F.filter(F.transform(F.split("contractor", r"[\s,]+"), lambda w: F.btrim(w, F.lit(" ,"))), lambda w: w != "")
 
     def phrases(size: int) -> Column:
@@ -124,60 +135,86 @@ def name_fragments(names: DataFrame) -> DataFrame:
     return (
         names.select("doc_id", F.explode_outer(fragments).alias("fragment"))
         .distinct()
-        .withColumn("token", F.regexp_extract("fragment", TOKEN, 0))
+        .withColumn("n", F.size(pieces_of(F.col("fragment"))))
     )
 
 
-def _whole_words(text: Column) -> Column:
-    """Pattern that finds the literal text where no word character touches it."""
-    quoted = F.regexp_replace(text, r"([\\.\[\]{}()*+?^$|-])", r"\\$1")
-    return F.concat(F.lit(r"(?<!\w)"), quoted, F.lit(r"(?!\w)"))
+def line_grams(lines: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Every run of whole tokens of each line that is as long as some fragment of its document: `at`, `n` and the text `fragment`.
+
+    So a line has at most as many as its tokens times the distinct lengths. Runs that begin or end inside a word are not whole.
+    """
+    pieces, last = F.col("_pieces"), F.size("_pieces") - 1
+    piece = lambda i: F.get(pieces, i)
+    begins = lambda i: (i == 0) | F.startswith(piece(i), F.lit(" ")) | ~piece(i - 1).rlike(r"\w$")
+    ends = lambda i: (i == last) | F.startswith(piece(i + 1), F.lit(" ")) | ~piece(i + 1).rlike(r"^\w")
+
+    def runs(n: Column) -> Column:
+        at = F.sequence(F.lit(0), F.greatest(last + 1 - n, F.lit(0)))
+        whole = F.filter(at, lambda i: (i + n - 1 <= last) & begins(i) & ends(i + n - 1))
+        return F.transform(whole, lambda i: F.struct(i.alias("at"), n.alias("n"), F.ltrim(F.array_join(F.slice(pieces, i + 1, n), "")).alias("fragment")))
+
+    kept = [c for c in lines.columns if c != "line"]
+    grams = lines.withColumn("_pieces", pieces_of(F.col("line"))).join(sizes, "doc_id").select(*kept, F.explode(F.flatten(F.transform("sizes", runs))).alias("g"))
+    return grams.select(*kept, "g.*")
 
 
 def known_fragments(lines: DataFrame, names: DataFrame) -> DataFrame:
-    """Lines with the fragments they hold, longest first: one row per document, page, block, line.
+    """The places of name fragments in lines(..., doc_id, line): `at` (first token), `n` (tokens) and `fragment`.
 
-    Candidates meet by their first token, then are checked as whole words.
+    The token n-grams of a line meet the dictionary of its document by equality; no pair of a line and a name is formed that does not fit.
     """
-    keys = ["doc_id", "page_no", "block_no", "line_no"]
-    tokens = F.array_distinct(F.regexp_extract_all("line", F.lit(TOKEN), F.lit(0)))
-    candidates = lines.select(*keys, "line", F.explode_outer(tokens).alias("token")).join(
-        name_fragments(names), ["doc_id", "token"], "left"
+    fragments = name_fragments(names)
+    sizes = fragments.groupBy("doc_id").agg(F.collect_set("n").alias("sizes"))
+    return line_grams(lines, sizes).join(fragments.select("doc_id", "fragment"), ["doc_id", "fragment"])
+
+
+def _without_places(line: Column, places: Column) -> Column:
+    """The line without the tokens of the places, the longest fragments taken first; a place that meets a taken one stays."""
+    covered = lambda p: F.sequence(p["at"], p["at"] + p["n"] - 1)
+    taken = F.aggregate(
+        F.array_sort(places), F.array().cast("array<int>"),
+        lambda done, p: F.when(F.arrays_overlap(done, covered(p)), done).otherwise(F.concat(done, covered(p))),
+    )
+    blank = F.transform(
+        F.transform(F.array(taken), lambda t: F.transform(pieces_of(line), lambda x, i: F.when(F.array_contains(t, i), F.when(F.startswith(x, F.lit(" ")), " ").otherwise("")).otherwise(x))),
+        lambda xs: F.array_join(xs, ""),
     )
-    held = F.contains("line", F.col("fragment")) & F.regexp_like("line", _whole_words(F.col("fragment")))
-    found = F.collect_set(F.when(held, F.struct((-F.length("fragment")).alias("n"), F.col("fragment").alias("f"))))
-    return candidates.groupBy(*keys, "line").agg(F.transform(F.array_sort(found), lambda s: s["f"]).alias("fragments"))
+    return blank[0]
+
+
+def _without_tails(line: Column) -> Column:
+    """The line without the company words, where no word character touches them."""
+    words = "|".join(re.escape(w) for w in sorted(fixed.NAME_TAIL_WORDS, key=len, reverse=True))
+    return norm_ws(F.regexp_replace(line, rf"(?<!\w)(?:{words})(?!\w)", ""))
+
 
+def loose_lines(blocks: DataFrame) -> DataFrame:
+    """The lines of blocks that may hold a broken name: those without money that are not the engineer's."""
+    return _block_lines(blocks.select(*BLOCK_KEY, "body")).filter(_is_loose(F.col("line")))
 
-def _without(line: Column, fragments: Column) -> Column:
-    """The line with fragments and company words taken out."""
-    tails = F.array(*[F.lit(w) for w in sorted(fixed.NAME_TAIL_WORDS, key=len, reverse=True)])
-    every = F.concat(fragments, tails)
-    return norm_ws(F.aggregate(every, line, lambda text, f: F.regexp_replace(text, _whole_words(f), F.lit(""))))
+
+def _is_loose(line: Column) -> Column:
+    return ~F.contains(line, F.lit("$")) & ~is_engineer(line)
 
 
 def _body_with_fragments(blocks: DataFrame, names: DataFrame) -> DataFrame:
-    """Blocks whose `body` is lines as structs: line, is_name (may be part of a name), rest.
+    """Blocks whose `body` is lines as structs: line, is_name (may be part of a name), rest (null for a line that is not loose).
 
-    Only lines without money are looked up. Blocks meet what was found by their own key.
+    Only the places of fragments are brought together, by block; blocks meet them by their own key.
     """
-    keys = ["doc_id", "page_no", "block_no"]
-    loose = _block_lines(blocks.select(*keys, "body")).filter(
-        ~F.contains(F.col("line"), F.lit("$")) & ~is_engineer(F.col("line"))
-    )
-    found = known_fragments(loose, names)
-    per_line = F.struct(
-        "line_no",
-        ((F.size("fragments") > 0) | holds_tail(F.col("line"))).alias("is_name"),
-        _without(F.col("line"), F.col("fragments")).alias("rest"),
-    )
-    notes = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("line_no", per_line))).alias("_notes"))
+    found = known_fragments(loose_lines(blocks), names)
+    place = F.struct((-F.length("fragment")).alias("size"), "fragment", "at", "n")
+    per_line = found.groupBy(*BLOCK_KEY, "line_no").agg(F.collect_list(place).alias("places"))
+    notes = per_line.groupBy(*BLOCK_KEY).agg(F.map_from_entries(F.collect_list(F.struct("line_no", "places"))).alias("_notes"))
 
     def annotate(line: Column, i: Column) -> Column:
-        note = F.try_element_at(F.col("_notes"), i)
-        return F.struct(line.alias("line"), F.coalesce(note["is_name"], F.lit(False)).alias("is_name"), note["rest"].alias("rest"))
+        places = F.try_element_at(F.col("_notes"), i)
+        kept = F.when(places.isNull(), line).otherwise(_without_places(line, places))
+        loose = _is_loose(line)
+        return F.struct(line.alias("line"), (loose & (places.isNotNull() | holds_tail(line))).alias("is_name"), F.when(loose, _without_tails(kept)).alias("rest"))
 
-    return blocks.join(notes, keys, "left").withColumn("body", F.transform("body", annotate)).drop("_notes")
+    return blocks.join(notes, BLOCK_KEY, "left").withColumn("body", F.transform("body", annotate)).drop("_notes")
 
 
 def _marked(body: Column) -> Column:
@@ -225,8 +262,12 @@ def _wrapped_name(marked: Column, x: Column) -> Column:
 
 def line_items_wrapped(pages: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Item rows of the wrapped layout: names may be broken over lines around the money."""
-    names = stored_names(pages) if names is None else names
-    blocks = _body_with_fragments(item_blocks(pages), names)
+    return wrapped_items_of_blocks(item_blocks(pages), stored_names(pages) if names is None else names)
+
+
+def wrapped_items_of_blocks(blocks: DataFrame, names: DataFrame) -> DataFrame:
+    """`line_items_wrapped` of blocks."""
+    blocks = _body_with_fragments(blocks, names)
     body = F.col("body")
     rests = F.transform(F.filter(body, lambda x: x["rest"] != ""), lambda x: x["rest"])
     description = norm_ws(F.array_join(F.concat(F.array("description"), rests), " "))
@@ -249,10 +290,16 @@ def line_items_wrapped(pages: DataFrame, names: DataFrame | None = None) -> Data
 # ---- page tables -------------------------------------------------------------------------
 
 
+def norm_cell(c: Column) -> Column:
+    """Cell text, null as empty, normalised as its document's layout has it: the prefix layout keeps line breaks inside a cell."""
+    text = F.coalesce(c, F.lit(""))
+    return F.when(wrapped_layout(), norm_ws(text)).otherwise(norm_blanks(text))
+
+
 def clean_cell(c: Column) -> Column:
     """Cell text without printed footers."""
-    text = norm_ws(F.coalesce(c, F.lit("")))
-    without = norm_ws(reduce(lambda t, p: F.regexp_replace(t, p, ""), fixed.CELL_FOOTERS, text))
+    text = norm_cell(c)
+    without = norm_cell(reduce(lambda t, p: F.regexp_replace(t, p, ""), fixed.CELL_FOOTERS, text))
     return F.when(holds_any(text, fixed.CELL_FOOTER_MARKS), without).otherwise(text)
 
 
@@ -268,14 +315,15 @@ def item_table_rows(cells: DataFrame) -> DataFrame:
     """Rows of item tables with their 8 cells cleaned as c0..c7; header rows and other tables go.
 
     A table is an item table if its first row is a header, or if any row starts with a
-    line-item and a pay-item number.
+    line-item and a pay-item number. Cells are normalised by the column `layout`; without one the layout is `prefix`.
     """
     table = whole_table()
+    cells = with_layout(cells)
 
     def raw(i: int) -> Column:
-        return norm_ws(F.coalesce(F.try_element_at("cells", F.lit(i + 1)), F.lit("")))
+        return norm_cell(F.try_element_at("cells", F.lit(i + 1)))
 
-    joined = F.array_join(F.transform("cells", lambda c: norm_ws(F.coalesce(c, F.lit("")))), " ")
+    joined = F.array_join(F.transform("cells", norm_cell), " ")
     titles = F.contains(joined, F.lit("Line Item")) & F.contains(joined, F.lit("Pay Item"))
     header = F.when(F.col("row_no") == F.col("_first"), titles).otherwise(False)
     signature = raw(0).rlike(rf"^{fixed.LINE_ITEM}$") & raw(1).rlike(rf"^{fixed.PAY_ITEM}$")
@@ -341,12 +389,25 @@ def schedule_seen(contexts: DataFrame) -> DataFrame:
 
 def line_items_cells(cells: DataFrame, pages: DataFrame) -> DataFrame:
     """Item rows of page tables: rows with both item numbers, a contractor and money."""
+    return items_of_cells(cells_with_layout(cells, pages), page_context(pages))
+
+
+def cells_with_layout(cells: DataFrame, pages: DataFrame) -> DataFrame:
+    """The cells with the layout of their document's pages, where they have none of their own."""
+    if "layout" in cells.columns or "layout" not in pages.columns:
+        return cells
+    layouts = pages.groupBy("doc_id").agg(F.max("layout").alias("layout"))
+    return cells.join(layouts, "doc_id", "left").withColumn("layout", F.coalesce("layout", F.lit("prefix")))
+
+
+def items_of_cells(cells: DataFrame, contexts: DataFrame) -> DataFrame:
+    """`line_items_cells` with the context of each page."""
     priced = item_table_rows(cells).withColumns({"unit_price": money(F.col("c6")), "amount": money(F.col("c7"))})
     rows = carry_cells(priced).filter(
         F.col("line_item_no").isNotNull() & F.col("pay_item_no").isNotNull() & (F.col("c3") != "")
         & (F.col("unit_price").isNotNull() | F.col("amount").isNotNull())
     )
-    joined = rows.join(schedule_seen(page_context(pages)), ["doc_id", "page_no"], "left")
+    joined = rows.join(schedule_seen(contexts), ["doc_id", "page_no"], "left")
     letter = F.when(F.col("line_item_no").rlike(r"^[A-Z]\d"), F.left(F.col("line_item_no"), F.lit(1)))
     return joined.select(
         "doc_id", F.col("page_no").alias("pdf_page"),
@@ -360,14 +421,17 @@ def line_items_cells(cells: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def fill_from_text(items_cells: DataFrame, items_text: DataFrame) -> DataFrame:
-    """Quantity and unit that table rows lack, from the last text row of the same key."""
-    keys = ["doc_id", "schedule", "line_item_no", "pay_item_no", "contractor"]
-    place = F.struct("pdf_page", *ORDER_COLUMNS)
-    last = items_text.groupBy(*keys).agg(F.max_by(F.struct("quantity", "unit"), place).alias("_text"))
-    joined = null_safe_join(items_cells, last, keys)
+    """Quantity and unit that table rows lack, from the last text row of the same key.
+
+    A name that a cell breaks over lines is the name that the text has on one.
+    """
+    keys = ["doc_id", "schedule", "line_item_no", "pay_item_no", "_name"]
+    place, name = F.struct("pdf_page", *ORDER_COLUMNS), norm_ws(F.col("contractor")).alias("_name")
+    last = items_text.groupBy(*keys[:-1], name).agg(F.max_by(F.struct("quantity", "unit"), place).alias("_text"))
+    joined = null_safe_join(items_cells.select("*", name), last, keys)
     return joined.withColumns({
         "quantity": F.coalesce("quantity", "_text.quantity"), "unit": F.coalesce("unit", "_text.unit"),
-    }).drop("_text")
+    }).drop("_text", "_name")
 
 
 def text_only(items_cells: DataFrame, items_text: DataFrame) -> DataFrame:

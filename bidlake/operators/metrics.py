@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidlake.functions.ordered import double_digits, exact_median, running_totals
+from bidlake.functions.ordered import exact_median, running_totals
 from bidlake.operators.features import with_win_label
 from bidlake.operators.quality import to_long
 from bidlake.schema import ENGINEER_FILL_KEYS, TOP_ERROR_COLUMNS
+from bidlake.sources.writers import written
 
 EPSILON = 2.220446049250313e-16  # spacing of doubles at 1.0
 
@@ -21,7 +22,11 @@ def prediction_errors(df: DataFrame) -> DataFrame:
 
 
 def error_summary(df: DataFrame) -> DataFrame:
-    """Rows, MAE, RMSE and median errors of `prediction_errors`, as (metric, value)."""
+    """Rows, MAE, RMSE and median errors of `prediction_errors`, as (metric, value).
+
+    The errors are stored first: each figure reads them, and none works out again how they came about.
+    """
+    df = written(df.select("abs_error", "pct_error"), "errors")
     e = F.col("abs_error")
     plain = df.agg(F.count(F.lit(1)).alias("rows"), F.avg(e).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
     return (
@@ -66,7 +71,7 @@ def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
     scores = scored_pairs(df, y, p).groupBy(F.col(p).alias("score")).agg(
         F.sum(F.col(y).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("all")
     )
-    return running_totals(scores, double_digits(F.col("score")), ["pos", "all"])
+    return running_totals(scores, ["score"], ["pos", "all"])
 
 
 def _auc_of(counts: DataFrame) -> DataFrame:
@@ -107,7 +112,7 @@ def classification_metrics(df: DataFrame, y: str, p: str) -> DataFrame:
 
 def evaluate_holdout(unit: DataFrame, total: DataFrame, win: DataFrame) -> DataFrame:
     """The three models' hold-out metrics as (scope, metric, value)."""
-    labelled = with_win_label(win)
+    labelled = written(with_win_label(win).select("win", "win_prob"), "labelled")
     return (
         to_long(regression_metrics(unit, "unit_price", "unit_price_pred"), "unit_price")
         .unionByName(to_long(regression_metrics(total, "total_amount", "total_amount_pred"), "total_bid"))

@@ -1,7 +1,7 @@
 """The three models: unit price, total bid, win probability. Training, scoring, saving.
 
 Trees do not take nulls, NaN or infinities here, so every number becomes a plain value and a
-missing flag. Categories become the smoothed mean of the target per value, kept as a table and
+missing flag. Categories become the smoothed mean of the target per value (in training, over other projects), kept as a table and
 joined in: the number of pay items and contractors grows with the data, and no list of them
 passes through the driver.
 """
@@ -14,7 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidlake.functions.numeric import finite_or_null
@@ -29,6 +29,7 @@ from bidlake.sources.writers import log_run, shared_dir, written
 
 MISSING = -1.0  # value a missing number shows to the trees; its flag tells it from a real one
 SMOOTHING = 10.0  # rows' worth of the overall mean added to each category
+FOLDS = 5  # parts of the projects, each shown the category means of the others in training
 # Fixed values of the three models' settings.
 TREES, RATE, SEED = 300, 0.05, 42
 REGRESSION_DEPTH, WIN_DEPTH, WIN_ROWS, WIN_COLUMNS = 5, 6, 0.9, "0.9"
@@ -85,6 +86,40 @@ def apply_encoding(df: DataFrame, encoding: dict[str, DataFrame]) -> DataFrame:
     return df
 
 
+def fold_of(group: str = "project_id") -> Column:
+    """0 to `FOLDS` - 1 by the key of the row's project; rows of one project share a fold."""
+    return F.pmod(F.conv(F.substring(F.md5(F.coalesce(group, F.lit(""))), 1, 7), 16, 10).cast("long"), F.lit(FOLDS)).cast("int")
+
+
+def out_of_fold_means(train: DataFrame, columns: list[str], target: str, group: str = "project_id") -> dict[str, DataFrame]:
+    """Per column a table (value, `_fold`) -> smoothed mean of the target over the training rows of all other folds.
+
+    So no row is shown a mean that its own target, or one of its project's, went into. A value that occurs in one fold alone has no
+    mean there. Sums and counts are kept per value and fold, and a fold's mean is what is left without its own.
+    """
+    known = train.filter(F.col(target).isNotNull()).withColumn("_fold", fold_of(group))
+    sums = {r["_fold"]: (r["s"], r["n"]) for r in known.groupBy("_fold").agg(F.sum(target).alias("s"), F.count(F.lit(1)).alias("n")).collect()}
+    s, n = (sum(x[i] for x in sums.values()) for i in (0, 1))
+    # The overall mean of the others, for each fold.
+    overall = F.create_map(*[F.lit(x) for f, (a, b) in sums.items() for x in (f, (s - a) / (n - b) if n > b else 0.0)]) if sums else None
+    out = {}
+    for c in columns:
+        by_fold = known.filter(F.col(c).isNotNull()).groupBy(c, "_fold").agg(F.sum(target).alias("_s"), F.count(F.lit(1)).alias("_n"))
+        whole = by_fold.groupBy(c).agg(F.sum("_s").alias("_all_s"), F.sum("_n").alias("_all_n"))
+        others = by_fold.join(whole, c).withColumns({"_s": F.col("_all_s") - F.col("_s"), "_n": F.col("_all_n") - F.col("_n")}).filter("_n > 0")
+        mean = (F.col("_s") + SMOOTHING * overall[F.col("_fold")]) / (F.col("_n") + SMOOTHING) if sums else F.lit(None).cast("double")
+        out[c] = others.select(c, "_fold", mean.alias(f"{c}_mean"))
+    return out
+
+
+def apply_out_of_fold(train: DataFrame, means: dict[str, DataFrame], group: str = "project_id") -> DataFrame:
+    """Add `<column>_mean` of each training row by its value and fold."""
+    df = train.withColumn("_fold", fold_of(group))
+    for c, table in means.items():
+        df = df.join(table, [c, "_fold"], "left")
+    return df.drop("_fold")
+
+
 def plain_inputs(df: DataFrame, columns: list[str]) -> DataFrame:
     """Add `<c>_value` (finite, `MISSING` where there is none) and `<c>_isnull` (0/1)."""
     values = {f"{c}_value": F.coalesce(finite_or_null(F.col(c)), F.lit(MISSING)) for c in columns}
@@ -155,8 +190,8 @@ def _use_shared_checkpoints(spark: SparkSession) -> None:
 def fit(kind: str, train: DataFrame, trees: int = TREES, leak_free: bool = False) -> BidModel:
     """Fit on all rows of `train` whose target is not null.
 
-    Category tables and tree inputs are written to the shared folder first: boosting reads its
-    input many times.
+    Training rows see the category means of other folds of projects, rows scored later those of all training rows. Category tables and
+    tree inputs are written to the shared folder first: boosting reads its input many times.
     """
     spark = train.sparkSession
     _use_shared_checkpoints(spark)
@@ -164,7 +199,8 @@ def fit(kind: str, train: DataFrame, trees: int = TREES, leak_free: bool = False
     known = train.filter(F.col(spec.target).isNotNull())
     tables = encode_categories(known, spec.categories, spec.target)
     encoding = {c: written(table, f"encoding-{c}") for c, table in tables.items()}
-    ready = plain_inputs(apply_encoding(known, encoding), spec.inputs)
+    unseen = out_of_fold_means(known, spec.categories, spec.target) if spec.categories else {}
+    ready = plain_inputs(apply_out_of_fold(known, unseen) if unseen else known, spec.inputs)
     vectors = assembler(spec.inputs)
     narrow = ready.select(*vectors.getInputCols(), F.col(spec.target).cast("double").alias(spec.target))
     pipeline = Pipeline(stages=[vectors, _booster(kind, trees)]).fit(written(narrow, "tree-input"))
@@ -196,10 +232,21 @@ def predict_win_prob(model: BidModel, features: DataFrame) -> DataFrame:
 
 
 def labelled_split(kind: str, features: DataFrame, frac: float = 0.8) -> DataFrame:
-    """Rows with a target (and `win` label), and `is_train` by project."""
+    """Rows with a target (and `win` label), and `is_train` by project.
+
+    Projects come in row order if the rows have a position, else by the MD5 of their key: feature tables have no order.
+    """
     target = "unit_price" if kind == "unit_price" else "total_amount"
     known = features.filter(F.col(target).isNotNull())
-    return project_split(with_win_label(known) if kind == "win" else known, frac)
+    known = with_win_label(known) if kind == "win" else known
+    if "_pos" in known.columns:
+        return project_split(known, frac)
+    return project_split(known.withColumn("_md5", F.md5("project_id")), frac, ["_md5"]).drop("_md5")
+
+
+def split_counts(split: DataFrame) -> DataFrame:
+    """Rows of the two parts of a split, as (metric, value)."""
+    return to_long(split.agg(F.count_if("is_train").alias("train_rows"), F.count_if(~F.col("is_train")).alias("test_rows")))
 
 
 def train_metrics(model: BidModel, split: DataFrame) -> DataFrame:
@@ -209,8 +256,7 @@ def train_metrics(model: BidModel, split: DataFrame) -> DataFrame:
         found = metrics.classification_metrics(scored, "win", "win_prob").filter("metric <> 'rows'")
     else:
         found = to_long(metrics.regression_metrics(scored, model.spec.target, model.spec.prediction).drop("rows"))
-    counts = split.agg(F.count_if("is_train").alias("train_rows"), F.count_if(~F.col("is_train")).alias("test_rows"))
-    return found.unionByName(to_long(counts))
+    return found.unionByName(split_counts(split))
 
 
 def train(

@@ -1,7 +1,7 @@
 """Operators on page text: metadata, lines, context, bidder totals, item blocks.
 
 A page is one row, so everything inside a page is done on arrays within the row. Page text is
-not shuffled; only small extracts (names, amounts, captured fields) are.
+not shuffled; only small extracts (names, amounts, captured fields, the lines at a page's ends) are.
 
 Arrays are unnested with the `_outer` generators and a null filter after them: for the plain
 ones the optimizer adds a not-empty filter below, which works the whole array out again.
@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidlake.functions import fixed
+from bidlake.functions.ordered import following
 from bidlake.functions.text import (
     any_of, capture, holds_any, is_engineer, norm_blanks, norm_ws, printed_number, strip_ws,
 )
+from bidlake.sources.writers import written
 
 # Regular expressions run with Unicode classes; in metadata `.` stops only at a line feed.
 UNICODE = "(?U)"
@@ -98,48 +100,134 @@ def summary_pages(pages: DataFrame) -> DataFrame:
 # ---- document metadata -------------------------------------------------------------------
 
 
-def _captures() -> dict[str, list[str]]:
-    patterns = {field: list(ps) for field, ps in fixed.METADATA.items()}
-    patterns["project_name"].append(fixed.WRAPPED_PROJECT_NAME)
-    return patterns
-
-
 def _label(pattern: str) -> str:
     """The literal text a metadata pattern starts with, in lower case."""
     return re.match(r"[A-Za-z ]+", pattern).group().rstrip().lower()
 
 
-def joined_documents(pages: DataFrame) -> DataFrame:
-    """One row per document: the text of its pages in order, a line break between two, and its first page's text."""
-    in_order = F.array_sort(F.collect_list(F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))))
-    first = F.max(F.when(F.col("page_no") == 1, F.col("text"))).alias("first_page")
-    whole = F.array_join(F.transform(in_order, lambda p: p["text"]), "\n")
-    return with_layout(pages).groupBy("doc_id", "source_stem", "layout").agg(whole.alias("text"), first)
+#: The first three lines that are not blank. But for the wrapped name, a match covers three such lines of a document at most.
+THREE_LINES = r"(?dU)^(?:\s*\S[^\n]*\n?){0,3}"
+
+
+def _utf16(text: Column) -> Column:
+    """Length in the units that regexp_instr counts in."""
+    return F.octet_length(F.encode(text, "UTF-16BE")) / 2
 
 
-def doc_metadata(pages: DataFrame) -> DataFrame:
-    """One row per document: seven fields, each from the first pattern that hits anywhere in the joined pages.
+def _is_blank(text: Column) -> Column:
+    return ~text.rlike(r"(?U)\S")
 
-    A match may run over any number of pages. The project name falls back to the head of page 1 in the
-    wrapped layout. Looking for a pattern's literal label first is much cheaper than the pattern.
+
+def _hits(text: Column, upto: Column, holding: Column) -> dict[str, Column]:
+    """Per pattern what its first match in the text captures, if that starts in the first `upto` units.
+
+    `holding` is the lower-case text that a label must be in; looking for that first is much cheaper than the pattern.
     """
-    documents = joined_documents(pages).withColumn("_lower", F.lower("text"))
+    hits = {}
+    for pattern in (p for ps in fixed.METADATA.values() for p in ps):
+        flagged = METADATA_FLAGS + pattern
+        found = F.when(F.contains(holding, F.lit(_label(pattern))), capture(text, flagged))
+        hits[pattern] = F.when(found.isNotNull() & (F.regexp_instr(text, F.lit(flagged)) <= upto), found)
+    return hits
 
-    def hit(pattern: str) -> Column:
-        here = F.contains("_lower", F.lit(_label(pattern)))
-        here = here & wrapped_layout() if pattern == fixed.WRAPPED_PROJECT_NAME else here
-        return F.when(here, capture(F.col("text"), METADATA_FLAGS + pattern))
 
-    found = documents.select(
-        "doc_id", "source_stem", "layout", "first_page", *[F.coalesce(*map(hit, ps)).alias(field) for field, ps in _captures().items()]
+def metadata_pieces(pages: DataFrame, others: list[str] = ()) -> DataFrame:
+    """What each page gives to its document's metadata: finished captures, and the little text that other pages may finish.
+
+    `head` is the page's first three lines that are not blank, or its white space if none is; `tail` is its last three, where a label is among them. A match whose label stands
+    before the tail lies within the page (`inner`); one that begins in the tail is looked for in the tail and the heads after it. Columns
+    of `others` stay. A null text is empty, and a page without number stands before page 1.
+    """
+    lower = F.lower("text")
+    labels = sorted({_label(p) for ps in fixed.METADATA.values() for p in ps})
+    tail = F.reverse(F.regexp_extract(F.reverse("text"), THREE_LINES, 0))
+    pages = with_layout(pages).withColumns({"text": F.coalesce("text", F.lit("")), "page_no": F.coalesce("page_no", F.lit(0))})
+    pieces = pages.withColumns({
+        "_labelled": holds_any(lower, labels), "head": F.when(_is_blank(F.col("text")), F.col("text")).otherwise(F.regexp_extract("text", THREE_LINES, 0)),
+    })
+    pieces = pieces.withColumn("tail", F.when(F.col("_labelled"), tail))
+    inner = _hits(F.col("text"), _utf16(F.col("text")) - _utf16(F.col("tail")), lower)
+    return pieces.select(
+        "doc_id", "source_stem", "layout", "page_no", "head",
+        F.when(holds_any(F.lower("tail"), labels), F.col("tail")).alias("tail"),
+        F.when(F.col("_labelled"), F.struct(*[c.alias(f"p{i}") for i, c in enumerate(inner.values())])).alias("inner"),
+        F.when(wrapped_layout() & (F.col("page_no") == 1), header_project_name(F.col("text"))).alias("header"), *others,
     )
 
-    def cleaned(name: str) -> Column:
-        return F.nullif(F.when(wrapped_layout(), norm_ws(F.col(name))).otherwise(norm_blanks(F.col(name))), F.lit(""))
 
-    fields = {name: cleaned(name) for name in _captures()}
-    head = F.when(wrapped_layout(), header_project_name(F.col("first_page")))
-    fields["project_name"] = F.coalesce(fields["project_name"], head)
+def _stitched(pieces: DataFrame) -> DataFrame:
+    """Pages that have an open tail, with what each pattern captures from it and the heads after it (`seam`).
+
+    A page break is a line break. Blank pages give nothing but white space: of some in a row the first one's is kept by the page before them, and
+    they are passed over, so that two full pages after the tail are always enough.
+    """
+    noted = following(pieces.select("doc_id", "page_no", "tail", "head"), ["doc_id"], "page_no", "head", 1)
+    blank = F.when(_is_blank(F.col("head_1")), F.concat(F.lit("\n"), "head_1")).otherwise("")
+    full = noted.filter(~_is_blank(F.col("head"))).select("doc_id", "page_no", "tail", F.concat("head", blank).alias("head"), blank.alias("_blank"))
+    rows = following(full, ["doc_id"], "page_no", "head", 2).filter(F.col("tail").isNotNull())
+    text = F.concat_ws("\n", F.concat("tail", "_blank"), "head_1", "head_2")
+    rows = rows.withColumns({"_upto": _utf16(F.col("tail")), "_tail": F.lower("tail"), "_text": text})
+    hits = _hits(F.col("_text"), F.col("_upto"), F.col("_tail"))
+    return rows.select("doc_id", "page_no", F.struct(*[c.alias(f"p{i}") for i, c in enumerate(hits.values())]).alias("seam"))
+
+
+def _wrapped_names(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, name) of the wrapped layout for the wanted documents: from the first label to the first terminator behind it.
+
+    First the page of the label and that of the terminator are found. Only pages from the one to the other are put
+    together, which is no more text than the match and the rest of its two outer pages.
+    """
+    label, end = _label(fixed.WRAPPED_PROJECT_NAME), r"(?idU)(?:^|\s)Contractor Responsive\?"
+    mine = with_layout(pages).filter(wrapped_layout()).join(wanted, "doc_id", "left_semi")
+    mine = mine.select("doc_id", F.coalesce("page_no", F.lit(0)).alias("page_no"), F.coalesce("text", F.lit("")).alias("text"))
+    from_label = F.substr("text", F.locate("project name:", F.lower("text")))
+    marks = mine.select(
+        "doc_id", "page_no", F.contains(F.lower("text"), F.lit(label + ":")).alias("labelled"), F.col("text").rlike(end).alias("ended"), from_label.alias("rest")
+    )
+    first = marks.filter("labelled").groupBy("doc_id").agg(F.min("page_no").alias("first"), F.min_by("rest", "page_no").alias("rest"))
+    # Where nothing stands between the label and the next terminator, that one does not end the name.
+    bare = F.col("rest").rlike(r"(?idU)^Project Name:\s*(?:Contractor Responsive\?|$)")
+    own = F.col("rest").rlike(METADATA_FLAGS + fixed.WRAPPED_PROJECT_NAME)
+    first = first.select("doc_id", "first", F.when(own, F.col("first")).alias("own"), F.when(bare, 2).otherwise(1).alias("ends"))
+    later = marks.filter("ended").join(first, "doc_id").filter(F.col("page_no") > F.col("first"))
+    next_ = later.groupBy("doc_id").agg(F.min("page_no").alias("next"))
+    second = later.filter("ends = 2").join(next_, "doc_id").filter("page_no > next").groupBy("doc_id").agg(F.min("page_no").alias("after"))
+    bounds = first.join(next_, "doc_id", "left").join(second, "doc_id", "left")
+    last = F.coalesce("own", F.when(F.col("ends") == 2, F.coalesce("after", "next")).otherwise(F.col("next")))
+    bounds = bounds.select("doc_id", "first", last.alias("last")).filter(F.col("last").isNotNull())
+    between = mine.join(bounds, "doc_id").filter(F.col("page_no").between(F.col("first"), F.col("last")))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]), "\n")
+    return between.groupBy("doc_id").agg(capture(text, METADATA_FLAGS + fixed.WRAPPED_PROJECT_NAME).alias("name"))
+
+
+def doc_metadata(pages: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
+    """One row per document: seven fields, each from the first pattern that hits anywhere in the pages, in page order.
+
+    A match may run over any number of pages, with any gaps between their numbers. No page text is brought together for that: each
+    page gives its finished captures and the few lines at its ends that a match may cross (`metadata_pieces`), and those are stitched.
+    The wrapped layout's name alone may take whole pages, those it covers. It falls back to the head of page 1. `pieces` are those of the pages where
+    they are stored already.
+    """
+    pieces = written(metadata_pieces(pages), "pieces") if pieces is None else pieces
+    patterns = [p for ps in fixed.METADATA.values() for p in ps]
+    names = [f"p{i}" for i in range(len(patterns))]
+    parts = pieces.filter(F.col("inner").isNotNull()).select("doc_id", "page_no", F.lit(0).alias("part"), "inner.*")
+    parts = parts.unionByName(_stitched(pieces).select("doc_id", "page_no", F.lit(1).alias("part"), "seam.*"))
+    place = F.struct("page_no", "part")
+    hits = parts.groupBy("doc_id").agg(*[F.min_by(n, F.when(F.col(n).isNotNull(), place)).alias(n) for n in names])
+    documents = pieces.groupBy("doc_id", "source_stem", "layout").agg(F.max("header").alias("_header"))
+    found = documents.withColumnRenamed("doc_id", "_id").join(hits, F.col("_id").eqNullSafe(F.col("doc_id")), "left").drop("doc_id").withColumnRenamed("_id", "doc_id")
+    hit = dict(zip(patterns, map(F.col, names)))
+    found = found.select("doc_id", "source_stem", "layout", "_header", *[F.coalesce(*[hit[p] for p in ps]).alias(f) for f, ps in fixed.METADATA.items()])
+    found = written(found, "captures")
+    nameless = found.filter(wrapped_layout() & F.col("project_name").isNull()).select("doc_id")
+    found = found.join(_wrapped_names(pages, nameless), "doc_id", "left")
+
+    def cleaned(c: Column) -> Column:
+        return F.nullif(F.when(wrapped_layout(), norm_ws(c)).otherwise(norm_blanks(c)), F.lit(""))
+
+    fields = {f: cleaned(F.coalesce("project_name", "name") if f == "project_name" else F.col(f)) for f in fixed.METADATA}
+    fields["project_name"] = F.coalesce(fields["project_name"], F.col("_header"))
     return found.select("doc_id", "source_stem", "layout", *[c.alias(name) for name, c in fields.items()])
 
 
@@ -178,13 +266,21 @@ def _name_on(line: Column) -> Column:
     return F.when(~holds_any(name, ["Engineer", "Estimate"]) & (name != ""), name)
 
 
+def names_on(lines: Column) -> Column:
+    """Distinct company names that lines give."""
+    return F.array_compact(F.array_distinct(F.transform(F.filter(lines, lambda s: holds_any(s, fixed.COMPANY_WORDS)), _name_on)))
+
+
+def distinct_names(found: DataFrame) -> DataFrame:
+    """(doc_id, contractor) of rows with an array `names`."""
+    names = found.select("doc_id", F.explode_outer("names").alias("contractor"))
+    return names.filter(F.col("contractor").isNotNull()).distinct()
+
+
 def contractor_names(pages: DataFrame) -> DataFrame:
     """Distinct company names of each document: (doc_id, contractor)."""
-    lines = F.filter(lines_of(F.col("text")), lambda s: holds_any(s, fixed.COMPANY_WORDS))
-    names = F.array_distinct(F.transform(lines, _name_on))
     holding = with_layout(pages).filter(holds_any(F.col("text"), fixed.COMPANY_WORDS))
-    found = holding.select("doc_id", F.explode_outer(names).alias("contractor"))
-    return found.filter(F.col("contractor").isNotNull()).distinct()
+    return distinct_names(holding.select("doc_id", names_on(lines_of(F.col("text"))).alias("names")))
 
 
 # ---- bidder totals -----------------------------------------------------------------------
@@ -241,23 +337,19 @@ def _flat_bids(text: Column) -> Column:
     return F.filter(F.transform(matches, bid), keep)
 
 
-def bid_rows(pages: DataFrame) -> DataFrame:
-    """Bidder totals of the summary pages as found, both passes, repeats included."""
-    found = (
-        summary_pages(with_layout(pages))
-        .withColumn("_lines", lines_of(F.col("text")))
-        .withColumn("_seen", _amounts_on(F.col("_lines")))
-        .select(
-            "doc_id",
-            F.col("page_no").alias("pdf_page"),
-            bid_schedule_of(F.col("_lines")).alias("schedule"),
-            option_of(F.col("_lines")).alias("option"),
-            F.explode_outer(F.concat(_line_bids(F.col("_seen")), _flat_bids(F.col("text")))).alias("b"),
-        )
-        .filter(F.col("b").isNotNull())
-    )
+def bids_on(text: Column, lines: Column, seen: Column) -> Column:
+    """Bidder totals of a summary page, both passes, with the page's schedule; null for other pages. `seen` is `_amounts_on(lines)`."""
+    rows = F.concat(_line_bids(seen), _flat_bids(text))
+    return F.when(is_summary_page(text), F.struct(bid_schedule_of(lines).alias("schedule"), rows.alias("rows")))
+
+
+def bids_of(found: DataFrame) -> DataFrame:
+    """Bidder totals of rows (doc_id, page_no, option, bids), repeats included."""
+    rows = found.filter(F.col("bids").isNotNull()).select(
+        "doc_id", F.col("page_no").alias("pdf_page"), "bids.schedule", "option", F.explode_outer("bids.rows").alias("b")
+    ).filter(F.col("b").isNotNull())
     engineer = is_engineer(F.col("b.name"))
-    return found.select(
+    return rows.select(
         "doc_id", "pdf_page", "schedule", "option",
         F.when(engineer, fixed.ENGINEER_NAME).otherwise(F.col("b.name")).alias("contractor"),
         F.col("b.amount").alias("bid_amount"),
@@ -265,6 +357,13 @@ def bid_rows(pages: DataFrame) -> DataFrame:
     )
 
 
+def bid_rows(pages: DataFrame) -> DataFrame:
+    """Bidder totals of the summary pages as found, both passes, repeats included."""
+    lines = F.col("_lines")
+    found = summary_pages(with_layout(pages)).withColumn("_lines", lines_of(F.col("text"))).withColumn("_seen", _amounts_on(lines))
+    return bids_of(found.select("doc_id", "page_no", option_of(lines).alias("option"), bids_on(F.col("text"), lines, F.col("_seen")).alias("bids")))
+
+
 def first_bids(rows: DataFrame) -> DataFrame:
     """One row per document, schedule, option, contractor and amount: the one on the first page."""
     keys = ["doc_id", "schedule", "option", "contractor", "bid_amount", "is_engineers_estimate"]
@@ -295,44 +394,35 @@ def _opens_block(line: Column) -> Column:
     return line.rlike(fixed.LINE_ITEM) & line.rlike(fixed.PAY_ITEM)
 
 
-def item_blocks(pages: DataFrame) -> DataFrame:
-    """One row per item block: its header fields and its lines.
-
-    A line with a line-item number and a pay-item number opens a block, which runs to the next
-    such line or the end of the page.
-    """
-    lines = F.col("_lines")
+def block_starts(lines: Column) -> Column:
+    """Places of the lines that open a block."""
     last = F.size(lines) - 1
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: _opens_block(F.try_element_at(lines, i + 1)))
+    return F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: _opens_block(F.try_element_at(lines, i + 1)))
 
+
+def blocks_on(lines: Column, starts: Column) -> Column:
+    """The blocks of a page: number, header line and the lines below it."""
     def block(start: Column, k: Column) -> Column:
-        end = F.coalesce(F.try_element_at(F.col("_starts"), k + 2), F.size(lines))
-        header = F.try_element_at(lines, start + 1)
+        end = F.coalesce(F.try_element_at(starts, k + 2), F.size(lines))
         return F.struct(
             k.alias("block_no"),
-            header.alias("header"),
+            F.try_element_at(lines, start + 1).alias("header"),
             F.slice(lines, start + 2, F.greatest(end - start - 1, F.lit(0))).alias("body"),
         )
 
-    kept = [c for c in pages.columns if c not in ("text", "layout")]
-    found = (
-        with_layout(pages)
-        .withColumn("_lines", lines_of(F.col("text")))
-        .withColumn("_starts", starts)
-        .select(
-            *kept, "layout",
-            schedule_of(lines).alias("schedule"),
-            option_of(lines).alias("option"),
-            F.inline_outer(F.transform(F.col("_starts"), block)),
-        )
-        .filter(F.col("block_no").isNotNull())
-    )
+    return F.transform(starts, block)
+
+
+def blocks_of(found: DataFrame) -> DataFrame:
+    """One row per block of rows with an array `blocks`, its header taken apart; other columns stay."""
+    kept = [c for c in found.columns if c != "blocks"]
+    rows = found.select(*kept, F.inline_outer("blocks")).filter(F.col("block_no").isNotNull())
     pay_item = capture(F.col("header"), fixed.PAY_ITEM)
     rest = F.substr(F.col("header"), F.instr(F.col("header"), pay_item) + F.length(pay_item))
     engineer_line = F.try_element_at(F.filter("body", is_engineer), F.lit(1))
     quantity, unit = qty_unit(engineer_line)
-    return found.select(
-        *kept, "layout", "schedule", "option", "block_no",
+    return rows.select(
+        *kept, "block_no",
         capture(F.col("header"), fixed.LINE_ITEM).alias("line_item_no"),
         pay_item.alias("pay_item_no"),
         norm_ws(rest).alias("description"),
@@ -340,3 +430,35 @@ def item_blocks(pages: DataFrame) -> DataFrame:
         unit.alias("unit"),
         "body",
     )
+
+
+def item_blocks(pages: DataFrame) -> DataFrame:
+    """One row per item block: its header fields and its lines.
+
+    A line with a line-item number and a pay-item number opens a block, which runs to the next
+    such line or the end of the page.
+    """
+    lines = F.col("_lines")
+    kept = [c for c in pages.columns if c not in ("text", "layout")]
+    found = with_layout(pages).withColumn("_lines", lines_of(F.col("text"))).withColumn("_starts", block_starts(lines))
+    return blocks_of(found.select(
+        *kept, "layout", schedule_of(lines).alias("schedule"), option_of(lines).alias("option"), blocks_on(lines, F.col("_starts")).alias("blocks")
+    ))
+
+
+# ---- everything of a page at once ----------------------------------------------------------
+
+
+def page_products(pages: DataFrame) -> DataFrame:
+    """All that a document job needs of a page, from one look at its text: context, names, bidder totals, item blocks and metadata pieces.
+
+    Columns: doc_id, source_stem, layout, page_no, schedule, option, names, bids, blocks, and those of `metadata_pieces`.
+    """
+    lines, text = F.col("_lines"), F.col("text")
+    seen = with_layout(pages).withColumn("_lines", lines_of(text))
+    seen = seen.withColumns({"_starts": block_starts(lines), "_seen": F.when(is_summary_page(text), _amounts_on(lines))})
+    products = {
+        "schedule": schedule_of(lines), "option": option_of(lines), "names": F.when(holds_any(text, fixed.COMPANY_WORDS), names_on(lines)),
+        "bids": bids_on(text, lines, F.col("_seen")), "blocks": blocks_on(lines, F.col("_starts")),
+    }
+    return metadata_pieces(seen.withColumns(products), list(products))

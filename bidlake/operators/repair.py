@@ -11,15 +11,22 @@ from bidlake.schema import (
 )
 
 
-def first_value(df: DataFrame, value: Column, where: Column | None = None) -> Column:
-    """Aggregate: the first value in row order that is not null (and meets `where`).
+def row_order(df: DataFrame, order: list[str] | None = None) -> Column:
+    """What rows come first by: the named columns, or else `_pos`, which the readers give (file, block, row).
 
-    Row order is the `_pos` column. A frame without it has no order; the least value is taken.
+    A frame has no order of its own, so one of the two is needed.
     """
-    wanted = value.isNotNull() if where is None else value.isNotNull() & where
+    if order:
+        return F.struct(*order)
     if "_pos" not in df.columns:
-        return F.min(F.when(wanted, value))
-    return F.min_by(value, F.when(wanted, F.col("_pos")))
+        raise ValueError("the rows have no order: pass `order`, or read them with their position (`_pos`)")
+    return F.col("_pos")
+
+
+def first_value(df: DataFrame, value: Column, where: Column | None = None, order: list[str] | None = None) -> Column:
+    """Aggregate: the first value in row order (see `row_order`) that is not null (and meets `where`)."""
+    wanted = value.isNotNull() if where is None else value.isNotNull() & where
+    return F.min_by(value, F.when(wanted, row_order(df, order)))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -58,8 +65,9 @@ def fill_from_engineer(
     keys: list[str] = ENGINEER_FILL_KEYS_WITH_DESCRIPTION,
     null_safe: bool = False,
     blank_is_null: bool = False,
+    order: list[str] | None = None,
 ) -> DataFrame:
-    """Fill missing quantity and unit from the engineer's row of the same key.
+    """Fill missing quantity and unit from the first engineer's row of the same key that has one, in row order.
 
     The engineer's values are aggregated first (one row per key), so a key with very many rows
     is never gathered in one task; the join is left to the optimizer. With `blank_is_null` a
@@ -70,8 +78,8 @@ def fill_from_engineer(
         df.filter(F.col("is_engineers_estimate") == 1)
         .groupBy(*keys)
         .agg(
-            first_value(df, F.col("quantity")).alias("_ee_quantity"),
-            first_value(df, unit).alias("_ee_unit"),
+            first_value(df, F.col("quantity"), order=order).alias("_ee_quantity"),
+            first_value(df, unit, order=order).alias("_ee_unit"),
         )
     )
     joined = null_safe_join(df, engineer, keys) if null_safe else df.join(engineer, keys, "left")
@@ -84,10 +92,13 @@ def fill_from_engineer(
     ])
 
 
-def fill_from_engineer_grouped(df: DataFrame) -> DataFrame:
-    """The per-document form: null keys form one group, a null option is empty."""
+def fill_from_engineer_grouped(df: DataFrame, order: list[str] | None = None, document: list[str] = ()) -> DataFrame:
+    """The per-document form: null keys form one group, a null option is empty.
+
+    `document` names the columns that tell documents apart where the frame holds several.
+    """
     named = df.withColumn("option", F.coalesce("option", F.lit("")))
-    return fill_from_engineer(named, ENGINEER_FILL_KEYS, null_safe=True, blank_is_null=True)
+    return fill_from_engineer(named, [*document, *ENGINEER_FILL_KEYS], null_safe=True, blank_is_null=True, order=order)
 
 
 def merge_metadata(items: DataFrame, bids: DataFrame, dedupe: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidlake.operators import attribution, features, models
-from bidlake.plans.queries_tables import EE_REF, LIF_SQL, PCF_SQL, rounded, with_id
+from bidlake.plans.queries_tables import EE_REF, LIF_SQL, ORDER, PCF_SQL, rounded, with_id
 from bidlake.plans.registry import query
 from bidlake.schema import TOTAL_ID_COLUMNS, UNIT_PRICE_CATEGORIES, UNIT_PRICE_ID_COLUMNS
 from bidlake.sources import writers
@@ -19,7 +19,7 @@ _trained: dict = {}
 
 def feature_table(spark, sf_dir, kind: str) -> DataFrame:
     rows = with_id(spark, sf_dir)
-    return features.line_item_features(rows) if kind == "unit_price" else features.project_contractor_features(rows)
+    return features.line_item_features(rows, ORDER) if kind == "unit_price" else features.project_contractor_features(rows)
 
 
 def trained(spark, sf_dir, kind: str):
@@ -60,6 +60,25 @@ def train_metrics(spark, sf_dir):
     return scoped({kind: trained(spark, sf_dir, kind)[1] for kind in KINDS})
 
 
+def _counts(scope: str, rows: str) -> str:
+    """SQL for the sizes of the two parts of the rows, projects by the MD5 of their key."""
+    return f"""SELECT '{scope}' AS scope, unnest(['train_rows', 'test_rows']) AS metric, unnest([count(*) FILTER (WHERE train), count(*) FILTER (WHERE NOT train)])::DOUBLE AS value
+    FROM (SELECT r.project_id, k.rk <= floor(0.8 * k.total) AS train FROM ({rows}) r
+     JOIN (SELECT project_id, row_number() OVER (ORDER BY md5(project_id)) AS rk, count(*) OVER () AS total FROM (SELECT DISTINCT project_id FROM ({rows}))) k USING (project_id))"""
+
+
+@query(
+    " UNION ALL ".join([
+        _counts("unit_price", "SELECT project_id FROM with_id WHERE is_engineers_estimate = 0 AND unit_price IS NOT NULL"),
+        _counts("total_bid", "SELECT project_id FROM pcf"), _counts("win", "SELECT project_id FROM pcf"),
+    ]),
+    ("with_id",), pcf=PCF_SQL,
+)
+def train_counts(spark, sf_dir):
+    """Rows that the three models are trained and tested on."""
+    return scoped({kind: models.split_counts(models.labelled_split(kind, feature_table(spark, sf_dir, kind))) for kind in KINDS})
+
+
 @query()
 def attribution_summary(spark, sf_dir):
     """Contribution of each input, over all rows of the three models."""
@@ -131,12 +150,35 @@ def _means(c: str) -> str:
     bidders="SELECT * FROM with_id WHERE is_engineers_estimate = 0 AND unit_price IS NOT NULL",
 )
 def encode_categories(spark, sf_dir):
-    rows = features.line_item_features(with_id(spark, sf_dir))
+    rows = features.line_item_features(with_id(spark, sf_dir), ORDER)
     tables = models.encode_categories(rows, UNIT_PRICE_CATEGORIES, "unit_price")
     parts = [t.select(F.lit(c).alias("category"), F.col(c).alias("value"), F.round(f"{c}_mean", 6).alias("mean")) for c, t in tables.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _others(c: str) -> str:
+    return f"""SELECT '{c}' AS category, a.{c} AS value, a.fold, round((w.s - a.s + 10 * o.mean) / (w.n - a.n + 10), 6) AS mean
+    FROM (SELECT {c}, fold, sum(unit_price) AS s, count(*) AS n FROM folded WHERE {c} IS NOT NULL GROUP BY {c}, fold) a
+    JOIN (SELECT {c}, sum(unit_price) AS s, count(*) AS n FROM folded WHERE {c} IS NOT NULL GROUP BY {c}) w ON a.{c} = w.{c}
+    JOIN fold_means o ON a.fold = o.fold WHERE w.n > a.n"""
+
+
+@query(
+    " UNION ALL ".join(_others(c) for c in UNIT_PRICE_CATEGORIES), ("with_id",),
+    folded="SELECT *, (('0x' || substr(md5(project_id), 1, 7))::BIGINT % 5)::INT AS fold FROM with_id WHERE is_engineers_estimate = 0 AND unit_price IS NOT NULL",
+    fold_means="""SELECT f.fold, (t.s - f.s) / (t.n - f.n) AS mean FROM (SELECT fold, sum(unit_price) AS s, count(*) AS n FROM folded GROUP BY fold) f,
+     (SELECT sum(unit_price) AS s, count(*) AS n FROM folded) t""",
+)
+def out_of_fold_means(spark, sf_dir):
+    """What training rows see of their categories: the mean over the projects of other folds."""
+    rows = features.line_item_features(with_id(spark, sf_dir), ORDER)
+    tables = models.out_of_fold_means(rows, UNIT_PRICE_CATEGORIES, "unit_price")
+    parts = [
+        t.select(F.lit(c).alias("category"), F.col(c).alias("value"), F.col("_fold").alias("fold"), F.round(f"{c}_mean", 6).alias("mean")) for c, t in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "SELECT project_id, contractor, line_item_no, amount, [round(coalesce(log_quantity, -1), 6), coalesce(unit_price, -1), coalesce(ee_unit_price, -1),"
     " cast(quantity IS NULL AS double), cast(unit_price IS NULL AS double), cast(ee_unit_price IS NULL AS double)] AS inputs FROM lif",
@@ -144,7 +186,7 @@ def encode_categories(spark, sf_dir):
 )
 def assemble(spark, sf_dir):
     """The vector the trees see: values, then missing flags."""
-    rows = features.line_item_features(with_id(spark, sf_dir))
+    rows = features.line_item_features(with_id(spark, sf_dir), ORDER)
     named = rounded(rows, 6, "log_quantity")
     vectors = models.assemble(named, ["log_quantity", "unit_price", "ee_unit_price"])
     return vectors.select("project_id", "contractor", "line_item_no", "amount", models.vector_to_array("features").alias("inputs"))

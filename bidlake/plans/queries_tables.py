@@ -23,6 +23,10 @@ def with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.with_project_id(bid_lines(spark, sf_dir))
 
 
+#: Bid lines have one engineer row per key, so that any order will do; `ordered_rows` are for those that have several.
+ORDER = ["amount"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -308,7 +312,7 @@ EE_REF = """SELECT project_id, pay_item_no, min(unit_price) AS ee_unit_price, mi
 
 @query(EE_REF, ("with_id",))
 def engineer_reference(spark, sf_dir):
-    return features.engineer_reference(with_id(spark, sf_dir))
+    return features.engineer_reference(with_id(spark, sf_dir), ORDER)
 
 
 @query(
@@ -316,7 +320,7 @@ def engineer_reference(spark, sf_dir):
     ("with_id",), ee=EE_REF,
 )
 def attach_engineer_ref(spark, sf_dir):
-    return features.attach_engineer_ref(with_id(spark, sf_dir))
+    return features.attach_engineer_ref(with_id(spark, sf_dir), ORDER)
 
 
 FILL_SELECT = (
@@ -336,7 +340,7 @@ EE_FILL = (
 )
 def fill_from_engineer(spark, sf_dir):
     """Null options match nothing."""
-    return repair.fill_from_engineer(bid_lines(spark, sf_dir))
+    return repair.fill_from_engineer(bid_lines(spark, sf_dir), order=ORDER)
 
 
 @query(
@@ -347,7 +351,7 @@ def fill_from_engineer(spark, sf_dir):
 )
 def fill_from_engineer_grouped(spark, sf_dir):
     """Null options are a group of their own."""
-    return repair.fill_from_engineer_grouped(bid_lines(spark, sf_dir))
+    return repair.fill_from_engineer_grouped(bid_lines(spark, sf_dir), ORDER)
 
 
 @query(
@@ -426,7 +430,7 @@ FROM with_id LEFT JOIN ee USING (project_id, pay_item_no) WHERE is_engineers_est
 
 @query(LIF_SQL, ("with_id",), ee=EE_REF)
 def line_item_features(spark, sf_dir):
-    df = features.line_item_features(with_id(spark, sf_dir))
+    df = features.line_item_features(with_id(spark, sf_dir), ORDER)
     return rounded(rounded(df, 9, "log_quantity", "log_amount"), 6, "unit_price_vs_ee", "amount_vs_ee")
 
 
@@ -441,16 +445,85 @@ SPLIT_SQL = """SELECT project_id, n, rk <= cast(floor(0.8 * total) AS bigint) AS
 
 @query(SPLIT_SQL, ("with_id",))
 def project_split(spark, sf_dir):
-    """Rows per project and the part it went to."""
-    split = features.project_split(with_id(spark, sf_dir))
+    """Rows per project and the part it went to, projects by the MD5 of their key."""
+    split = features.project_split(with_id(spark, sf_dir).withColumn("_md5", F.md5("project_id")), order=["_md5"])
     return split.groupBy("project_id", "is_train").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT l_suppkey, cast(count(*) AS bigint) AS n FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY l_suppkey")
+@query(
+    """SELECT l_suppkey, coalesce(l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0), FALSE) AS is_member, count(*) AS n
+    FROM (SELECT CASE WHEN l_linenumber < 7 THEN l_suppkey END AS l_suppkey FROM lineitem) GROUP BY l_suppkey"""
+)
 def membership_split(spark, sf_dir):
-    """Members of a set by semi-join."""
+    """Rows by whether their key is in a set, which holds repeats and a null; a null key is in none."""
+    rows = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_linenumber") < 7, F.col("l_suppkey")).alias("l_suppkey"))
     chosen = table(spark, sf_dir, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("l_suppkey"))
-    return table(spark, sf_dir, "lineitem").join(chosen, "l_suppkey", "left_semi").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    chosen = chosen.union(chosen).union(rows.filter("l_suppkey IS NULL"))
+    return features.membership_split(rows, chosen, "l_suppkey").groupBy("l_suppkey", "is_member").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- row order ---------------------------------------------------------------------------
+# Line items in several CSV files with many engineer rows per key. The place of a row in the files has nothing to do with its values.
+
+PLACE = ["k1", "k2", "k3", "k4", "k5", "k6"]
+ORDERED_SQL = """SELECT concat('Job ', cast(l_suppkey % 40 AS varchar(10))) AS project_name, l_returnflag AS schedule, CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_linestatus END AS option,
+ concat('A00', cast(l_partkey % 7 AS varchar(10))) AS line_item_no, concat(cast(15100 + l_partkey % 7 AS varchar(10)), '-0000') AS pay_item_no,
+ CASE WHEN (l_linenumber + l_partkey) % 4 = 0 THEN NULL ELSE l_quantity END AS quantity,
+ CASE (l_orderkey + l_linenumber) % 4 WHEN 0 THEN ' EA ' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE concat('U', cast(l_linenumber AS varchar(10))) END AS unit,
+ concat('Supplier ', cast(l_suppkey % 10 AS varchar(10))) AS contractor, CASE WHEN l_linenumber = 4 THEN NULL ELSE l_extendedprice END AS unit_price, l_extendedprice AS amount,
+ CASE WHEN l_linenumber % 2 = 0 THEN 1 ELSE 0 END AS is_engineers_estimate,
+ (l_orderkey * 7919) % 10007 AS k1, l_orderkey AS k2, l_linenumber AS k3, l_partkey AS k4, l_suppkey AS k5, l_extendedprice AS k6 FROM {lineitem}"""
+ORDERED_PARTS = dict(
+    placed=f"SELECT *, row({', '.join(PLACE)}) AS place FROM ({ORDERED_SQL.format(lineitem='lineitem')})",
+    placed_id="SELECT *, concat(project_name, '|', schedule, '|', coalesce(option, '')) AS project_id FROM placed",
+)
+
+
+def ordered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items as read from CSV files whose order, and that of the rows in them, is `PLACE`."""
+    folder = writers.shared_dir(spark, "ordered")
+    rows = spark.sql(ORDERED_SQL, lineitem=table(spark, sf_dir, "lineitem"))
+    writers.write_csv(rows.orderBy(*PLACE).drop(*PLACE), folder)
+    return readers.read_line_items(spark, f"{folder}/*.csv")
+
+
+def _first(c: str, name: str) -> str:
+    return f"arg_min({c}, place) FILTER (WHERE {c} IS NOT NULL) AS {name}"
+
+
+@query(
+    f"""SELECT project_id, pay_item_no, {_first('unit_price', 'ee_unit_price')}, {_first('amount', 'ee_amount')}, {_first('quantity', 'ee_quantity')}, {_first('unit', 'ee_unit')}
+    FROM placed_id WHERE is_engineers_estimate = 1 GROUP BY ALL""",
+    **ORDERED_PARTS,
+)
+def engineer_reference_rows(spark, sf_dir):
+    """The engineer's first price, amount, quantity and unit in the order of files and rows, each on its own."""
+    return features.engineer_reference(features.with_project_id(ordered_items(spark, sf_dir)))
+
+
+@query(
+    """SELECT p.project_name, p.schedule, coalesce(p.option, '') AS option, p.line_item_no, p.pay_item_no, coalesce(p.quantity, e.q) AS quantity,
+     coalesce(CASE WHEN trim(p.unit) <> '' THEN p.unit END, e.u, p.unit) AS unit, p.contractor, p.amount
+    FROM placed p LEFT JOIN (SELECT project_name, schedule, option, line_item_no, pay_item_no, arg_min(quantity, place) FILTER (WHERE quantity IS NOT NULL) AS q,
+      arg_min(trim(unit), place) FILTER (WHERE trim(unit) <> '') AS u FROM placed WHERE is_engineers_estimate = 1 GROUP BY ALL) e
+    ON p.project_name = e.project_name AND p.schedule = e.schedule AND p.option IS NOT DISTINCT FROM e.option AND p.line_item_no = e.line_item_no AND p.pay_item_no = e.pay_item_no""",
+    **ORDERED_PARTS,
+)
+def fill_from_engineer_rows(spark, sf_dir):
+    """Quantity and unit from the first engineer row of the group, in the order of files and rows, that has one."""
+    filled = repair.fill_from_engineer_grouped(ordered_items(spark, sf_dir))
+    return filled.select(*PROJECT_KEYS, "line_item_no", "pay_item_no", "quantity", "unit", "contractor", "amount")
+
+
+@query(
+    """SELECT project_id, n, rk <= cast(floor(0.8 * total) AS bigint) AS is_train FROM (
+     SELECT project_id, count(*) AS n, row_number() OVER (ORDER BY min(place), project_id) AS rk, count(*) OVER () AS total FROM placed_id GROUP BY project_id)""",
+    **ORDERED_PARTS,
+)
+def project_split_rows(spark, sf_dir):
+    """Projects by first appearance in the order of files and rows."""
+    split = features.project_split(features.with_project_id(ordered_items(spark, sf_dir)))
+    return split.groupBy("project_id", "is_train").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- quality -----------------------------------------------------------------------------
@@ -508,7 +581,7 @@ ERRORS_SQL = (
 
 
 def unit_price_preds(spark, sf_dir) -> DataFrame:
-    return features.attach_engineer_ref(with_id(spark, sf_dir)).withColumn("unit_price_pred", F.col("ee_unit_price"))
+    return features.attach_engineer_ref(with_id(spark, sf_dir), ORDER).withColumn("unit_price_pred", F.col("ee_unit_price"))
 
 
 @query(
@@ -612,31 +685,46 @@ def evaluate_holdout(spark, sf_dir):
 CHAIN_SQL = f"""SELECT i.*, coalesce(i.q, e.q) AS quantity, coalesce(i.u, e.u) AS unit FROM cleaned i
  LEFT JOIN cleaned_ee e USING (project_name, schedule, option, line_item_no, pay_item_no)"""
 CHAIN_PARTS = dict(
-    cleaned=f"""SELECT project_no, project_name, schedule, option, line_item_no, pay_item_no, quantity AS q, {CLEAN_UNIT} AS u,
+    cleaned=f"""SELECT project_no, project_name, schedule, option, line_item_no, pay_item_no, concat('ITEM ', cast(cast(substr(line_item_no, 2) AS int) AS varchar)) AS description, quantity AS q, {CLEAN_UNIT} AS u,
  CASE WHEN is_engineers_estimate = 1 THEN contractor ELSE substr(contractor, 1, length(contractor) - 1) END AS contractor,
  unit_price, amount, cast(is_engineers_estimate AS bigint) AS is_engineers_estimate,
  CASE WHEN schedule = 'R' THEN NULL ELSE '1/2/2024' END AS report_date, 'NC' AS state, concat('County ', project_no) AS county FROM bid_lines""",
     cleaned_ee="SELECT project_name, schedule, option, line_item_no, pay_item_no, q, u FROM cleaned WHERE is_engineers_estimate = 1",
     chain=CHAIN_SQL,
-    marked="""SELECT project_no, project_name, schedule, option, line_item_no, pay_item_no, contractor, unit_price, amount, is_engineers_estimate, report_date, state, county,
+    marked="""SELECT project_no, project_name, schedule, option, line_item_no, pay_item_no, description, contractor, unit_price, amount, is_engineers_estimate, report_date, state, county,
  f AS is_lump_sum, CASE WHEN f AND quantity IS NULL THEN 1.0 ELSE quantity END AS quantity, CASE WHEN f AND unit IS NULL THEN 'LS' ELSE unit END AS unit
  FROM (SELECT *, unit_price IS NULL OR (quantity IS NULL AND unit IS NULL) AS f FROM chain)""",
 )
 
 
 def canonical(spark, sf_dir) -> DataFrame:
-    return canonical_items(shape.coerce(bid_lines(spark, sf_dir)), bids(spark, sf_dir), dedupe=True)
+    return canonical_items(shape.coerce(bid_lines(spark, sf_dir)), bids(spark, sf_dir), dedupe=True, order=ORDER)
 
 
 @query("SELECT * FROM marked", ("bid_lines",), **CHAIN_PARTS)
 def canonical_chain(spark, sf_dir):
-    return canonical(spark, sf_dir).drop("description", "_source_file")
+    return canonical(spark, sf_dir).drop("_source_file")
 
 
-@query(PCF_SQL, ("bid_lines",), **CHAIN_PARTS, with_id="SELECT *, concat(coalesce(project_name, ''), '|', coalesce(schedule, ''), '|', coalesce(option, '')) AS project_id FROM marked")
-def feature_files(spark, sf_dir):
-    """The project feature file of the whole chain, written and read back."""
+CHAIN_WITH_ID = "SELECT *, concat(coalesce(project_name, ''), '|', coalesce(schedule, ''), '|', coalesce(option, '')) AS project_id FROM marked"
+
+
+def feature_folder(spark, sf_dir) -> str:
+    """Both feature files of the whole chain, written."""
     folder = writers.shared_dir(spark, "features")
-    made = feature_tables(canonical(spark, sf_dir))
+    made = feature_tables(canonical(spark, sf_dir), ORDER)
     writers.write_features(made["line_items"], made["projects"], f"{folder}/line_items", f"{folder}/projects")
-    return rounded_rollup(spark.read.parquet(f"{folder}/projects"))
+    return folder
+
+
+@query(PCF_SQL, ("bid_lines",), **CHAIN_PARTS, with_id=CHAIN_WITH_ID)
+def feature_files(spark, sf_dir):
+    """The project feature file of the whole chain, read back."""
+    return rounded_rollup(spark.read.parquet(f"{feature_folder(spark, sf_dir)}/projects"))
+
+
+@query(LIF_SQL.replace(COLS, f"{COLS}, report_date, state, county, is_lump_sum"), ("bid_lines",), **CHAIN_PARTS, with_id=CHAIN_WITH_ID, ee=EE_REF)
+def feature_files_items(spark, sf_dir):
+    """The line-item feature file of the whole chain, read back."""
+    made = rounded(spark.read.parquet(f"{feature_folder(spark, sf_dir)}/line_items"), 9, "log_quantity", "log_amount")
+    return rounded(made, 6, "unit_price_vs_ee", "amount_vs_ee").drop("_source_file")

@@ -10,6 +10,7 @@ from bidlake.functions.text import money
 from bidlake.operators import items, pages
 from bidlake.plans import rendered
 from bidlake.plans.documents import parse_documents
+from bidlake.plans.pipeline import documents_to_features as run_documents_to_features
 from bidlake.plans.registry import query
 from bidlake.sources import readers, writers
 
@@ -69,6 +70,16 @@ def doc_metadata(spark, sf_dir):
     return pages.doc_metadata(page_text(spark, sf_dir))
 
 
+SCATTERED_NAME = """CASE layout WHEN 'prefix' THEN concat('JOB  ', orderkey)
+ ELSE concat('JOB ', orderkey, ' ', list_aggregate(list_transform(range(1, 3 + orderkey % 7), lambda i: concat('PART ', i)), 'string_agg', ' ')) END"""
+
+
+@query(META_SQL.replace("concat('JOB ', orderkey)", SCATTERED_NAME.replace("concat('JOB  '", "concat('JOB '")), ("blocks",), orders_of=ORDERS_SQL)
+def doc_metadata_split(spark, sf_dir):
+    """Metadata whose labels, values and terminators lie on different pages, with gaps and blank pages between."""
+    return pages.doc_metadata(stored(spark, sf_dir, "scattered", rendered.scattered_pages))
+
+
 @query(f"SELECT doc_id, concat('Tabulation_', doc_id) AS source_stem, {DATE} AS report_date FROM orders_of", ("blocks",), orders_of=ORDERS_SQL)
 def report_dates(spark, sf_dir):
     return pages.report_dates(page_text(spark, sf_dir))
@@ -200,7 +211,20 @@ def line_items_wrapped(spark, sf_dir):
     return shown(items.line_items_wrapped(of_layout(page_text(spark, sf_dir), "wrapped")))
 
 
-CELLS_SQL = _item_rows("contractor", "description", "orderkey % 3 = 0", "doc_schedule", counted="linenumber NOT IN (2, 5)")
+@query(
+    f"""SELECT doc_id, fragment, count(*) AS lines FROM (SELECT doc_id, short_name AS fragment FROM blocks WHERE layout = 'wrapped' AND {BROKEN}
+     UNION ALL SELECT doc_id, 'Inc.' FROM blocks WHERE layout = 'wrapped' AND {BROKEN}) GROUP BY doc_id, fragment""",
+    ("blocks",),
+)
+def known_fragments(spark, sf_dir):
+    """How many lines of each document hold which piece of a broken name."""
+    text = of_layout(page_text(spark, sf_dir), "wrapped")
+    found = items.known_fragments(items.loose_lines(pages.item_blocks(text)), pages.contractor_names(text))
+    return found.groupBy("doc_id", "fragment").agg(F.count("*").alias("lines"))
+
+
+CELLS_SQL = _item_rows("contractor", "description", "TRUE", "doc_schedule", counted="linenumber NOT IN (2, 5)")
+THIRD_SQL = _item_rows("contractor", "description", "orderkey % 3 = 0", "doc_schedule", counted="linenumber NOT IN (2, 5)")
 
 
 @query(CELLS_SQL, ("blocks",))
@@ -210,8 +234,8 @@ def line_items_cells(spark, sf_dir):
 
 
 @query(
-    "SELECT doc_id, page_no, contractor AS c3, amount, n FROM (SELECT doc_id, page_no, contractor, amount, 'b' AS n FROM blocks WHERE orderkey % 3 = 0"
-    " UNION ALL SELECT doc_id, page_no, 'Engineer''s Estimate', amount, 'e' FROM blocks WHERE orderkey % 3 = 0)",
+    "SELECT doc_id, page_no, contractor AS c3, amount, n FROM (SELECT doc_id, page_no, contractor, amount, 'b' AS n FROM blocks"
+    " UNION ALL SELECT doc_id, page_no, 'Engineer''s Estimate', amount, 'e' FROM blocks)",
     ("blocks",),
 )
 def clean_cells(spark, sf_dir):
@@ -238,13 +262,13 @@ MERGED_SQL = f"""SELECT c.doc_id, pdf_page, c.schedule, c.option, c.line_item_no
  FROM (SELECT * FROM cell_items WHERE doc_id IN (SELECT doc_id FROM blocks WHERE layout = 'prefix')) c
  LEFT JOIN last_text t ON c.doc_id = t.doc_id AND c.schedule = t.page_schedule AND c.line_item_no = t.line_item_no AND c.pay_item_no = t.pay_item_no AND c.contractor = t.contractor
  UNION ALL SELECT * FROM prefix_items WHERE doc_id NOT IN (SELECT doc_id FROM cell_items)"""
-MERGE_PARTS = dict(cell_items=CELLS_SQL, prefix_items=PREFIX_SQL, last_text=LAST_TEXT)
+MERGE_PARTS = dict(cell_items=THIRD_SQL, prefix_items=PREFIX_SQL, last_text=LAST_TEXT)
 
 
 @query(MERGED_SQL, ("blocks",), **MERGE_PARTS)
 def merge_qty_unit(spark, sf_dir):
     text = of_layout(page_text(spark, sf_dir), "prefix")
-    cells = page_cells(spark, sf_dir).join(text.select("doc_id", "page_no"), ["doc_id", "page_no"], "left_semi")
+    cells = of_layout(page_cells(spark, sf_dir), "prefix").filter("third")
     return shown(items.merge_qty_unit(items.line_items_cells(cells, text), items.line_items_text(text)))
 
 
@@ -257,7 +281,7 @@ FROM (SELECT * FROM merged UNION ALL SELECT * FROM cell_items WHERE doc_id NOT I
 @query(ALL_ITEMS_SQL, ("blocks",), **MERGE_PARTS, merged=MERGED_SQL, wrapped_items=WRAPPED_SQL)
 def parse_documents_items(spark, sf_dir):
     """Both layouts in one job, with and without tables."""
-    return parse_documents(page_text(spark, sf_dir), page_cells(spark, sf_dir))["items"]
+    return parse_documents(page_text(spark, sf_dir), page_cells(spark, sf_dir).filter("third"))["items"].drop("_pos")
 
 
 @query(
@@ -267,3 +291,36 @@ def parse_documents_items(spark, sf_dir):
 )
 def parse_documents_bids(spark, sf_dir):
     return parse_documents(page_text(spark, sf_dir), page_cells(spark, sf_dir))["bids"]
+
+
+# Prefix documents by their text, wrapped ones by their tables, whose rows 2 and 5 lack a quantity that the document's first engineer
+# row of the item has. A project is a document and a schedule, and has several engineer rows for a pay item: the first one counts.
+_COUNTED = "layout = 'prefix' OR linenumber NOT IN (2, 5)"
+DOC_ROWS = f"""SELECT doc_id, concat('JOB ', orderkey) AS project_name, CASE layout WHEN 'prefix' THEN page_schedule ELSE doc_schedule END AS schedule, line_item_no, pay_item_no,
+  description, cast(CASE WHEN {_COUNTED} THEN quantity END AS double) AS quantity, CASE WHEN {_COUNTED} THEN unit END AS unit, contractor, unit_price, amount, 0 AS ee,
+  row(page_no, partkey, suppkey, linenumber, amount) AS place, {DATE} AS report_date FROM blocks
+ UNION ALL SELECT doc_id, concat('JOB ', orderkey), CASE layout WHEN 'prefix' THEN page_schedule ELSE doc_schedule END, line_item_no, pay_item_no,
+  description, cast(quantity AS double), unit, 'Engineer''s Estimate', ee_price, amount, 1, row(page_no, partkey, suppkey, linenumber, amount), {DATE} FROM blocks"""
+DOC_FIRST = """SELECT doc_id, schedule, line_item_no, pay_item_no, arg_min(quantity, place) AS q, arg_min(unit, place) AS u FROM doc_rows WHERE ee = 1 GROUP BY ALL"""
+DOC_WITH_ID = """SELECT r.project_name, r.schedule, r.line_item_no, r.pay_item_no, description, coalesce(quantity, q) AS quantity, coalesce(unit, u) AS unit, contractor, unit_price, amount, ee, place,
+  report_date, concat(r.project_name, '|', coalesce(r.schedule, ''), '|') AS project_id FROM doc_rows r
+ JOIN doc_first f ON r.doc_id = f.doc_id AND r.schedule IS NOT DISTINCT FROM f.schedule AND r.line_item_no = f.line_item_no AND r.pay_item_no = f.pay_item_no"""
+DOC_EE = """SELECT project_id, pay_item_no, arg_min(unit_price, place) AS ee_unit_price, arg_min(amount, place) AS ee_amount, arg_min(quantity, place) AS ee_quantity, arg_min(unit, place) AS ee_unit
+ FROM doc_with_id WHERE ee = 1 GROUP BY ALL"""
+
+
+@query(
+    """SELECT project_name, schedule, line_item_no, pay_item_no, description, quantity, unit, contractor, unit_price, amount, report_date, unit_price IS NULL AS is_lump_sum, project_id,
+     ee_unit_price, ee_amount, ee_quantity, ee_unit, round(ln(quantity + 1), 9) AS log_quantity, round(amount / ee_amount, 6) AS amount_vs_ee
+    FROM doc_with_id LEFT JOIN doc_ee USING (project_id, pay_item_no) WHERE ee = 0""",
+    ("blocks",), doc_rows=DOC_ROWS, doc_first=DOC_FIRST, doc_with_id=DOC_WITH_ID, doc_ee=DOC_EE,
+)
+def documents_to_features(spark, sf_dir):
+    """Printed pages to CSV sets to the canonical table to line-item features, in the order of files and rows."""
+    cells = of_layout(page_cells(spark, sf_dir), "wrapped")
+    made = run_documents_to_features(spark, page_text(spark, sf_dir), cells, writers.shared_dir(spark, "documents"))
+    return made["line_items"].select(
+        "project_name", "schedule", "line_item_no", "pay_item_no", "description", "quantity", "unit", "contractor", "unit_price", "amount", "report_date",
+        "is_lump_sum", "project_id", "ee_unit_price", "ee_amount", "ee_quantity", "ee_unit", F.round("log_quantity", 9).alias("log_quantity"),
+        F.round("amount_vs_ee", 6).alias("amount_vs_ee"),
+    )

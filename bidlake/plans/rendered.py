@@ -3,7 +3,8 @@
 An order is a document: page 1 is the bid summary, later pages hold item blocks for 500 parts
 each, so a page stays small even if one order had very many lines. Every printed number has at
 most two decimals and reads back exactly. Even orders use the prefix layout, odd ones the
-wrapped-name layout; every third order also has its pages as tables.
+wrapped-name layout. All pages are printed as tables too; where documents without tables are needed, those of every third order
+are taken (`third`).
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,8 +106,35 @@ def page_text(rows: DataFrame) -> DataFrame:
     return pages.select("doc_id", _stem().alias("source_stem"), "page_no", "text", "layout")
 
 
+def scattered_pages(rows: DataFrame) -> DataFrame:
+    """Each order's metadata broken over many pages: labels end pages, values begin later ones, numbers have gaps.
+
+    Pages of odd orders (wrapped layout) have a name that runs over 3 to 9 pages. Every second gap holds a blank page.
+    """
+    key, wrapped = F.col("orderkey"), F.col("layout") == "wrapped"
+    documents = rows.groupBy("doc_id").agg(
+        F.max("layout").alias("layout"), F.max("orderkey").alias("orderkey"), F.date_format(F.max("orderdate"), "M/d/yyyy").alias("date")
+    )
+    label = F.when(key % 3 == 0, "Report Generated on").otherwise("a page\n\nReport Date:\n ")
+    parts = F.transform(F.sequence(F.lit(1), F.when(wrapped, 2 + key % 7).otherwise(1)), lambda i: F.concat(F.lit("PART "), i.cast("string"), F.lit("\n")))
+    texts = F.concat(
+        F.array(label, F.concat("date", F.lit("\nmore\nProject Name:")), F.concat(F.lit("\n\nJOB  "), key.cast("string"))),
+        F.when(wrapped, F.concat(parts, F.array(F.lit("Contractor Responsive? Yes\nDivision: North")))).otherwise(F.array(F.lit("Division: East"))),
+        F.array(
+            F.concat(F.lit("x\nCounty: Lake "), key.cast("string")), F.lit("Opened at:"), F.lit("Room 7\nSolicitation No. "),
+            F.concat(F.lit("S-"), key.cast("string"), F.lit("\nState:")), F.lit("NC\nBid Open Date and Time:"), F.concat("date", F.lit(" 10:30 AM")),
+        ),
+    )
+    gap = 1 + key % 900
+    placed = documents.select("doc_id", "layout", gap.alias("gap"), F.posexplode(texts).alias("at", "text"))
+    number = (1 + F.col("at") * 2 * F.col("gap")).cast("int")
+    blank = placed.filter(F.col("at") % 2 == 1).select("doc_id", "layout", (number + F.col("gap")).cast("int").alias("page_no"), F.lit(" \n").alias("text"))
+    pages = placed.select("doc_id", "layout", number.alias("page_no"), "text").unionByName(blank)
+    return pages.select("doc_id", _stem().alias("source_stem"), "page_no", "text", "layout")
+
+
 def page_cells(rows: DataFrame) -> DataFrame:
-    """The item pages of every third order as tables: even orders with a header row."""
+    """The item pages of all orders as tables: even orders (prefix layout) with a header row."""
     blank = F.lit("")
     item = F.array("line_item_no", "pay_item_no", "description", *[blank] * 5)
     uncounted = F.col("linenumber").isin(2, 5)
@@ -123,8 +151,7 @@ def page_cells(rows: DataFrame) -> DataFrame:
     lines = F.flatten(_in_order(F.array(item, bidder, engineer)))
     table = F.when(F.max("orderkey") % 2 == 0, F.concat(header, lines)).otherwise(lines)
     return (
-        rows.filter(F.col("orderkey") % 3 == 0)
-        .groupBy("doc_id", "page_no")
-        .agg(table.alias("rows"))
-        .select("doc_id", "page_no", F.lit(0).alias("table_no"), F.posexplode("rows").alias("row_no", "cells"))
+        rows.groupBy("doc_id", "page_no")
+        .agg(table.alias("rows"), F.max("layout").alias("layout"), (F.max("orderkey") % 3 == 0).alias("third"))
+        .select("doc_id", "page_no", "layout", "third", F.lit(0).alias("table_no"), F.posexplode("rows").alias("row_no", "cells"))
     )

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from bidlake.functions import fixed
 from bidlake.operators import items as I
 from bidlake.operators import pages as P
 from bidlake.plans.documents import parse_documents
@@ -226,3 +227,151 @@ def test_metadata_runs_over_any_number_of_lines_and_pages(spark):
     # A county is closed by the end of its line; the document's last line has none.
     assert P.doc_metadata(pages_of(spark, "a\nCounty: Lake")).first().county is None
     assert P.doc_metadata(pages_of(spark, "a\nCounty: Lake", "b")).first().county == "Lake"
+
+
+def joined_metadata(pages):
+    """The same seven fields by searching each document's joined text, which is what the pieces stand for."""
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", F.coalesce("text", F.lit("")).alias("t")))), lambda p: p["t"]), "\n")
+    first = F.max(F.when(F.col("page_no") == 1, F.col("text")))
+    docs = pages.groupBy("doc_id", "source_stem", "layout").agg(whole.alias("text"), first.alias("first"))
+    wrapped = F.col("layout") == "wrapped"
+
+    def field(name):
+        hits = [P.capture(F.col("text"), "(?idU)" + p) for p in fixed.METADATA[name]]
+        if name == "project_name":
+            hits.append(F.when(wrapped, P.capture(F.col("text"), "(?idU)" + fixed.WRAPPED_PROJECT_NAME)))
+        clean = F.nullif(F.when(wrapped, P.norm_ws(F.coalesce(*hits))).otherwise(P.norm_blanks(F.coalesce(*hits))), F.lit(""))
+        return F.coalesce(clean, F.when(wrapped, P.header_project_name(F.col("first")))) if name == "project_name" else clean
+
+    return docs.select("doc_id", "source_stem", "layout", *[field(f).alias(f) for f in fixed.METADATA])
+
+
+def test_metadata_pieces_against_joined_text(spark):
+    import random
+
+    rng = random.Random(11)
+    parts = [
+        "Report Date:", "Report Generated on", "1/2/2024", "12/3/24", "Project Name:", "project name: A B", "NAME \U0001f600 X", "Contractor", "Contractor Responsive?", "Division: W",
+        "Schedule: A", "Project No", "Solicitation No.", "Solicitation No", ":", "AB-1", "State:", "State: NC", "VA", "County:", "County: Lake, \U0001f600", "County: Hill",
+        "Opened at:", "Opened at: ", "Room 7", "Bid Open Date and Time:", "1/2/2024 9:00 AM", "x", "", " ", "\t", "other words",
+    ]
+    rows = []
+    for d in range(1500):
+        page = 0
+        for _ in range(rng.randint(1, 6)):
+            page += rng.choice([1, 1, 1, 2, 5000])
+            text = rng.choice(["\n", "\n", " ", "\r\n"]).join(rng.choice(parts) for _ in range(rng.choice([0, 1, 1, 2, 3, 4, 5, 9])))
+            rows.append((f"d{d}", "s", page, None if rng.random() < 0.02 else text, "wrapped" if d % 2 else "prefix"))
+    pages = spark.createDataFrame(rows, "doc_id string, source_stem string, page_no int, text string, layout string").repartition(5)
+    fields = ["doc_id", "layout", *fixed.METADATA]
+    mine, theirs = got(P.doc_metadata(pages), *fields), got(joined_metadata(pages), *fields)
+    assert [(a, b) for a, b in zip(mine, theirs) if a != b] == [] and len(mine) == len(theirs) == 1500
+    assert all(sum(r[2 + i] is not None for r in theirs) > 20 for i in range(7))
+
+
+def test_metadata_of_a_document_of_many_pages(spark):
+    """One document holds nearly all pages; its fields lie at its ends and across a gap."""
+    n = 100_000
+    text = F.when(F.col("id") == 0, "Project Name:").when(F.col("id") == 1, "WEIR").when(F.col("id") == 2, "Division: W").when(
+        F.col("id") == n - 2, "Report Date:").when(F.col("id") == n - 1, "5/6/2024").otherwise(F.concat(F.lit("line one\nand page "), F.col("id").cast("string")))
+    big = spark.range(n).select(F.lit("big").alias("doc_id"), F.lit("s").alias("source_stem"), (F.col("id") * 3 + 1).cast("int").alias("page_no"), text.alias("text"), F.lit("prefix").alias("layout"))
+    pages = big.unionByName(pages_of(spark, METADATA_PAGE))
+    found = {r.doc_id: r for r in P.doc_metadata(pages).collect()}
+    assert (found["big"].project_name, found["big"].report_date, found["big"].county) == ("WEIR", "5/6/2024", None)
+    assert found["d"].project_name == "BRIDGE REPAIR 12"
+
+
+def test_metadata_of_no_pages(spark):
+    assert P.doc_metadata(pages_of(spark, "x").limit(0)).count() == 0
+
+
+def test_following_rows_over_chunks(spark):
+    """The next rows are the same whatever the chunks, with gaps, ties and chunks of few rows."""
+    import random
+
+    from bidlake.functions.ordered import following
+
+    rng = random.Random(2)
+    rows = [(g, rng.randint(0, 60), f"{i:03d}") for g in "ab" for i in range(50)] + [("c", 7, "only")]
+    df = spark.createDataFrame(rows, "g string, n int, v string")
+    for chunk in (1, 2, 7, 1000):
+        found = {(r.g, r.n, r.v): (r.v_1, r.v_2) for r in following(df, ["g"], "n", "v", 2, chunk).collect()}
+        for g in "abc":
+            own = sorted(r for r in rows if r[0] == g)
+            for k, r in enumerate(own):
+                assert found[r] == tuple(own[k + j][2] if k + j < len(own) else None for j in (1, 2))
+
+
+def test_fragments_against_patterns(spark):
+    """Places found by token n-grams are those that a pattern per line and fragment finds, and cutting them out leaves the same text."""
+    import random
+    import re
+
+    rng = random.Random(4)
+    words = ["West", "Fork", "Birch", "Hollow", "Co", "&", "A-1", "O'Neil", "(East)", "Sons", "Inc.", "LLC", "é", "x.y"]
+    names = [("d", " ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) + rng.choice(["", ", Inc.", " LLC"])) for _ in range(60)]
+    lines = [("d", 1, 0, i, " ".join(rng.choice(words + ["noise", "AWest", "Forks", "Inc.x"]) + rng.choice(["", ",", "."]) for _ in range(rng.randint(1, 9)))) for i in range(300)]
+    dictionary = spark.createDataFrame(names, "doc_id string, contractor string").distinct()
+    df = spark.createDataFrame(lines, "doc_id string, page_no int, block_no int, line_no int, line string")
+    fragments = sorted({r.fragment for r in I.name_fragments(dictionary).collect()})
+    found = {(r.line_no, r.fragment) for r in I.known_fragments(df, dictionary).collect()}
+    pattern = {f: re.compile(rf"(?<!\w){re.escape(f)}(?!\w)", re.ASCII) for f in fragments}
+    assert found == {(r[3], f) for r in lines for f in fragments if pattern[f].search(r[4])} and len(found) > 100
+    place = F.struct((-F.length("fragment")).alias("size"), "fragment", "at", "n")
+    places = I.known_fragments(df, dictionary).groupBy("line_no").agg(F.collect_list(place).alias("places"))
+    cut = df.join(places, "line_no").select("line_no", "line", P.norm_ws(I._without_places(F.col("line"), F.col("places"))).alias("rest"))
+    for r in cut.collect():
+        text = r.line
+        for f in sorted((f for n, f in found if n == r.line_no), key=lambda f: (-len(f), f)):
+            text = pattern[f].sub("\x00", text)  # what has gone joins nothing
+        assert r.rest == " ".join(text.replace("\x00", "").split())
+
+
+def test_many_names_of_one_first_word(spark):
+    """A document with 1,000 lines and 400 names that all begin with one word: no pairs of lines and names."""
+    names = spark.range(400).select(F.lit("d").alias("doc_id"), F.concat(F.lit("Delta Works Number"), F.col("id").cast("string"), F.lit(" Company")).alias("contractor"))
+    lines = spark.range(1000).select(
+        F.lit("d").alias("doc_id"), F.lit(1).alias("page_no"), F.lit(0).alias("block_no"), F.col("id").cast("int").alias("line_no"),
+        F.concat(F.lit("Delta Works Number"), (F.col("id") % 500).cast("string"), F.lit(" Company")).alias("line"),
+    )
+    sizes = I.name_fragments(names).groupBy("doc_id").agg(F.collect_set("n").alias("sizes"))
+    assert I.line_grams(lines, sizes).count() <= 1000 * 4 * 3
+    whole = I.known_fragments(lines, names).filter("n = 4")
+    assert whole.count() == 800 and whole.filter("fragment <> concat('Delta Works Number', line_no % 500, ' Company')").count() == 0
+
+
+def test_the_document_job_reads_page_text_three_times_at_most(spark, tmp_path):
+    """All page text is read by one scan of the products and one for names that run over pages."""
+    import re
+
+    pages_of(spark, METADATA_PAGE, SUMMARY, ITEMS).write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    cells = cells_of(spark, [["A1130", "62201-0250", "CULVERT PIPE", "Birch Hollow Construction Inc.", "", "", "", "$41,205.75"]], page=3)
+    plans = [str(t._jdf.queryExecution().executedPlan()) for t in parse_documents(pages, cells).values()]
+    assert not any(re.search(r"ReadSchema: struct<[^>]*\btext:", p) for p in plans)
+
+
+def test_products_give_what_each_operator_gives(spark):
+    pages = pages_of(spark, METADATA_PAGE, SUMMARY, ITEMS).union(pages_of(spark, SUMMARY, ITEMS, doc="w", layout="wrapped"))
+    products = P.page_products(pages)
+    assert got(P.distinct_names(products), "doc_id", "contractor") == got(P.contractor_names(pages), "doc_id", "contractor")
+    assert got(products, "doc_id", "page_no", "schedule", "option") == got(P.page_context(pages), "doc_id", "page_no", "schedule", "option")
+    bids = P.bids_of(products)
+    assert got(bids, *bids.columns) == got(P.bid_rows(pages), *bids.columns) and bids.count() > 0
+    blocks = P.blocks_of(products.select("doc_id", "layout", "page_no", "schedule", "option", "blocks"))
+    assert got(blocks, *blocks.columns) == got(P.item_blocks(pages), *blocks.columns) and blocks.count() == 2
+
+
+def test_line_breaks_in_cells_by_layout(spark):
+    """The prefix layout keeps a line break in a cell, the wrapped one makes it a blank; names meet the text either way."""
+    row = ["A1130", "62201-0250", "CULVERT\nPIPE", "Birch Hollow\nConstruction Inc.", "", "", "", "$41,205.75\nGenerated by : someone"]
+    pages = pages_of(spark, "Schedule: A\n" + SUMMARY, "Schedule: A\n" + ITEMS)
+    found = got(parse_documents(pages, cells_of(spark, [row], page=2))["items"], "description", "contractor", "quantity", "unit", "amount")
+    assert found == [("CULVERT\nPIPE", "Birch Hollow\nConstruction Inc.", 310.0, "LNFT", 41205.75)]
+    wrapped = pages_of(spark, "Schedule: A\n" + SUMMARY, "Schedule: A\n" + ITEMS, layout="wrapped")
+    found = got(I.line_items_cells(cells_of(spark, [row], page=2), wrapped), "description", "contractor", "amount")
+    assert found == [("CULVERT PIPE", "Birch Hollow Construction Inc.", 41205.75)]
+    header = ["Line\nItem No.", "Pay\nItem No.", "", "", "", "", "", ""]
+    plain = cells_of(spark, [header, ["x", "y", "D", "Acme", "1", "EA", "$1.00", "$1.00"]], page=1)
+    assert I.line_items_cells(plain, pages_of(spark, "")).count() == 0
+    assert I.line_items_cells(plain, pages_of(spark, "", layout="wrapped")).count() == 1

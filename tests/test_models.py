@@ -18,7 +18,7 @@ TREES = 4
 @pytest.fixture(scope="module")
 def tables(spark, sf_dir):
     rows = features.with_project_id(bid_lines(spark, sf_dir))
-    return {"unit_price": features.line_item_features(rows).cache(), "projects": features.project_contractor_features(rows).cache()}
+    return {"unit_price": features.line_item_features(rows, ["amount"]).cache(), "projects": features.project_contractor_features(rows).cache()}
 
 
 @pytest.mark.parametrize("kind", ["unit_price", "total_bid", "win"])
@@ -101,3 +101,16 @@ def test_missing_and_infinite_inputs(spark):
     df = spark.createDataFrame([(1.5,), (None,), (float("inf"),), (float("nan"),)], "x double")
     rows = [tuple(r) for r in models.plain_inputs(df, ["x"]).select("x_value", "x_isnull").collect()]
     assert rows == [(1.5, 0.0), (-1.0, 1.0), (-1.0, 1.0), (-1.0, 1.0)]
+
+
+def test_training_rows_do_not_see_their_own_targets(spark):
+    """Two rows of one value in projects of different folds see each other's target and not their own."""
+    keys = spark.range(60).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("k")).select("k", models.fold_of("k").alias("f")).collect()
+    a = next(r.k for r in keys if r.f == 0)
+    b = next(r.k for r in keys if r.f == 1)
+    train = spark.createDataFrame([(a, "u", 1.0), (b, "u", 5.0), (a, "lone", 7.0), (a, None, 3.0), (b, "v", None)], "project_id string, c string, y double")
+    means = models.out_of_fold_means(train, ["c"], "y")
+    rows = {(r.project_id, r.c): r.c_mean for r in models.apply_out_of_fold(train, means).collect()}
+    assert rows[(a, "u")] == pytest.approx((5.0 + 10 * 5.0) / 11) and rows[(b, "u")] == pytest.approx((1.0 + 10 * 11 / 3) / 11)
+    assert rows[(a, "lone")] is None and rows[(a, None)] is None and rows[(b, "v")] is None
+    assert models.out_of_fold_means(train.limit(0), ["c"], "y")["c"].count() == 0

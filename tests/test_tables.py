@@ -207,3 +207,68 @@ def test_null_and_nan_scores_are_left_out(spark):
 def test_csv_refuses_nested_columns(spark, tmp_path):
     with pytest.raises(ValueError, match="no CSV form"):
         writers.write_csv(spark.sql("SELECT 1 AS a, array(1) AS b"), str(tmp_path / "x"))
+
+
+def test_rows_without_order_are_refused(spark):
+    """No first value without an order: neither the engineer's, nor the first projects."""
+    df = features.with_project_id(spark.createDataFrame([item(ee=1, unit_price=1.0)], ITEM)).drop("_pos")
+    for f in (features.engineer_reference, features.line_item_features, features.project_split, repair.fill_from_engineer, repair.fill_from_engineer_grouped):
+        with pytest.raises(ValueError, match="no order"):
+            f(df)
+    assert features.engineer_reference(df, ["amount"]).first().ee_unit_price == 1.0
+
+
+@pytest.mark.parametrize("rows", [1, 3, 100_000])
+def test_totals_and_medians_over_ranges(spark, rows):
+    """Any number of ranges gives the same totals and medians."""
+    import random
+
+    from bidlake.functions.ordered import running_totals
+
+    rng = random.Random(rows)
+    values_ = list({rng.choice([rng.gauss(0, 1e-9), rng.gauss(0, 1e200), float(rng.randint(-3, 3))]) for _ in range(60)})
+    df = spark.createDataFrame([(v, i % 5) for i, v in enumerate(values_)], "v double, n int")
+    got = {r.v: (r.n_upto, r.n_total) for r in running_totals(df, ["v"], ["n"], rows).collect()}
+    weight = dict((v, i % 5) for i, v in enumerate(values_))
+    assert got == {v: (sum(weight[x] for x in values_ if x <= v), sum(weight.values())) for v in values_}
+    repeated = [v for v in values_ for _ in range(weight[v])]
+    frame = spark.createDataFrame([(v,) for v in repeated] + [(None,)], "v double")
+    import statistics
+
+    assert exact_median(frame, "v", rows=rows).first()[0] == statistics.median(repeated)
+
+
+def test_members_and_null_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    members = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    got = values(features.membership_split(df, members, "k").orderBy("v"))
+    assert got == [(1, "a", True), (2, "b", False), (None, "c", False)]
+    assert not any(r.is_member for r in features.membership_split(df, members.limit(0), "k").collect())
+
+
+def test_headers_are_found_in_the_beginning_of_files(spark, tmp_path):
+    """1,000 files of three headers, one of which has a line break; what is read does not grow with the files."""
+    heads = ["a,b", "b,a", 'a,"b\nc"']
+    for i in range(1000):
+        (tmp_path / f"f{i:04d}.csv").write_text(f"{heads[i % 3]}\n{i},x\n")
+    (tmp_path / "g_empty.csv").write_text("")
+    (tmp_path / "h_large.csv").write_text("a,b\n" + "1,2\n" * 3_000_000)
+    groups = readers.files_by_header(spark, readers.expand_glob(spark, f"{tmp_path}/*.csv"))
+    assert sorted(map(len, groups)) == [333, 333, 335]
+    assert sorted(g[0].rsplit("/", 1)[1] for g in groups) == ["f0000.csv", "f0001.csv", "f0002.csv"]
+    big = next(g for g in groups if len(g) == 335)
+    assert big[-1].endswith("h_large.csv")
+
+
+def test_reading_headers_stops_early():
+    import pyarrow as pa
+
+    taken = []
+
+    def batches():
+        for i in range(1000):
+            taken.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(["p"]), pa.array([0]), pa.array(['a,"b' if i == 0 else 'c"' if i == 1 else "1,2"])], names=["path", "start", "value"])
+
+    assert [b.to_pylist() for b in readers._first_record(batches())] == [[{"path": "p", "header": 'a,"b\nc"'}]]
+    assert len(taken) == 2
