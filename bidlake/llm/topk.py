@@ -7,7 +7,8 @@ bin in which the k-th best lies fixes those bits. After the last pass the k-th v
 more pass keeps the pairs above it and, of those equal to it, the smallest ids still wanted.
 
 A block only reports bins down to the one in which its own k-th best lies: the k-th best of all is no
-lower.
+lower. Query blocks and candidate blocks are dealt to a grid of parts and ranges: a task has one query block and at most
+`RANGE` candidate blocks, so more vectors make more tasks, not longer ones.
 """
 
 from collections.abc import Iterator
@@ -17,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import map_batches
+from bidlake.llm.common import map_slices
 from bidlake.sources.writers import written
 
-QUERY_BLOCK, CANDIDATE_BLOCK, BITS = 512, 4096, 8
+QUERY_BLOCK, CANDIDATE_BLOCK, RANGE, BITS = 512, 4096, 16, 8
 EXACT_FLOAT = 2**53
 
 
@@ -65,7 +66,7 @@ def _block_up(most: int):
 
 def blocks(vectors: DataFrame, most: int) -> DataFrame:
     """vectors(part, vec_id, v) as (part, dim, ids, data)."""
-    return map_batches(vectors.select("part", "vec_id", "v"), _block_up(most), "part long, dim long, ids binary, data binary", 4096)
+    return map_slices(vectors.select("part", "vec_id", "v"), _block_up(most), "part long, dim long, ids binary, data binary", 4096)
 
 
 def _scores(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,13 +147,13 @@ def _with_state(queries: DataFrame, state: DataFrame, parts: int) -> DataFrame:
     return packed.mapInArrow(unpack, "part long, dim long, q_ids binary, q_data binary, prefix binary, wanted binary")
 
 
-def top_k(rows: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
+def top_k(rows: DataFrame, is_query: Column, k: int = 5, most: int = CANDIDATE_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k candidates of highest inner product for each query.
 
     rows(vec_id, embedding); a candidate is every row whose id is not the query's. Equal scores go by the
     smaller id. Rows with a null id or vector, or null or non-finite components, take no part; vectors of
     different lengths do not meet; of repeated rows with one id the query takes one and the candidates
-    all; an empty table gives no rows. Scores are 64-bit whole numbers.
+    all; an empty table gives no rows. Scores are 64-bit whole numbers. A candidate block has at most `most` vectors.
     """
     vectors = written(whole_vectors(rows), "vectors")
     norm = vectors.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, e: s + e.cast("double") * e)).alias("m"), F.count("*").alias("n")).first()
@@ -161,13 +162,15 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     queries = vectors.filter(is_query).dropDuplicates(["vec_id"])
     parts = max(1, -(-queries.count() // QUERY_BLOCK))
     queries = written(queries.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts))), "queries")
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>"))
-    candidates = written(blocks(vectors.withColumn("part", F.lit(0).cast("long")), CANDIDATE_BLOCK), "candidates")
-    candidates = candidates.select(numbers.alias("part"), "dim", F.col("ids").alias("c_ids"), F.col("data").alias("c_data"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
+    candidates = written(blocks(vectors.withColumn("part", F.lit(0).cast("long")), most), "candidates")
+    ranges = max(1, -(-candidates.count() // RANGE))
+    numbered = candidates.withColumn("range", F.pmod(F.xxhash64("ids"), F.lit(ranges).cast("long")))
+    candidates = numbered.select(every(parts).alias("part"), "dim", "range", F.col("ids").alias("c_ids"), F.col("data").alias("c_data"))
     state = queries.select("vec_id", F.lit(0).cast("long").alias("prefix"), F.lit(k).cast("long").alias("wanted"))
 
     def pairs() -> DataFrame:
-        return candidates.join(_with_state(queries, state, parts), ["part", "dim"])
+        return candidates.join(_with_state(queries, state, parts).withColumn("range", every(ranges)), ["part", "dim", "range"])
 
     for p in reversed(range(passes)):
         counted = pairs().mapInArrow(_count(p * BITS, base), "query_id long, bin long, n long")
