@@ -25,8 +25,6 @@ RULES = (
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
     ("block", "net", "/es/"), ("block", "net", "/fr/"),
 )
-#: Words of a host name that block a page on which no rule says otherwise.
-BLOCKED_WORDS = ("ad", "ads", "adult", "betting", "casino", "porn", "sex", "track", "tracker", "xxx")
 
 
 def _hashes(key: Column) -> tuple[Column, Column]:
@@ -104,13 +102,12 @@ def build(keys: DataFrame) -> list[np.ndarray] | None:
         sides[len(levels) % 2] = written(other.filter(let_through("a", "b")), "through")
 
 
-def on_list(pages: DataFrame, keys: str, names: Sequence[str], found: str) -> DataFrame:
-    """pages with `found`: those keys of the array column `keys` (key, a, b) that are among `names`.
+def on_list(pages: DataFrame, keys: str, names: DataFrame, found: str) -> DataFrame:
+    """pages with `found`: those keys of the array column `keys` (key, a, b) that are among names(name).
 
     `pages` is a stored table with a row number `row`.
     """
-    spark = pages.sparkSession
-    names_df = spark.createDataFrame([(n,) for n in names], "name string").distinct()
+    spark, names_df = pages.sparkSession, names.select("name").distinct()
     universe = pages.select(F.explode(keys).alias("k")).select("k.*").distinct()
     universe = universe.join(names_df.withColumn("on_list", F.lit(True)), F.col("key") == F.col("name"), "left")
     levels = build(written(universe.select("a", "b", F.coalesce("on_list", F.lit(False)).alias("is_listed")), "keys"))
@@ -140,13 +137,20 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, blocked_words: Sequence[str] = BLOCKED_WORDS) -> DataFrame:
+def blocked_hosts(ruled: DataFrame) -> DataFrame:
+    """(name): hosts of ruled(host, ruled_as) of which the rules block more pages than they allow."""
+    votes = F.sum(F.when(F.col("ruled_as") == "block", 1).when(F.col("ruled_as") == "allow", -1).otherwise(0))
+    return ruled.filter("host <> ''").groupBy("host").agg(votes.alias("n")).filter("n > 0").select(F.col("host").alias("name"))
+
+
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, hosts: DataFrame | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row of pages(page_id, url).
 
     The keys of a page are its host and each parent domain, each with as much of the path as some rule
-    has; the longest key that is a rule decides. Where none is, a host with a blocked word is blocked.
+    has; the longest key that is a rule decides. Where none is, a page is blocked if its host is on the list hosts(name); without
+    one the list comes from the pages themselves, see `blocked_hosts`. Rules and list are cascades over all keys that occur.
     A null url, or one without `://`, has an empty host and path and is allowed. Repeated rows are judged
-    alike, null page ids stay null, other columns are not read.
+    alike (and count alike for the list), null page ids stay null, other columns are not read; an empty table gives an empty one.
     """
     host, path = host_and_path(F.col("url"))
     pages = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -157,17 +161,16 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, block
     named = lambda c: F.transform(F.array_distinct(c), lambda k: F.struct(k.alias("key"), _hashes(k)[0].alias("a"), _hashes(k)[1].alias("b")))
     pages = written(pages.select(
         F.monotonically_increasing_id().alias("row"), "page_id", "host", "path",
-        named(keys).alias("keys"), named(F.split("host", "[.-]")).alias("words"),
+        named(keys).alias("keys"), named(F.array("host")).alias("hosts"),
     ), "pages")
     for verdict in ("allow", "block"):
-        pages = on_list(pages, "keys", [h + p for v, h, p in rules if v == verdict], verdict)
-    pages = on_list(pages, "words", blocked_words, "bad")
+        names = pages.sparkSession.createDataFrame([(h + p,) for v, h, p in rules if v == verdict], "name string")
+        pages = on_list(pages, "keys", names, verdict)
     longest = lambda c: F.array_max(F.transform(c, lambda k: F.struct(F.char_length(k).alias("n"), k.alias("key"))))
     rule = F.greatest(
         F.when(F.size("allow") > 0, F.struct(longest("allow").alias("r"), F.lit("allow").alias("v"))),
         F.when(F.size("block") > 0, F.struct(longest("block").alias("r"), F.lit("block").alias("v"))),
     )
-    return pages.withColumn("best", rule).select(
-        "page_id", "host", "path", F.col("best.r.key").alias("rule"),
-        F.coalesce("best.v", F.when(F.size("bad") > 0, "block").otherwise("allow")).alias("verdict"),
-    )
+    ruled = written(pages.withColumn("best", rule).select("row", "page_id", "host", "path", "hosts", F.col("best.r.key").alias("rule"), F.col("best.v").alias("ruled_as")), "ruled")
+    judged = on_list(ruled, "hosts", blocked_hosts(ruled) if hosts is None else hosts, "bad")
+    return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled_as", F.when(F.size("bad") > 0, "block").otherwise("allow")).alias("verdict"))

@@ -124,10 +124,13 @@ ruled AS (
  SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
  FROM (SELECT DISTINCT page_id, host, path FROM parts)
  LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
- GROUP BY page_id, host, path)
-SELECT parts.page_id, parts.host, parts.path, rule,
- coalesce(verdict, CASE WHEN regexp_matches(parts.host, '(^|[.-])(ad|ads|adult|betting|casino|porn|sex|track|tracker|xxx)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
-FROM parts JOIN ruled ON parts.page_id IS NOT DISTINCT FROM ruled.page_id AND parts.host = ruled.host AND parts.path = ruled.path
+ GROUP BY page_id, host, path),
+judged AS (
+ SELECT parts.page_id, parts.host, parts.path, rule, verdict
+ FROM parts JOIN ruled ON parts.page_id IS NOT DISTINCT FROM ruled.page_id AND parts.host = ruled.host AND parts.path = ruled.path),
+bad AS (
+ SELECT host FROM judged WHERE host <> '' GROUP BY host HAVING count(*) FILTER (WHERE verdict = 'block') > count(*) FILTER (WHERE verdict = 'allow'))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM judged
 """
 
 
