@@ -166,7 +166,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
     A null text counts as empty, and all empty texts are equal. Of equal texts the row with the most code
     points, then the smallest id (null last) stays; rows alike in both all count as kept. Other columns
-    are not read.
+    are not read. An empty table gives an empty one. Of a text only its digest and length go on.
     """
     text = text_or_empty()
     digests = written(docs.select(
@@ -180,7 +180,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns, one per group of equal texts."""
+    """The rows of docs that stay, with all their columns, one per group of equal texts; of rows equal in id and text one. An empty table stays empty."""
     text = text_or_empty()
     mine = docs.columns
     rows = docs.withColumns({"__digest": F.unhex(text_digest(text)), "__chars": F.char_length(text).cast("long")})

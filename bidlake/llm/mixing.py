@@ -74,7 +74,8 @@ def mix(docs: DataFrame) -> DataFrame:
     then one more up to the source's exact budget, which may end inside a document. Documents of one
     source with equal keys (repeated ids) go by size; rows equal in both are alike in all that is
     returned but `taken`, of which it does not matter which of them gets it. A null text has size 0,
-    a null source is a source of its own, other columns are not read.
+    a null source is a source of its own, other columns are not read. An empty table gives an empty one. Of a text only its
+    number of words goes on, so long texts need no memory beyond their row.
     """
     sized = written(sizes(docs), "sizes").withColumn("range", F.substring("key", 1, RANGE_DIGITS))
     ranges = sized.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
@@ -99,7 +100,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs in the mix, with all their columns: each as often as the mix takes it.
 
     A document that the budget ends in is in once more, whole, if at least half of it is taken; texts without
-    words take none of the budget and stay once. Rows of equal id and size are taken as often as one of them says.
+    words take none of the budget and stay once. Rows of equal id and size are taken as often as one of them says. So a source's words miss
+    its budget by half of one document at most where ids differ, and by the size of the rows that share an id and a size otherwise. An empty table gives
+    an empty one.
     """
     mine = docs.columns
     taken = mix(docs).select(

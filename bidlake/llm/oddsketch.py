@@ -403,7 +403,8 @@ def near_groups(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFra
     The shingle set of a text is its distinct runs of `shingle` words, A-Z lower-cased; with fewer words, the whole
     sequence. Sets with 100 * intersection >= percent * union are linked; a text without words, or null, has an
     empty set, no link, and itself as component. component_id is the smallest doc_id reachable (null only if all
-    ids there are null); kept is doc_id = component_id. Repeated rows are linked to each other. Other columns are not
+    ids there are null); kept is doc_id = component_id. Repeated rows are linked to each other. An empty table gives an empty one. A task holds
+    one text's shingles at a time, some 30 bytes a word, and the sets of a block, `SHINGLES` numbers or a single longer set a side. Other columns are not
     read; text_key is a 64-bit hash of the text, component numbers components, also those without ids.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))

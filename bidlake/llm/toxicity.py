@@ -314,7 +314,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int
     """The model of docs(doc_id, text) and labels(doc_id, toxic), from rows that are not held out.
 
     At most `sample` documents of each class, of smallest hash of their id, less those over `longest` characters; of
-    several labels the highest holds.
+    several labels the highest holds. Labels or ids that are null say nothing; without any labelled document, as with empty tables, the model
+    rejects nothing.
     """
     own = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     own = own.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
@@ -340,7 +341,8 @@ def score(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of docs(doc_id, text).
 
     A null text is scored as empty, which is the score of a text without a word near a landmark. Repeated rows score
-    alike; a null doc_id stays null and counts as not held out; other columns are not read.
+    alike; a null doc_id stays null and counts as not held out; other columns are not read. An empty table gives an empty one. A task holds
+    256 texts at a time, and of a long one its words.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), text_or_empty().alias("text"))
     rows = map_batches(rows, _score(model), "doc_id long, held_out boolean, score double")
@@ -348,7 +350,7 @@ def score(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:
 
 
 def keep_civil(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:
-    """The rows of docs, with all their columns, that score below the cut-off."""
+    """The rows of docs, with all their columns, that score below the cut-off; null texts score as empty ones. An empty table stays empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

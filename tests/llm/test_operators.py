@@ -524,3 +524,14 @@ def test_pipeline_stages(spark, docs):
     for name in names[1:]:
         odd = stage[name](spark, odd, at)
     assert odd.count() > 0
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None, None, None), (None, "a b c", "en", "s", 3), (1, "a b c", "en", "s", 3)]])
+def test_pipeline_of_few_rows_without_labels(spark, tmp_path, rows):
+    """Empty documents give nothing; without labels no document is rejected, whatever is null in it."""
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    texts_ = {r[1] or "" for r in rows}
+    assert len({(r.doc_id, r.doc_tokens) for r in got}) == len(texts_)
+    assert sum(r.length for r in got) >= len(texts_)
