@@ -2,6 +2,10 @@
 
 Each stage reads what the last one wrote. All but the last return the columns of the documents; the last
 returns the pieces of the packed sequences.
+
+In every stage a null text counts as empty, a null id or source as a value of its own, and columns beyond doc_id, text and source go along
+unread. Repeated rows: the copies stage keeps one. Ties go to the smallest id. Empty documents give no rows, and without labels no
+document is rejected.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +17,12 @@ from bidlake.sources.writers import shared_dir
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model of the labelled ones does not reject (op 6)."""
+    """Documents that the toxicity model of the labelled ones does not reject (op 6); all of them without labels."""
     return toxicity.keep_civil(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts equal but for white space (op 5)."""
+    """One document of each group of texts equal but for white space (op 5); empty and null texts are one group."""
     return cuckoo.deduplicate(docs)
 
 
@@ -28,12 +32,12 @@ def distinct_contents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def weighted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them (op 2)."""
+    """Documents as often as the mix of sources takes them (op 2), whole; texts without words stay once."""
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2,048 tokens (op 3)."""
+    """Pieces of sequences of 2,048 tokens (op 3); an empty text is its end id alone."""
     return packing.pack(docs, vocabulary())
 
 
