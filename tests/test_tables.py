@@ -270,5 +270,6 @@ def test_reading_headers_stops_early():
             taken.append(i)
             yield pa.RecordBatch.from_arrays([pa.array(["p"]), pa.array([0]), pa.array(['a,"b' if i == 0 else 'c"' if i == 1 else "1,2"])], names=["path", "start", "value"])
 
-    assert [b.to_pylist() for b in readers._first_record(batches())] == [[{"path": "p", "header": 'a,"b\nc"'}]]
+    assert [b.to_pylist() for b in readers._first_records(True)(batches())] == [[{"path": "p", "header": 'a,"b\nc"'}]]
     assert len(taken) == 2
+    assert [b.to_pylist() for b in readers._first_records(False)(batches())] == [[{"path": "p", "header": 'a,"b\nc"'}]]
