@@ -7,8 +7,10 @@ passes through the driver.
 """
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -267,6 +269,31 @@ def train(
     model = fit(kind, split.filter("is_train"), trees, leak_free)
     report = train_metrics(model, split)
     if log_path:
-        params = {"n_estimators": trees, "learning_rate": RATE, "random_state": SEED}
-        log_run(features.sparkSession, log_path, kind, params, model.spec.numbers + model.spec.categories, report)
+        _log(features.sparkSession, log_path, trees, model, report)
     return model, report
+
+
+def _log(spark: SparkSession, path: str, trees: int, model: BidModel, report: DataFrame) -> None:
+    params = {"n_estimators": trees, "learning_rate": RATE, "random_state": SEED}
+    log_run(spark, path, model.spec.kind, params, model.spec.numbers + model.spec.categories, report)
+
+
+def train_all(
+    features: dict[str, DataFrame], trees: int = TREES, leak_free: bool = False, log_path: str | None = None
+) -> dict[str, tuple[BidModel, DataFrame]]:
+    """`train` of several kinds, kind -> (model, report), at a time.
+
+    Boosting is a long row of short jobs, one a tree level, so the jobs of one model fill the gaps of another. Each model is what `train`
+    alone gives. The run log is written afterwards, model by model: appends to one folder must not meet.
+    """
+    if not features:
+        return {}
+    spark = next(iter(features.values())).sparkSession
+    _use_shared_checkpoints(spark)
+    with ThreadPoolExecutor(len(features)) as pool:
+        started = {kind: pool.submit(inheritable_thread_target(spark)(train), kind, table, trees, leak_free) for kind, table in features.items()}
+        found = {kind: s.result() for kind, s in started.items()}
+    if log_path:
+        for model, report in found.values():
+            _log(spark, log_path, trees, model, report)
+    return found

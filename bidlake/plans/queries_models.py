@@ -22,13 +22,17 @@ def feature_table(spark, sf_dir, kind: str) -> DataFrame:
     return features.line_item_features(rows, ORDER) if kind == "unit_price" else features.project_contractor_features(rows)
 
 
+def trained_all(spark, sf_dir, kinds=KINDS) -> dict[str, tuple]:
+    """Model, report and features of each kind, worked out once per session and data set; those still missing are fitted together."""
+    key = lambda kind: (spark.sparkContext.applicationId, sf_dir, kind)
+    tables = {kind: models.written(feature_table(spark, sf_dir, kind), f"features-{kind}") for kind in kinds if key(kind) not in _trained}
+    for kind, found in models.train_all(tables).items():
+        _trained[key(kind)] = (*found, tables[kind])
+    return {kind: _trained[key(kind)] for kind in kinds}
+
+
 def trained(spark, sf_dir, kind: str):
-    """Model, report and features, worked out once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _trained:
-        table = models.written(feature_table(spark, sf_dir, kind), f"features-{kind}")
-        _trained[key] = (*models.train(kind, table), table)
-    return _trained[key]
+    return trained_all(spark, sf_dir, [kind])[kind]
 
 
 def scoped(frames: dict[str, DataFrame]) -> DataFrame:
@@ -57,7 +61,7 @@ def predict_win_prob(spark, sf_dir):
 @query()
 def train_metrics(spark, sf_dir):
     """Test metrics and row counts of the three models."""
-    return scoped({kind: trained(spark, sf_dir, kind)[1] for kind in KINDS})
+    return scoped({kind: report for kind, (_, report, _) in trained_all(spark, sf_dir).items()})
 
 
 def _counts(scope: str, rows: str) -> str:
@@ -82,7 +86,7 @@ def train_counts(spark, sf_dir):
 @query()
 def attribution_summary(spark, sf_dir):
     """Contribution of each input, over all rows of the three models."""
-    found = {kind: trained(spark, sf_dir, kind) for kind in KINDS}
+    found = trained_all(spark, sf_dir)
     return scoped({kind: attribution.attribution_summary(model, table) for kind, (model, _, table) in found.items()})
 
 
@@ -102,7 +106,7 @@ def scored_items(spark, sf_dir):
 @query(f"SELECT {TOTAL_IDS}, TRUE AS scored FROM pcf", ("with_id",), pcf=PCF_SQL)
 def scored_bids(spark, sf_dir):
     """Every bid gets a predicted total and a probability from 0 to 1."""
-    total, win = (trained(spark, sf_dir, kind) for kind in ("total_bid", "win"))
+    total, win = trained_all(spark, sf_dir, ["total_bid", "win"]).values()
     keys = ["project_id", "contractor"]
     both = total[0].predict(total[2]).join(win[0].predict(win[2]).select(*keys, "win_prob"), keys)
     good = F.col("win_prob").between(0, 1) & ~F.isnan("total_amount_pred") & F.col("total_amount_pred").isNotNull()
@@ -116,7 +120,7 @@ def scored_bids(spark, sf_dir):
 )
 def attribution_adds_up(spark, sf_dir):
     """Base value and contributions make up the raw prediction of every row."""
-    found = {kind: trained(spark, sf_dir, kind) for kind in KINDS}
+    found = trained_all(spark, sf_dir)
     off = F.abs(F.col("margin") - F.col("raw_prediction")) <= 1e-6 * (1 + F.abs("raw_prediction"))
     return scoped({
         kind: attribution.attributions(model, table).agg(F.count(F.lit(1)).alias("rows"), F.every(off).alias("adds_up"))

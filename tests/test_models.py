@@ -46,6 +46,18 @@ def test_train_predict_save_explain(spark, tables, tmp_path, kind):
     assert max(r["mean_abs"] for r in summary) > 0
 
 
+def test_models_trained_together_are_those_trained_alone(spark, tables, tmp_path):
+    together = models.train_all({"total_bid": tables["projects"], "win": tables["projects"]}, trees=2, log_path=str(tmp_path / "runs"))
+    assert list(together) == ["total_bid", "win"] and models.train_all({}) == {}
+    for kind, (model, report) in together.items():
+        alone, alone_report = models.train(kind, tables["projects"], trees=2)
+        assert model.predict(tables["projects"]).exceptAll(alone.predict(tables["projects"])).count() == 0
+        # Sums of doubles are added in the order in which tasks end.
+        assert {r["metric"]: r["value"] for r in report.collect()} == pytest.approx({r["metric"]: r["value"] for r in alone_report.collect()}, rel=1e-9)
+    assert {r["experiment"] for r in spark.read.parquet(str(tmp_path / "runs")).collect()} == set(together)
+
+
+
 @pytest.mark.parametrize("kind", queries_models.KINDS)
 def test_registered_queries_train_all_trees(spark, monkeypatch, kind):
     asked = []
