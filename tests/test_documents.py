@@ -375,3 +375,19 @@ def test_line_breaks_in_cells_by_layout(spark):
     plain = cells_of(spark, [header, ["x", "y", "D", "Acme", "1", "EA", "$1.00", "$1.00"]], page=1)
     assert I.line_items_cells(plain, pages_of(spark, "")).count() == 0
     assert I.line_items_cells(plain, pages_of(spark, "", layout="wrapped")).count() == 1
+
+
+def test_printed_pages_are_not_shuffled_again(spark, sf_dir):
+    """Where line items and orders are shuffled to meet, that is the last shuffle of a document's rows."""
+    from bidlake.plans import rendered
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        blocks = rendered.blocks(spark, sf_dir)
+        for made in (rendered.page_text(blocks), rendered.page_cells(blocks), rendered.scattered_pages(blocks)):
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(orderkey" not in plan
+    finally:
+        spark.conf.set(key, before)
