@@ -273,3 +273,11 @@ def test_reading_headers_stops_early():
     assert [b.to_pylist() for b in readers._first_records(True)(batches())] == [[{"path": "p", "header": 'a,"b\nc"'}]]
     assert len(taken) == 2
     assert [b.to_pylist() for b in readers._first_records(False)(batches())] == [[{"path": "p", "header": 'a,"b\nc"'}]]
+
+
+def test_bid_lines_join_their_tables_once(spark, sf_dir):
+    """Whatever a query does with bid lines, it finds line items and orders joined."""
+    from bidlake.plans.bid_lines import bid_lines
+
+    rows = bid_lines(spark, sf_dir)
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
