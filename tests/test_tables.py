@@ -281,3 +281,13 @@ def test_bid_lines_join_their_tables_once(spark, sf_dir):
 
     rows = bid_lines(spark, sf_dir)
     assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_csv_set_is_written_by_all_tasks(spark, sf_dir, monkeypatch):
+    """A CSV file is one split, so no file may hold a whole table."""
+    from bidlake.plans import queries_tables
+
+    plans, write = [], queries_tables.writers.write_csv
+    monkeypatch.setattr(queries_tables.writers, "write_csv", lambda df, path: (plans.append(df._jdf.queryExecution().logical().toString()), write(df, path)))
+    queries_tables.read_csv_set(spark, sf_dir)
+    assert len(plans) == 2 and not any("Repartition" in p for p in plans)
