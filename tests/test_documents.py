@@ -404,4 +404,22 @@ def test_documents_without_an_open_tail_are_not_ordered(spark):
     pieces = pages.metadata_pieces(found).cache()
     by_size = [{(r.doc_id, r.page_no): r.seam for r in pages._stitched(pieces, most).collect()} for most in (1, 3, 4096)]
     assert by_size[0] == by_size[1] == by_size[2] and set(by_size[0]) == {("a", 1), (None, 1)}
-    assert "1/2/2024" in by_size[0]["a", 1] and "Lake 7" in by_size[0][None, 1]
+    assert "1/2/2024" in tuple(by_size[0]["a", 1]) and "Lake 7" in tuple(by_size[0][None, 1])
+
+
+def test_cells_are_shuffled_once(spark):
+    """The windows over tables and the join with page contexts share the shuffle by page."""
+    from bidlake.operators import items
+
+    cells = spark.createDataFrame([("a", 2, 0, 0, ["A0001", "15101-0000", "ITEM", "B, Inc.", "1", "EACH", "$2.00", "$2.00"])], "doc_id string, page_no int, table_no int, row_no int, cells array<string>")
+    contexts = spark.createDataFrame([("a", 2, "A", None)], "doc_id string, page_no int, schedule string, option string")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        found = items.items_of_cells(cells, contexts)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(doc_id" in plan and "table_no" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+        assert [(r.schedule, r.amount) for r in found.collect()] == [("A", 2.0)]
+    finally:
+        spark.conf.set(key, before)
