@@ -13,6 +13,7 @@ remembers the words it has met.
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -51,7 +52,7 @@ class WordEncoder:
     _lower = bytes.maketrans((SPACES + UPPER).encode(), (" " * len(SPACES) + LOWER).encode())
     _composing = re.compile(rb"[A-Z](?=[\x80-\xff])")
 
-    def __init__(self, path: str, memory: int = 400_000, longest: int = 64):
+    def __init__(self, path: str, memory: int = 200_000, longest: int = 64):
         self.tokenizer, self.memory, self.longest = open_tokenizer(path), memory, longest
         self.known: dict[bytes, bytes] = {b"": b""}
         self.before: dict[bytes, bytes] = {}
@@ -88,7 +89,7 @@ class WordEncoder:
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+                self.known[w] = struct.pack(f"<{len(e)}I", *e.ids)
         out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
         for w in new:
             if len(w) > self.longest:

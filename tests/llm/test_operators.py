@@ -75,6 +75,11 @@ def test_word_memory_is_bounded():
     assert len(encoder.known) <= 50 + 201
 
 
+def test_word_memory_fits_beside_other_workers():
+    """Both generations, at some 175 bytes a word (135 MB were measured for 770,000 words), stay within 80 MB a worker."""
+    assert 2 * tokens.WordEncoder(queries.vocabulary()).memory * 175 <= 80e6
+
+
 def test_capitals_that_compose():
     """Letters compose before they are lower-cased; some have no lower-case twin that composes alike."""
     t = tokens.open_tokenizer(queries.vocabulary())
