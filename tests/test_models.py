@@ -102,6 +102,33 @@ def test_attribution_is_the_shapley_value():
             assert abs(row[i] - want) < 1e-9
 
 
+def test_neighbouring_leaves_are_looked_up_as_one():
+    """A full tree of 32 leaves is 8 groups, inputs that come twice on a path included; single leaves give the same."""
+    rng = np.random.default_rng(3)
+    rows = [(0, i, float(i), 2.0 ** (10 - (i + 1).bit_length()) * 3, *((2 * i + 1, 2 * i + 2, int(rng.integers(4)), float(rng.random())) if i < 31 else (-1, -1, -1, None)))
+            for i in range(63)]
+    nodes = pd.DataFrame(rows, columns=["tree", "id", "prediction", "n", "left", "right", "feature", "threshold"])
+    xs = rng.random((40, 4))
+    alone, grouped = attribution.leaf_tables(nodes, [0.5], 0), attribution.leaf_tables(nodes, [0.5])
+    assert grouped["groups"] == 8 and alone["groups"] == 32 and 2 * len(grouped["group"]) < len(alone["group"])
+    node_of = nodes.set_index("id").to_dict("index")
+    got = attribution.attribute(xs, grouped)
+    assert np.allclose(got, attribution.attribute(xs, alone, 7))
+    for x, row in zip(xs, got):
+        assert row.sum() + grouped["base"][0] == pytest.approx(0.5 * expected_value(node_of, 0, x, {0, 1, 2, 3}))
+
+
+def test_total_bids_and_wins_share_their_features(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries_models, "_trained", {})
+    monkeypatch.setattr(queries_models, "_tables", {})
+    monkeypatch.setattr(queries_models, "feature_table", lambda *a: made.append(a) or spark.range(1))
+    monkeypatch.setattr(models, "written", lambda df, name: df)
+    monkeypatch.setattr(models, "train_all", lambda tables: {kind: (kind, None) for kind in tables})
+    found = queries_models.trained_all(spark, "", ["total_bid", "win"])
+    assert len(made) == 1 and found["total_bid"][2] is found["win"][2]
+
+
 def test_unseen_and_missing_categories(spark):
     train = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 8.0), (None, 5.0)], "c string, y double")
     table = models.encode_categories(train, ["c"], "y")
