@@ -5,6 +5,7 @@ double blanks and amounts that are off by the discount, with one engineer row pe
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bidlake.sources.writers import shared_dir, write_packed
 
@@ -15,9 +16,8 @@ BASE_SQL = """ SELECT l.*, c.c_nationkey, n.n_name
  JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey
  JOIN {part} p ON l.l_partkey = p.p_partkey"""
 
-# Bid lines of a table `base` of those rows.
-OF_BASE_SQL = """bid AS (
- SELECT concat('P', lpad(cast(c_nationkey AS varchar(10)), 3, '0')) AS project_no, n_name AS project_name,
+# Bid lines of a table `base` of those rows, and the engineer rows of a table `bid` of those.
+BID_SQL = """ SELECT concat('P', lpad(cast(c_nationkey AS varchar(10)), 3, '0')) AS project_no, n_name AS project_name,
   l_returnflag AS schedule, CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_linestatus END AS option,
   concat('A', lpad(cast(l_partkey % 40 AS varchar(10)), 4, '0')) AS line_item_no,
   concat(lpad(cast(15100 + l_partkey % 40 AS varchar(10)), 5, '0'), '-0000') AS pay_item_no,
@@ -27,12 +27,15 @@ OF_BASE_SQL = """bid AS (
   concat('Supplier ', cast(l_suppkey % 10 AS varchar(10)), ', Inc.,') AS contractor,
   CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice / l_quantity END AS unit_price,
   l_extendedprice * (1 - l_discount) AS amount, 0 AS is_engineers_estimate
- FROM base),
-ee AS (
- SELECT project_no, project_name, schedule, option, line_item_no, pay_item_no, description,
+ FROM base"""
+ENGINEER_SQL = """ SELECT project_no, project_name, schedule, option, line_item_no, pay_item_no, description,
   max(quantity) AS quantity, max(unit) AS unit, 'Engineer''s Estimate' AS contractor,
   min(unit_price) AS unit_price, min(amount) AS amount, 1 AS is_engineers_estimate
- FROM bid GROUP BY project_no, project_name, schedule, option, line_item_no, pay_item_no, description)
+ FROM bid GROUP BY project_no, project_name, schedule, option, line_item_no, pay_item_no, description"""
+OF_BASE_SQL = f"""bid AS (
+{BID_SQL}),
+ee AS (
+{ENGINEER_SQL})
 SELECT * FROM bid UNION ALL SELECT * FROM ee
 """
 
@@ -82,9 +85,19 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_bases[key])
 
 
+#: What an engineer row stands for.
+ENGINEER_KEYS = ["project_no", "project_name", "schedule", "option", "line_item_no", "pay_item_no", "description"]
+
+
 def bid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bid-line table."""
-    return spark.sql("WITH " + OF_BASE_SQL.replace("FROM base)", "FROM {base})"), base=base_rows(spark, sf_dir))
+    """The bid-line table.
+
+    The largest text of a group is found by sorting the group's rows. Rows are brought down to one a unit first, by hashing and before any shuffle:
+    what is left to sort is few rows a key, however many line items there are.
+    """
+    bid = spark.sql(BID_SQL.replace("FROM base", "FROM {base}"), base=base_rows(spark, sf_dir))
+    by_unit = bid.groupBy(*ENGINEER_KEYS, "unit").agg(*[f(c).alias(c) for f, c in ((F.max, "quantity"), (F.min, "unit_price"), (F.min, "amount"))])
+    return bid.union(spark.sql(ENGINEER_SQL.replace("FROM bid", "FROM {bid}"), bid=by_unit))
 
 
 def bids(spark: SparkSession, sf_dir: str) -> DataFrame:

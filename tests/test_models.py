@@ -129,6 +129,19 @@ def test_total_bids_and_wins_share_their_features(spark, monkeypatch):
     assert len(made) == 1 and found["total_bid"][2] is found["win"][2]
 
 
+def test_few_rows_are_boosted_in_few_tasks(spark, monkeypatch):
+    """Statistics are shuffled by every task, so rows in many files come to one."""
+    seen = []
+    kept = models.written
+    monkeypatch.setattr(models, "written", lambda df, name: seen.append((name, kept(df, name))) or seen[-1][1])
+    rows = spark.range(64).repartition(8).select(
+        F.concat(F.lit("p"), F.col("id") % 8).alias("project_id"), *[(F.col("id") % (k + 3)).cast("double").alias(c) for k, c in enumerate(models.TOTAL_BID_NUMBERS)]
+    )
+    rows = rows.withColumn("total_amount", F.col("project_id").substr(2, 1).cast("double"))
+    models.fit("total_bid", rows, trees=1)
+    assert len(dict(seen)["tree-input"].inputFiles()) == 1 and dict(seen)["tree-input"].count() == 64
+
+
 def test_unseen_and_missing_categories(spark):
     train = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 8.0), (None, 5.0)], "c string, y double")
     table = models.encode_categories(train, ["c"], "y")
