@@ -423,3 +423,11 @@ def test_cells_are_shuffled_once(spark):
         assert [(r.schedule, r.amount) for r in found.collect()] == [("A", 2.0)]
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_name_is_worked_out_once_a_line(spark):
+    """Its address pattern stands in the plan once, whatever is asked of the name afterwards."""
+    lines = spark.createDataFrame([(["Acme Road, Inc.", "Bolt, Inc. ,", "Engineer's Co., Inc.", "Crane, Inc. $5", "Bolt, Inc."],)], "lines array<string>")
+    found = lines.select(P.names_on(F.col("lines")).alias("names"))
+    assert found.first()["names"] == ["Bolt, Inc.", "Crane, Inc."]
+    assert found._jdf.queryExecution().analyzed().toString().count("North Carolina") == 1
