@@ -13,6 +13,7 @@ remembers the words it has met.
 
 import os
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -45,17 +46,25 @@ class WordEncoder:
     Remembers the words of late: two generations of up to `memory` short words. The tokenizer composes letters
     (NFC), then lower-cases, so A-Z are lower-cased first, except before a character that is not ASCII, with which one
     may compose, and unless the text may hold a special token, whose case counts.
+
+    The tokenizer parts letters from ASCII punctuation, so a word with some behind it has the ids of its letters, then those of its end. That
+    is so of Latin letters; others may lower-case or compose to end in a mark, which goes with the punctuation. Words of letters alone are one
+    unit each, whose last token is marked as such: many are encoded as one text and told apart by the marks.
     """
 
     _open: dict[str, "WordEncoder"] = {}
     _blank = bytes.maketrans(SPACES.encode(), b" " * len(SPACES))
     _lower = bytes.maketrans((SPACES + UPPER).encode(), (" " * len(SPACES) + LOWER).encode())
     _composing = re.compile(rb"[A-Z](?=[\x80-\xff])")
+    _joined = 64
 
     def __init__(self, path: str, memory: int = 200_000, longest: int = 64):
         self.tokenizer, self.memory, self.longest = open_tokenizer(path), memory, longest
         self.known: dict[bytes, bytes] = {b"": b""}
         self.before: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.is_last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     @classmethod
     def at(cls, path: str) -> "WordEncoder":
@@ -76,6 +85,56 @@ class WordEncoder:
             lowered = bytes(lowered)
         return lowered.split(b" ")
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, encoded by itself."""
+        return [struct.pack(f"<{len(e)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of each word of letters; encoded by themselves where a text of many has another number of last tokens than of words."""
+        lines = [words[i : i + self._joined] for i in range(0, len(words), self._joined)]
+        out: list[bytes] = []
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = (4 * np.flatnonzero(self.is_last[ids]) + 4).tolist()
+            if len(ends) == len(line) and ends[-1] == 4 * len(ids):
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip([0, *ends], ends)]
+            else:
+                out += self._encode_words(line)
+        return out
+
+    def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of new words."""
+        known, before = self.known, self.before
+        ended, letters, others = [], set(), []
+        for word in words:
+            w = word.decode()
+            core = w.rstrip(string.punctuation)
+            if not core.isalpha():
+                others.append((word, w))
+            elif len(core) == len(w):
+                letters.add(w)
+            elif not core.isascii() and (max(core) > "\u024f" or "\u0130" in core):
+                others.append((word, w))
+            else:
+                own = core.encode()
+                ended.append((word, own, word[len(own) :]))
+                if own not in known:
+                    if own in before:
+                        known[own] = before[own]
+                    else:
+                        letters.add(core)
+        for end in {end for _, _, end in ended}.difference(known):
+            others.append((end, end.decode()))
+        new = list(letters)
+        for i in range(0, len(new), 4096):
+            part = new[i : i + 4096]
+            known.update(zip(map(str.encode, part), self._encode_letters(part)))
+        for i in range(0, len(others), 4096):
+            part = others[i : i + 4096]
+            known.update(zip([word for word, _ in part], self._encode_words([w for _, w in part])))
+        known.update((word, known[own] + known[end]) for word, own, end in ended)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
         pieces = [self.words(t) for t in texts]
@@ -86,10 +145,7 @@ class WordEncoder:
         old = {w for w in new if w in self.before}
         self.known.update((w, self.before[w]) for w in old)
         new = list(new - old)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = struct.pack(f"<{len(e)}I", *e.ids)
+        self.learn(new)
         out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
         for w in new:
             if len(w) > self.longest:

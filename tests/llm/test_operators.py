@@ -80,6 +80,32 @@ def test_word_memory_fits_beside_other_workers():
     assert 2 * tokens.WordEncoder(queries.vocabulary()).memory * 175 <= 80e6
 
 
+def test_words_of_letters_are_encoded_together():
+    """Punctuation behind a word is learned by itself, and words of letters go to the tokenizer as one text; odd words keep their ids."""
+    asked = []
+
+    class Counted:
+        def encode_batch_fast(self, lines, **options):
+            asked.extend(lines)
+            return tokenizer.encode_batch_fast(lines, **options)
+
+    encoder = tokens.WordEncoder(queries.vocabulary())
+    tokenizer, encoder.tokenizer = encoder.tokenizer, Counted()
+    plain = [f"{a}{b}ra" for a in "abcdefgh" for b in "aeiou"]
+    text = " ".join(w + end for w in plain for end in ("", ".", ",", "!!"))
+    assert encoder.encode([text.encode()]) == [np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert len(asked) == 1 + 3
+    odd = [
+        "\u0130stanbul", "\u0130", "e\u0301t\u00e9.", "\u0301a", "don't", "don't.", "it's", "'s", "a's'", "\ufb01n,", "\u017f\u017f!", "\u01c4\u01c5", "\ud55c\uad6d\uc5b4.", "x2", "2x.", "\u00b2", "\u00aa\u00ba?",
+        "<|endoftext|>", "a<|endoftext|>.", "a<|", "|>", "\u0e01\u0e33.", "\u0915\u094d\u0937", "\u00a0", "a\u00a0b,", "a\u2028b", "\u0345", "\u03c2\u03a3.", "\U0001d400", "\U0001f600.", "</w>", "w</w>", "a_b_", "_", "caf\u00c9.",
+    ]
+    for own in (odd, [w + " " + w + "." for w in odd], [w + v for w in odd for v in plain[:3]]):
+        text = " ".join(own)
+        got = tokens.WordEncoder(queries.vocabulary()).encode([text.encode(), *[w.encode() for w in own]])
+        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in (text, *own)]
+        assert got == want
+
+
 def test_capitals_that_compose():
     """Letters compose before they are lower-cased; some have no lower-case twin that composes alike."""
     t = tokens.open_tokenizer(queries.vocabulary())
