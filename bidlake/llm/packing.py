@@ -134,4 +134,4 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, most_open: int = 2048) ->
     few of each task, whose lengths are powers of two.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return map_batches(docs, _pack(path, size, most_open), SCHEMA)
+    return map_batches(docs, _pack(path, size, most_open), SCHEMA, keeps=True)

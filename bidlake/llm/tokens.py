@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import LOWER, SPACES, UPPER, map_batches, text_key, text_or_empty
+from bidlake.llm.common import LOWER, SPACES, UPPER, kept, map_batches, text_key, text_or_empty
 from bidlake.sources.writers import written
 
 CHUNK, OVERLAP, WIDER = 65536, 1024, 8
@@ -52,7 +52,6 @@ class WordEncoder:
     unit each, whose last token is marked as such: many are encoded as one text and told apart by the marks.
     """
 
-    _open: dict[str, "WordEncoder"] = {}
     _blank = bytes.maketrans(SPACES.encode(), b" " * len(SPACES))
     _lower = bytes.maketrans((SPACES + UPPER).encode(), (" " * len(SPACES) + LOWER).encode())
     _composing = re.compile(rb"[A-Z](?=[\x80-\xff])")
@@ -68,10 +67,8 @@ class WordEncoder:
 
     @classmethod
     def at(cls, path: str) -> "WordEncoder":
-        """One encoder per worker process."""
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        """One encoder per worker process, as long as its tasks encode."""
+        return kept((cls, path), lambda: cls(path))
 
     def words(self, text: bytes) -> list[bytes]:
         """The words of a text, lower-cased where that changes no id."""
@@ -241,12 +238,12 @@ def count_huge(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataFra
     """(a, b, n_tokens) of the distinct texts of texts(a, b, text), by overlapping chunks."""
     done = []
     while True:
-        chunks = map_batches(texts, _cut(chunk, overlap), "a long, b long, k long, chunks long, text string", 64)
+        chunks = map_batches(texts, _cut(chunk, overlap), "a long, b long, k long, chunks long, text string", 64, keeps=True)
         # Equal texts are encoded once, and the chunks of one text by different tasks.
         chunks = chunks.dropDuplicates(["a", "b", "k"])
         encoded = map_batches(
             chunks, _encode_chunks(path, chunk, overlap),
-            "a long, b long, n long, edges array<struct<edge:long,away:long,check:long>>", 64,
+            "a long, b long, n long, edges array<struct<edge:long,away:long,check:long>>", 64, keeps=True,
         )
         # Counts and edges are few bytes a chunk; written, they are not encoded once for each use.
         spliced = written(_splice(written(encoded, "encoded")), "spliced")
@@ -267,7 +264,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, chunk: int = CHU
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     docs = docs.withColumn("n_bytes", F.octet_length("text").cast("long"))
     is_huge = F.char_length("text") > chunk + overlap
-    small = map_batches(docs.filter(~is_huge), _count_small(path), "doc_id long, n_bytes long, n_tokens long")
+    small = map_batches(docs.filter(~is_huge), _count_small(path), "doc_id long, n_bytes long, n_tokens long", keeps=True)
     huge = docs.filter(is_huge).withColumn("key", text_key()).select("doc_id", "n_bytes", "key.a", "key.b", "text")
     counts = count_huge(huge.select("a", "b", "text"), path, chunk, overlap)
     spliced = huge.drop("text").join(counts, ["a", "b"]).select("doc_id", "n_bytes", "n_tokens")

@@ -9,12 +9,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 import oracle
-from bidlake.llm import cascade, cuckoo, lbl, mixing, oddsketch, packing, queries, suffixes, tokens, topk, toxicity
+from bidlake.llm import cascade, common, cuckoo, lbl, mixing, oddsketch, packing, queries, suffixes, tokens, topk, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, key string, row long, hash long, class string, taken long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,6 +82,18 @@ def test_word_memory_fits_beside_other_workers():
     assert 2 * tokens.WordEncoder(queries.vocabulary()).memory * 175 <= 80e6
 
 
+def test_a_worker_keeps_the_words_of_one_kind_of_task():
+    """The encoder stays from task to task of packing, and goes when another operator's task comes to the worker process."""
+    def task(fn, keeps):
+        return list(cloudpickle.loads(cloudpickle.dumps(common._lean(fn, keeps)))(iter([pa.RecordBatch.from_pydict({"doc_id": [1]})])))
+
+    encoder = tokens.WordEncoder.at(queries.vocabulary())
+    assert len(task(lambda batches: batches, True)) == 1
+    assert tokens.WordEncoder.at(queries.vocabulary()) is encoder
+    assert len(task(lambda batches: batches, False)) == 1
+    assert tokens.WordEncoder.at(queries.vocabulary()) is not encoder
+
+
 def test_words_of_letters_are_encoded_together():
     """Punctuation behind a word is learned by itself, and words of letters go to the tokenizer as one text; odd words keep their ids."""
     asked = []
