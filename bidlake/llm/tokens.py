@@ -17,7 +17,7 @@ import string
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,19 @@ def open_tokenizer(path: str):
     return tokenizer
 
 
+def model_alone(tokenizer):
+    """The tokenizer's model on words between blanks, without what comes before it; the tokenizer itself if it shows no model."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    if not hasattr(tokenizer, "model"):
+        return tokenizer
+    alone = Tokenizer(tokenizer.model)
+    alone.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    return alone
+
+
 class WordEncoder:
     """Ids of a text, joined from the ids of its words.
 
@@ -48,13 +61,16 @@ class WordEncoder:
     may compose, and unless the text may hold a special token, whose case counts.
 
     The tokenizer parts letters from ASCII punctuation, so a word with some behind it has the ids of its letters, then those of its end. That
-    is so of Latin letters; others may lower-case or compose to end in a mark, which goes with the punctuation. Words of letters alone are one
-    unit each, whose last token is marked as such: many are encoded as one text and told apart by the marks.
+    is so of Latin letters; others may lower-case or compose to end in a mark, which goes with the punctuation. A full stop or comma between a-z
+    and a blank, as most are, becomes a word of its own in the text. Words of letters alone are one unit each, whose last token is marked as
+    such: many are encoded as one text and told apart by the marks. Composing, lower-casing and parting change nothing in small Latin letters,
+    so these go to the tokenizer's model without.
     """
 
     _blank = bytes.maketrans(SPACES.encode(), b" " * len(SPACES))
     _lower = bytes.maketrans((SPACES + UPPER).encode(), (" " * len(SPACES) + LOWER).encode())
     _composing = re.compile(rb"[A-Z](?=[\x80-\xff])")
+    _ends = ((b". ", b" . "), (b", ", b" , "))
     _joined = 64
 
     def __init__(self, path: str, memory: int = 200_000, longest: int = 64):
@@ -70,8 +86,12 @@ class WordEncoder:
         """One encoder per worker process, as long as its tasks encode."""
         return kept((cls, path), lambda: cls(path))
 
+    @cached_property
+    def plain(self):
+        return model_alone(self.tokenizer)
+
     def words(self, text: bytes) -> list[bytes]:
-        """The words of a text, lower-cased where that changes no id."""
+        """The words of a text, lower-cased and parted from a full stop or comma where that changes no id."""
         if b"<|" in text:
             return text.translate(self._blank).split(b" ")
         lowered = text.translate(self._lower)
@@ -80,17 +100,21 @@ class WordEncoder:
             for i in kept:
                 lowered[i] = text[i]
             lowered = bytes(lowered)
+        for end, parted in self._ends:
+            *parts, last = lowered.split(end)
+            # islower() of bytes is true of a-z alone.
+            lowered = b"".join([part + (parted if part[-1:].islower() else end) for part in parts]) + last
         return lowered.split(b" ")
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, encoded by itself."""
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _encode_letters(self, words: list[str]) -> list[bytes]:
+    def _encode_letters(self, tokenizer, words: list[str]) -> list[bytes]:
         """Ids of each word of letters; encoded by themselves where a text of many has another number of last tokens than of words."""
         lines = [words[i : i + self._joined] for i in range(0, len(words), self._joined)]
         out: list[bytes] = []
-        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
+        for line, e in zip(lines, tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
             ids = np.array(e.ids, dtype="<u4")
             ends = (4 * np.flatnonzero(self.is_last[ids]) + 4).tolist()
             if len(ends) == len(line) and ends[-1] == 4 * len(ids):
@@ -103,33 +127,30 @@ class WordEncoder:
     def learn(self, words: list[bytes]) -> None:
         """Remember the ids of new words."""
         known, before = self.known, self.before
-        ended, letters, others = [], set(), []
-        for word in words:
-            w = word.decode()
+        ended, letters, others = [], {}, {}
+        for word, w in zip(words, b" ".join(words).decode().split(" ")):
+            if w.isalpha():
+                letters[word] = w
+                continue
             core = w.rstrip(string.punctuation)
-            if not core.isalpha():
-                others.append((word, w))
-            elif len(core) == len(w):
-                letters.add(w)
-            elif not core.isascii() and (max(core) > "\u024f" or "\u0130" in core):
-                others.append((word, w))
+            if not core.isalpha() or (not core.isascii() and (max(core) > "\u024f" or "\u0130" in core)):
+                others[word] = w
             else:
                 own = core.encode()
-                ended.append((word, own, word[len(own) :]))
-                if own not in known:
-                    if own in before:
-                        known[own] = before[own]
-                    else:
-                        letters.add(core)
-        for end in {end for _, _, end in ended}.difference(known):
-            others.append((end, end.decode()))
-        new = list(letters)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            known.update(zip(map(str.encode, part), self._encode_letters(part)))
-        for i in range(0, len(others), 4096):
-            part = others[i : i + 4096]
-            known.update(zip([word for word, _ in part], self._encode_words([w for _, w in part])))
+                end = word[len(own) :]
+                ended.append((word, own, end))
+                if own in before:
+                    known[own] = before[own]
+                elif own not in known:
+                    letters[own] = core
+                if end not in known:
+                    others[end] = end.decode()
+        small = {word: w for word, w in letters.items() if w.islower() and (w.isascii() or max(w) <= "\u024f")}
+        rest = {word: w for word, w in letters.items() if word not in small}
+        for new, encode in ((small, partial(self._encode_letters, self.plain)), (rest, partial(self._encode_letters, self.tokenizer)), (others, self._encode_words)):
+            keys, texts = list(new), list(new.values())
+            for i in range(0, len(keys), 4096):
+                known.update(zip(keys[i : i + 4096], encode(texts[i : i + 4096])))
         known.update((word, known[own] + known[end]) for word, own, end in ended)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -138,10 +159,10 @@ class WordEncoder:
         wanted = set().union(*pieces)
         if len(self.known) > self.memory:
             self.known, self.before = {b"": b""}, self.known
-        new = wanted.difference(self.known)
-        old = {w for w in new if w in self.before}
-        self.known.update((w, self.before[w]) for w in old)
-        new = list(new - old)
+        unknown = list(wanted.difference(self.known))
+        old = list(map(self.before.get, unknown))
+        self.known.update((w, ids) for w, ids in zip(unknown, old) if ids is not None)
+        new = [w for w, ids in zip(unknown, old) if ids is None]
         self.learn(new)
         out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
         for w in new:

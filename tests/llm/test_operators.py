@@ -120,6 +120,31 @@ def test_words_of_letters_are_encoded_together():
         assert got == want
 
 
+def test_small_latin_words_go_to_the_model_alone():
+    """The whole tokenizer is asked for nothing it would change; a full stop or comma is learned once, not with each word."""
+    asked = []
+
+    class Counted:
+        model = tokens.open_tokenizer(queries.vocabulary()).model
+
+        def encode_batch_fast(self, lines, **options):
+            asked.extend(lines)
+            return tokenizer.encode_batch_fast(lines, **options)
+
+    encoder = tokens.WordEncoder(queries.vocabulary())
+    tokenizer, encoder.tokenizer = encoder.tokenizer, Counted()
+    latin = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    text = "One, two. b\u00e9n\u00e9, stra\u00dfe. Three\nfour,five. \u00c9cole, x2. 3. ). !. a,. ,a . \u0915. e\u0301. d\u0323, end. "
+    whole = [text, text + text, " ".join(latin), *(f"{c}, {c}a. a{c}, {c}{d}." for c in latin for d in ("\u00e9", "Z"))]
+    for t in (*whole, "a. b<|endoftext|>, c.", ". , a, ", "a,", "a. "):
+        assert encoder.encode([t.encode()]) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert b"two" in encoder.known and b"two." not in encoder.known and b"four,five" in encoder.known
+    asked.clear()
+    words = [f"{a}{b}q\u00f8" + ("" if i % 2 else "r") for i, (a, b) in enumerate((a, b) for a in "abcdefgh" for b in "aeiou")]
+    assert encoder.encode([", ".join(words).encode()]) == [np.array(tokenizer.encode(", ".join(words), add_special_tokens=False).ids, "<u4").tobytes()]
+    assert asked == []
+
+
 def test_capitals_that_compose():
     """Letters compose before they are lower-cased; some have no lower-case twin that composes alike."""
     t = tokens.open_tokenizer(queries.vocabulary())
