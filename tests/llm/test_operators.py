@@ -543,6 +543,41 @@ def test_lm_learns_and_is_normalised():
     assert np.allclose(lbl.train_model(np.zeros_like(cells)).log_probabilities(), -math.log10(lbl.CLASSES), atol=0.2)
 
 
+def test_lm_tells_words_of_an_ending_apart(spark):
+    """Two words equally common and with the same ending, each behind a word of its own: their order counts."""
+    singles = [f"w{i:03d}" for i in range(62)]
+    filler = " ".join(w for w in singles for _ in range(300))
+    pairs_ = " ".join(["red talking blue walking"] * 200)
+    docs = spark.createDataFrame([(0, filler), (1, pairs_), (3, pairs_), (4, "red talking " * 40), (5, "red walking " * 40), (6, filler)], "doc_id long, text string")
+    assert lbl.shape_of(b"talking") == lbl.shape_of(b"walking")
+    got = {r.doc_id: r for r in lbl.score(docs.union(docs.filter("doc_id < 4"))).collect()}
+    assert not got[4].held_out and got[4].n_tokens == got[5].n_tokens
+    assert got[4].score > got[5].score + 20
+
+
+def test_lm_words_of_a_class_add_up_to_one():
+    rng = np.random.default_rng(1)
+    cells = rng.integers(0, 4, (lbl.CLASSES,) * 3)
+    own = np.append(np.arange(lbl.SINGLES), lbl.SINGLES + np.arange(70) % lbl.SHAPES)
+    classes, v = lbl.leaf_classes(own), lbl.context_vectors(lbl.train_model(cells, steps=20), cells)
+    behind = cells.reshape(lbl.CONTEXTS, lbl.CLASSES).T.astype(np.float32)
+    mine = np.flatnonzero(classes == lbl.SINGLES + 3)
+    # One word stands behind the first half of the contexts only, the others share what is left.
+    seen = np.zeros((lbl.CONTEXTS, len(mine)))
+    seen[:, 1:] = (behind[lbl.SINGLES + 3] / (len(mine) - 1))[:, None]
+    half = v[:, 0] < np.median(v[:, 0])
+    seen[half, 0], seen[half, 1:] = behind[lbl.SINGLES + 3][half] / 2, seen[half, 1:] / 2
+    vectors, heads = np.zeros((len(classes), v.shape[1]), np.float32), np.zeros(len(classes))
+    vectors[mine], heads[mine] = lbl.fit_leaves(v, seen, classes[mine], behind), seen.sum(axis=0)
+    words = lbl.Inside(v, vectors, classes, heads)
+    for context in (0, 17, 95, 5000, lbl.CONTEXTS - 1):
+        for c in range(lbl.SINGLES, lbl.CLASSES):
+            leaves = np.flatnonzero(classes == c)
+            assert abs((10 ** words.log_probabilities(np.full(len(leaves), context), leaves)).sum() - 1) < 1e-4
+    p = 10 ** words.log_probabilities(np.arange(lbl.CONTEXTS), np.full(lbl.CONTEXTS, mine[0]))
+    assert p[half].mean() > 3 * p[~half].mean()
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=6).round(1).tolist()) for i in range(300)]
