@@ -431,3 +431,16 @@ def test_a_name_is_worked_out_once_a_line(spark):
     found = lines.select(P.names_on(F.col("lines")).alias("names"))
     assert found.first()["names"] == ["Bolt, Inc.", "Crane, Inc."]
     assert found._jdf.queryExecution().analyzed().toString().count("North Carolina") == 1
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cells_are_normalised_once(spark):
+    """Whatever looks at a cell finds it normalised: one array, below the windows."""
+    rows = [("d", 1, 0, 0, "wrapped", ["A001", " 15101-0000 ", "x\n y", None, "", "", "", "$1.00 Generated by : me"]), ("d", 1, 0, 1, "wrapped", None)]
+    cells = spark.createDataFrame(rows, "doc_id string, page_no int, table_no int, row_no int, layout string, cells array<string>")
+    found = I.item_table_rows(cells)
+    assert [tuple(r)[4:] for r in found.orderBy("row_no").collect()] == [("A001", "15101-0000", "x y", "", "", "", "", "$1.00"), ("",) * 8]
+    assert _optimized(found).count("transform(") == 1
