@@ -119,7 +119,7 @@ def contractor_names(spark, sf_dir):
 @query("SELECT DISTINCT doc_id, contractor FROM blocks UNION SELECT doc_id, 'Inc.' FROM blocks WHERE layout = 'wrapped' AND linenumber % 2 = 0", ("blocks",))
 def shortest_names(spark, sf_dir):
     """Names that start with no other name of their document."""
-    return items.shortest_names(pages.contractor_names(page_text(spark, sf_dir)))
+    return items.shortest_names(items.stored_names(page_text(spark, sf_dir)))
 
 
 @query("SELECT doc_id, 1 AS page_no FROM orders_of", ("blocks",), orders_of=ORDERS_SQL)

@@ -444,3 +444,9 @@ def test_cells_are_normalised_once(spark):
     found = I.item_table_rows(cells)
     assert [tuple(r)[4:] for r in found.orderBy("row_no").collect()] == [("A001", "15101-0000", "x y", "", "", "", "", "$1.00"), ("",) * 8]
     assert _optimized(found).count("transform(") == 1
+
+
+def test_shortest_names_reads_page_text_once(spark, sf_dir):
+    from bidlake.plans import queries_text
+
+    assert "text#" not in _optimized(queries_text.shortest_names(spark, sf_dir))
